@@ -19,7 +19,7 @@ Sql = str
 
 
 def dup_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     compact = durable(tx.with_fingerprint(docs, F.col("text")).select("doc_id", "fingerprint"))
     return dup.repeated_rows(compact, "fingerprint", ["doc_id"]).select(
         "doc_id", "fingerprint", F.col("first.doc_id").alias("first_doc_id"), "copies"
@@ -27,14 +27,14 @@ def dup_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pii_scan(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     return docs.select("doc_id", F.array_join(tx.pii_hits(F.col("text")), ", ").alias("hits")).where(
         F.col("hits") != ""
     )
 
 
 def secret_redaction(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     clean = tx.redact_secrets(F.col("text"))
     return docs.select("doc_id", "text", clean.alias("clean")).where("clean <> text").select(
         "doc_id", F.sha2("clean", 256).alias("redacted_sha256"),
@@ -43,19 +43,19 @@ def secret_redaction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def placeholder_counts(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     return dist.placeholder_counts(docs, tx.placeholders(tx.redact_secrets(F.col("text"))))
 
 
 def source_leakage(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     keyed = tx.with_fingerprint(docs, F.col("text")).select("fingerprint", "source")
     return dup.shared_across(keyed, "fingerprint", "source")
 
 
 def benchmark_leakage(spark: SparkSession, folder: str) -> DataFrame:
     """Per source: documents, and how many of them equal a benchmark passage."""
-    docs = tx.with_fingerprint(read_table(spark, folder, "documents"), F.col("text"))
+    docs = tx.with_fingerprint(read_table(spark, folder, "documents", spread=True), F.col("text"))
     held = tx.with_fingerprint(read_table(spark, folder, "benchmark"), F.col("text"))
     held = held.groupBy("fingerprint").agg(F.min("item_id").alias("item_id"))
     joined = docs.select("source", "fingerprint").join(held, "fingerprint", "left")
@@ -66,7 +66,7 @@ def benchmark_leakage(spark: SparkSession, folder: str) -> DataFrame:
 
 def unique_values(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct ids, normalised texts and normalised sources over all documents."""
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     normal = tx.with_fingerprint(docs, F.col("text"), "text_key")
     normal = tx.with_normalized(normal, F.col("source"), "source_key")
     return dist.distinct_values(
@@ -125,7 +125,7 @@ def semantic_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 def unsafe_claims(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns that claim a completed action or leave identifiers behind."""
-    turns = read_table(spark, folder, "conversations")
+    turns = read_table(spark, folder, "conversations", spread=True)
     hits = F.array_join(tx.extended_pii_hits(F.col("text")), ", ")
     return turns.select(
         "conv_id", "turn", tx.unsafe_claim(F.col("text")).alias("unsafe"), hits.alias("identifiers")
@@ -134,19 +134,19 @@ def unsafe_claims(spark: SparkSession, folder: str) -> DataFrame:
 
 def prompt_shape(spark: SparkSession, folder: str) -> DataFrame:
     """Prompts made of a document and, for even ids, the full task vocabulary."""
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     words = " ".join([*fv.CATEGORIES, *fv.PRIORITIES, *fv.SENTIMENTS, *fv.OUTPUT_FIELDS])
     text = F.concat_ws(" ", F.col("text"), F.when(F.col("doc_id") % 2 == 0, F.lit(words)))
     return audits.prompt_shape(docs, "doc_id", text)
 
 
 def conversation_shape(spark: SparkSession, folder: str) -> DataFrame:
-    turns = read_table(spark, folder, "conversations")
+    turns = read_table(spark, folder, "conversations", spread=True)
     return conversations.conversation_shape(turns, "conv_id", "turn", "role", "text")
 
 
 def prompt_completion(spark: SparkSession, folder: str) -> DataFrame:
-    turns = read_table(spark, folder, "conversations")
+    turns = read_table(spark, folder, "conversations", spread=True)
     return conversations.last_answer_split(turns, "conv_id", "turn", "role").select(
         "conv_id", "turn", "role", "part", F.sha2("text", 256).alias("text_sha256")
     )
@@ -180,7 +180,7 @@ def length_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lengths(spark: SparkSession, folder: str) -> DataFrame:
-    turns = read_table(spark, folder, "conversations")
+    turns = read_table(spark, folder, "conversations", spread=True)
     parts = conversations.last_answer_split(turns, "conv_id", "turn", "role")
     words = tx.word_count(F.col("text"))
     return parts.groupBy("conv_id").agg(
@@ -193,7 +193,7 @@ def _lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 def json_contract(spark: SparkSession, folder: str) -> DataFrame:
     """Strict JSON outcome of event payloads, some of them damaged."""
-    events = read_table(spark, folder, "events")
+    events = read_table(spark, folder, "events", spread=True)
     props = F.col("props")
     damaged = (
         F.when(F.col("event_id") % 7 == 1, F.concat(props, F.lit(" tail")))

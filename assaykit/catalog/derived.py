@@ -22,7 +22,7 @@ def label(labels: tuple[str, ...], index: Column) -> Column:
 
 def tickets(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with three labels."""
-    docs = read_table(spark, folder, "documents")
+    docs = read_table(spark, folder, "documents", spread=True)
     return docs.select(
         "doc_id",
         "text",

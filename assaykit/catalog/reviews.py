@@ -284,8 +284,8 @@ def _policy_sql() -> str:
         "review_packets_bind_holdout_freeze": ("true", "2", "2"),
         "review_packets_cover_ordered_source": ("false", "1", "2"),
         "review_packets_approved": ("true", "2", "2"),
-        "review_packet_decisions_approved": ("both = n", "both", "n"),
-        "full_record_review": ("both = n", "both", "n"),
+        "review_packet_decisions_approved": ("unanimous = n", "unanimous", "n"),
+        "full_record_review": ("unanimous = n", "unanimous", "n"),
         "minimum_held_out_examples": ("held >= 100", "held", "'>=100'"),
         "held_out_within_dataset": ("true", "held", "'<=' || n"),
         "held_out_count_matches_ids": ("true", "held", "held"),
@@ -322,11 +322,11 @@ def _legacy_sql() -> str:
 
 
 _FACTS = f"""{_SIMPLE}, {_DECIDED},
-facts AS (SELECT n, held, both, sha256('source:' || n || ':' || chars) AS src,
+facts AS (SELECT n, held, unanimous, sha256('source:' || n || ':' || chars) AS src,
   sha256('prepared:' || n || ':' || chars) AS prep, sha256('freeze:' || n || ':' || chars) AS frz
   FROM (SELECT count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents),
        (SELECT count(*) AS held FROM simple WHERE split = 'test'),
-       (SELECT count(*) AS both FROM (SELECT record_id FROM decided WHERE yes GROUP BY 1 HAVING count(*) = 2)))"""
+       (SELECT count(*) AS unanimous FROM (SELECT record_id FROM decided WHERE yes GROUP BY 1 HAVING count(*) = 2)))"""
 
 ORACLES = {
     "draft_reviews": f"""

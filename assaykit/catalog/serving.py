@@ -108,10 +108,15 @@ def _event_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     )
 
 
+def _timed_events(spark: SparkSession, folder: str) -> DataFrame:
+    events = _event_stream(spark, folder, "events")
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def stream_load(spark: SparkSession, folder: str) -> DataFrame:
     """Closed windows of the streamed load summary."""
     failed = F.col("event_type") == "error"
-    outcomes = _event_stream(spark, folder, "events").select(
+    outcomes = _timed_events(spark, folder).select(
         "ts",
         F.when(failed, 500).otherwise(200).alias("status"),
         F.col("value").alias("latency_ms"),
@@ -123,7 +128,7 @@ def stream_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    samples = _event_stream(spark, folder, "events").select(
+    samples = _timed_events(spark, folder).select(
         F.col("user_id").cast("string").alias("series"), "ts", "value"
     )
     rows = stream.run_to_table(stream.sustained_stream(samples, ">", HIGH_VALUE, 600.0), spark)

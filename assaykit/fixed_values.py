@@ -62,6 +62,13 @@ PROVENANCE_LICENSE = "CC0-1.0"
 # Character classes spelled out, because Java's \w, \d, \s and \b are ASCII-only.
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
+TRIMMED_FROM_FIELDS = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+TRIMMED_FROM_TEXT = TRIMMED_FROM_FIELDS + "\x1c\x1d\x1e\x1f"
+NO_WORD_BEFORE = rf"(?<![{WORD}])"
+NO_WORD_AFTER = rf"(?![{WORD}])"
 WORD_EDGE = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 # A-Z ignoring case, with the four non-ASCII letters that fold into that range.
 ANY_CASE_LETTER = r"A-Za-zİıſK"
@@ -69,7 +76,7 @@ ANY_CASE_LETTER = r"A-Za-zİıſK"
 PII_PATTERNS = {
     "email address": (
         rf"{WORD_EDGE}[{ANY_CASE_LETTER}0-9._%+-]+@[{ANY_CASE_LETTER}0-9.-]+"
-        rf"\.[{ANY_CASE_LETTER}]{{2,}}{WORD_EDGE}"
+        rf"\.[{ANY_CASE_LETTER}]{{2,}}{NO_WORD_AFTER}"
     ),
     "US social-security number": r"(?<!\p{Nd})\p{Nd}{3}-\p{Nd}{2}-\p{Nd}{4}(?!\p{Nd})",
     "payment-card-like number": r"(?<!\p{Nd})(?:\p{Nd}[ -]?){12,18}\p{Nd}(?!\p{Nd})",
@@ -78,10 +85,10 @@ PII_PATTERNS = {
     ),
 }
 SECRET_ASSIGNMENT = (
-    rf"(?iu){WORD_EDGE}(authorization|token|api[_-]?key|password|secret)"
+    rf"(?iu){NO_WORD_BEFORE}(authorization|token|api[_-]?key|password|secret)"
     rf"([{SPACE}]*[:=][{SPACE}]*)(?:bearer[{SPACE}]+)?[^{SPACE},;]+"
 )
-HUB_TOKEN = rf"{WORD_EDGE}hf_[A-Za-z0-9]{{20,}}{WORD_EDGE}"
+HUB_TOKEN = rf"{NO_WORD_BEFORE}hf_[A-Za-z0-9]{{20,}}{NO_WORD_AFTER}"
 REDACTED = "[REDACTED]"
 JSON_FENCE = r"(?is)```(?:json)?\s*(.*?)```"
 

@@ -121,42 +121,43 @@ def with_object(df: DataFrame, text: str, prefix: str = "json") -> DataFrame:
     )
 
 
-def string_member(value: Column, name: str) -> Column:
+def members_of(value: Column) -> Column:
+    """Top-level members of a VARIANT object by name. Compute it once and pass it on."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def string_member(members: Column, name: str) -> Column:
     """A member when it is a string, else null (numbers are not turned into text)."""
-    member = F.try_variant_get(value, f"$.{name}", "variant")
+    member = members[name]
     return F.when(
-        F.schema_of_variant(member) == "STRING", F.try_variant_get(value, f"$.{name}", "string")
+        F.schema_of_variant(member) == "STRING", F.try_variant_get(member, "$", "string")
     )
 
 
-def output_members(value: Column) -> Column:
+def output_members(members: Column) -> Column:
     """The five output fields as nullable strings in one struct."""
-    return F.struct(*[string_member(value, name).alias(name) for name in fv.OUTPUT_FIELDS])
-
-
-def keys_of(value: Column) -> Column:
-    return F.json_object_keys(F.to_json(value))
+    return F.struct(*[string_member(members, name).alias(name) for name in fv.OUTPUT_FIELDS])
 
 
-def filled_fields(value: Column) -> Column:
+def filled_fields(members: Column) -> Column:
     """How many of the five output fields are present, not null and not the empty string."""
     total = F.lit(0)
     for name in fv.OUTPUT_FIELDS:
-        member = F.try_variant_get(value, f"$.{name}", "variant")
+        member = members[name]
         filled = (
             member.isNotNull()
             & (F.schema_of_variant(member) != "VOID")
-            & ~F.coalesce(string_member(value, name) == "", F.lit(False))
+            & ~F.coalesce(string_member(members, name) == "", F.lit(False))
         )
         total = total + filled.cast("int")
     return F.coalesce(total, F.lit(0))
 
 
-def field_errors(members: Column, value: Column) -> Column:
+def field_errors(output: Column, members: Column) -> Column:
     """Number of schema errors: failing fields plus unknown keys."""
     known = F.array(*[F.lit(name) for name in fv.OUTPUT_FIELDS])
-    unknown = F.size(F.array_except(keys_of(value), known))
-    return unknown + failing_fields(members)
+    unknown = F.size(F.array_except(F.map_keys(members), known))
+    return unknown + failing_fields(output)
 
 
 def failing_fields(members: Column) -> Column:
@@ -200,9 +201,9 @@ def chat_content(body: Column) -> Column:
 
 def chat_schema_valid(body: Column) -> Column:
     """The chat answer is one strict JSON object of the output schema."""
-    answer = parse_object(chat_content(body))
+    members = members_of(parse_object(chat_content(body)))
     return F.coalesce(
-        answer.isNotNull() & (field_errors(output_members(answer), answer) == 0), F.lit(False)
+        members.isNotNull() & (field_errors(output_members(members), members) == 0), F.lit(False)
     )
 
 

@@ -24,17 +24,12 @@ _NON_WORD_RUN = re.compile(r"\W+")
 
 def strip_text(text: Column | str) -> Column:
     """Trim what Python's ``str.strip`` trims."""
-    return _strip(text, fv.SPACE)
+    return F.btrim(F.col(text) if isinstance(text, str) else text, F.lit(fv.TRIMMED_FROM_TEXT))
 
 
 def strip_field(text: Column | str) -> Column:
     """Trim Unicode white space only, as record fields are trimmed before their checks."""
-    return _strip(text, r"\p{IsWhite_Space}")
-
-
-def _strip(text: Column | str, space: str) -> Column:
-    column = F.col(text) if isinstance(text, str) else text
-    return F.regexp_replace(column, rf"^[{space}]+|(?<![{space}])[{space}]+\z", "")
+    return F.btrim(F.col(text) if isinstance(text, str) else text, F.lit(fv.TRIMMED_FROM_FIELDS))
 
 
 @F.pandas_udf(T.StringType())
@@ -78,22 +73,32 @@ def with_fingerprint(df: DataFrame, text: Column, out: str = "fingerprint") -> D
 
 
 def matches_pii(text: Column, label: str) -> Column:
+    """One PII pattern, tried only on text that has the characters every match needs."""
     found = text.rlike(fv.PII_PATTERNS[label])
-    return F.contains(text, F.lit("@")) & found if label == "email address" else found
+    needed = {
+        "email address": F.contains(text, F.lit("@")),
+        "US social-security number": F.contains(text, F.lit("-")),
+    }.get(label)
+    return found if needed is None else needed & found
+
+
+def _may_have_pii(text: Column) -> Column:
+    return F.contains(text, F.lit("@")) | text.rlike(r"\p{Nd}")
 
 
 def pii_hits(text: Column) -> Column:
     """Names of the PII patterns found, in pattern order."""
-    return F.array_compact(
+    hits = F.array_compact(
         F.array(*[F.when(matches_pii(text, label), F.lit(label)) for label in fv.PII_PATTERNS])
     )
+    return F.when(_may_have_pii(text), hits).otherwise(F.array().cast("array<string>"))
 
 
 def has_pii(text: Column) -> Column:
     found = F.lit(False)
     for label in fv.PII_PATTERNS:
         found = found | matches_pii(text, label)
-    return found
+    return _may_have_pii(text) & found
 
 
 def safe_response(response: Column) -> Column:

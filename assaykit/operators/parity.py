@@ -23,18 +23,23 @@ MISMATCH_KINDS = (
 
 
 def _parsed(predictions: DataFrame, side: str) -> DataFrame:
-    """Only a bare strict JSON object counts; nothing is recovered, so this stays in the JVM."""
+    """Only a bare strict JSON object counts; nothing is recovered, so this stays in the JVM.
+
+    Texts are compared by digest, so the join moves short rows however long the answers are.
+    """
     value = sj.parse_object(F.col("prediction"))
     parsed = with_computed(predictions.select("id", "position", "prediction"), {"value": value})
-    read = with_computed(parsed, {"out": sj.output_members(F.col("value"))})
-    valid = F.coalesce(sj.field_errors(F.col("out"), F.col("value")) == 0, F.lit(False))
+    parsed = with_computed(parsed, {"members": sj.members_of(F.col("value"))})
+    read = with_computed(parsed, {"out": sj.output_members(F.col("members"))})
+    valid = F.coalesce(sj.field_errors(F.col("out"), F.col("members")) == 0, F.lit(False))
     return read.select(
         "id",
         F.col("position").alias(f"{side}_position"),
-        F.col("prediction").alias(f"{side}_text"),
-        F.to_json("value").alias(f"{side}_json"),
-        sj.trimmed_output(F.col("out")).alias(f"{side}_out"),
-        F.col("out.response").alias(f"{side}_response"),
+        F.sha2("prediction", 256).alias(f"{side}_text"),
+        F.sha2(F.to_json("value"), 256).alias(f"{side}_json"),
+        F.struct(*[sj.trimmed_output(F.col("out"))[name].alias(name)
+                   for name in fv.ROUTING_FIELDS]).alias(f"{side}_out"),
+        F.sha2(F.col("out")["response"], 256).alias(f"{side}_response"),
         valid.alias(f"{side}_valid"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rank error of the sketch is at most n / ACCURACY; the search range is three times as wide.
@@ -27,10 +27,11 @@ def exact_percentiles(
     """
     if method not in ("linear", "nearest"):
         raise ValueError(f"unknown percentile method {method!r}")
-    # Group columns are null-safe: an empty grouping becomes one constant column.
-    keys = [f"__g{i}" for i in range(len(group))] or ["__g0"]
+    # An empty grouping becomes one constant column.
+    named = {f"__g{i}": F.col(c) for i, c in enumerate(group)} or {"__g0": F.lit(0)}
+    keys = list(named)
     values = df.where(F.col(value).isNotNull()).select(
-        *([F.col(c).alias(k) for k, c in zip(keys, group, strict=True)] or [F.lit(0).alias("__g0")]),
+        *[column.alias(key) for key, column in named.items()],
         F.col(value).cast("double").alias("__v"),
     )
     margin = 3.0 / ACCURACY
@@ -93,9 +94,8 @@ def exact_percentiles(
     wide = ends.groupBy(*keys).agg(
         *[F.max(F.when(F.col("name") == name, answer)).alias(name) for name in quantiles]
     )
-    named: list[Column] = [F.col(k).alias(c) for k, c in zip(keys, group, strict=False)]
     return sketched.join(wide, keys).select(
-        *named,
+        *[F.col(k).alias(c) for k, c in zip(keys, group, strict=False)],
         F.col("__n").alias("count"),
         F.col("__mean").alias("mean"),
         *quantiles,

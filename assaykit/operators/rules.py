@@ -175,7 +175,7 @@ def field_rules() -> dict[str, Column]:
 
 
 def record_rules(system_text: str) -> dict[str, Column]:
-    """Rules on the record as a whole. ``assistant`` is the VARIANT of the last message."""
+    """Rules on the record as a whole. ``assistant`` holds the members of the last message."""
     record = F.col("record")
     content = F.transform(record["messages"], lambda m: m["content"])
     everything = F.concat_ws("\n", content, record["expected"]["response"])
@@ -226,7 +226,9 @@ def checked_records(lines: DataFrame, system_text: str, line: str = "line") -> D
         {
             "assistant": F.when(
                 F.size("__fields") == 0,
-                sj.parse_object(F.get(F.col("record.messages"), F.lit(2))["content"]),
+                sj.members_of(
+                    sj.parse_object(F.get(F.col("record.messages"), F.lit(2))["content"])
+                ),
             )
         },
     )

@@ -55,13 +55,13 @@ def score_predictions(predictions: DataFrame, keep: Sequence[str] = ()) -> DataF
     Labels and completeness count for recovered objects too; schema validity and exact match
     need the prediction to be one bare JSON object. ``keep`` names further columns to carry.
     """
+    members = F.col("__members")
     parsed = with_computed(
         sj.with_object(predictions, "prediction", "json"),
-        {"__out": sj.output_members(F.col("json_object"))},
-    )
-    errors = F.when(
-        F.col("json_object").isNotNull(), sj.field_errors(F.col("__out"), F.col("json_object"))
+        {"__members": sj.members_of(F.col("json_object"))},
     )
+    parsed = with_computed(parsed, {"__out": sj.output_members(members)})
+    errors = F.when(members.isNotNull(), sj.field_errors(F.col("__out"), members))
     parsed = with_computed(parsed, {"__errors": errors})
     out, expected = F.col("__out"), F.col("expected")
     strict = F.col("json_strict")
@@ -92,7 +92,7 @@ def score_predictions(predictions: DataFrame, keep: Sequence[str] = ()) -> DataF
         error.alias("parse_error"),
         strict.alias("strict_json_only"),
         valid.alias("schema_valid"),
-        (sj.filled_fields(F.col("json_object")) / F.lit(float(len(fv.OUTPUT_FIELDS)))).alias(
+        (sj.filled_fields(members) / F.lit(float(len(fv.OUTPUT_FIELDS)))).alias(
             "field_completeness"
         ),
         *correct,

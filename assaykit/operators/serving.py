@@ -112,7 +112,7 @@ def sustained_alerts(
     piece, two records per piece, are then joined up along the series.
     """
     marked = samples.select(
-        series, "ts", breaches(F.col("value"), operator, limit).alias("bad"),
+        series, F.col("ts").cast("timestamp").alias("ts"), breaches(F.col("value"), operator, limit).alias("bad"),
         F.window("ts", chunk)["start"].alias("chunk"),
     )
     piece = Window.partitionBy(series, "chunk").orderBy("ts")

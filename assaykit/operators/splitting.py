@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,16 @@ from assaykit.operators.allocation import split_counts
 from assaykit.operators.ranking import rank_by_digest, rank_levels
 from assaykit.session import durable
 
-_SPEC = "stratum string, p int, s int, candidate int, mode string, start long, size long, quota long"
+_SPEC = {
+    "stratum": pa.string(),
+    "p": pa.int32(),
+    "s": pa.int32(),
+    "candidate": pa.int32(),
+    "mode": pa.string(),
+    "start": pa.int64(),
+    "size": pa.int64(),
+    "quota": pa.int64(),
+}
 _ROWS = ("id", "stratum", "p", "s")
 
 
@@ -156,7 +166,8 @@ def candidate_label_counts(
 
 def _label_index(label: Column, labels: Sequence[str]) -> Column:
     known = F.array(*[F.lit(value) for value in labels])
-    return (F.array_position(known, label.cast("string")) - 1).cast("int")
+    place = F.array_position(known, label.cast("string"))
+    return F.when(place > 0, place - 1).cast("int")
 
 
 def _label_counts(rows: DataFrame) -> dict[tuple[str, int, int], int]:
@@ -208,6 +219,7 @@ class _HoldoutSearch:
         self.spark = rows.sparkSession
         self.cells = _label_counts(self.rows)
         self.candidates: dict[str, list[_Candidate]] = {}
+        self.ordered = False
 
     # Candidates -------------------------------------------------------------------------
 
@@ -320,11 +332,16 @@ class _HoldoutSearch:
                         counted[candidate.stratum, candidate.number]
                     )
 
+    def _table(self, rows: list[tuple], types: dict[str, pa.DataType]) -> DataFrame:
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+        arrays = [pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)]
+        return self.spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(types)))
+
     # Rows of candidates -----------------------------------------------------------------
 
     def members(self, spec: list[tuple]) -> DataFrame:
         """Rows of the given candidates. ``spec`` has label-sized rows, so it is broadcast."""
-        table = self.spark.createDataFrame(spec, _SPEC)
+        table = self._table(spec, _SPEC)
         return self.rows.join(F.broadcast(table), ["stratum", "p", "s"]).where(_is_member(F.col))
 
     # Ties -------------------------------------------------------------------------------
@@ -337,6 +354,7 @@ class _HoldoutSearch:
         round finds that row per group of undecided candidates, takes the row every candidate
         has in that slot, and splits the group by their digests. Rows are only scanned.
         """
+        self.ordered = True
         groups = [found for found in sets if len(found) > 1]
         for found in sets:
             for candidate in found:
@@ -362,7 +380,7 @@ class _HoldoutSearch:
     def _first_difference(self, groups: list[list[_Candidate]]) -> dict[int, int]:
         spec = [(*row, i) for i, group in enumerate(groups) for c in group for row in c.spec]
         table = (
-            self.spark.createDataFrame(spec, _SPEC + ", grp int")
+            self._table(spec, _SPEC | {"grp": pa.int32()})
             .groupBy("stratum", "p", "s", "grp")
             .agg(F.collect_list(F.struct("mode", "start", "size", "quota")).alias("specs"))
         )
@@ -380,7 +398,7 @@ class _HoldoutSearch:
             for c in group
             for row in c.spec
         ]
-        table = self.spark.createDataFrame(spec, _SPEC + ", at long")
+        table = self._table(spec, _SPEC | {"at": pa.int64()})
         found = (
             self.rows.join(F.broadcast(table), ["stratum", "p", "s"])
             .where(_is_member(F.col))
@@ -420,7 +438,11 @@ class _HoldoutSearch:
         )
 
     def _greedy(self) -> list[_Candidate]:
-        """Best candidate stratum by stratum, given what was chosen before."""
+        """Best candidate stratum by stratum, given what was chosen before.
+
+        All strata have their ties ordered together, which takes a few scans in total.
+        """
+        self.order_ties([f for f in self.candidates.values() if f[0].members is None])
         first = [0] * len(self.balance.first_labels)
         second = [0] * len(self.balance.second_labels)
         chosen = []
@@ -428,10 +450,7 @@ class _HoldoutSearch:
             scored = defaultdict(list)
             for c in self.candidates[stratum]:
                 scored[self._score(_add(first, c.first), _add(second, c.second))].append(c)
-            best = scored[min(scored)]
-            if best[0].members is None:
-                self.order_ties([best])
-            pick = min(best, key=lambda c: c.tie)
+            pick = min(scored[min(scored)], key=lambda c: c.tie)
             first, second = _add(first, pick.first), _add(second, pick.second)
             chosen.append(pick)
         return chosen
@@ -439,10 +458,10 @@ class _HoldoutSearch:
     def _frontier(self) -> list[_Candidate]:
         """Best path over all strata, keeping the best state per label count."""
         strata = sorted(self.candidates)
-        if len(strata) > 1:
-            self.order_ties([f for f in self.candidates.values() if f[0].members is None])
-        else:
+        if len(strata) == 1:
             self._order_best_only(strata[0])
+        elif not self.ordered:
+            self.order_ties([f for f in self.candidates.values() if f[0].members is None])
         zero = ((0,) * len(self.balance.first_labels), (0,) * len(self.balance.second_labels))
         states: dict[tuple, tuple[tuple, tuple]] = {zero: ((), ())}
         for stratum in strata:
@@ -498,8 +517,8 @@ class _HoldoutSearch:
     def _held(self, chosen: list[_Candidate]) -> DataFrame:
         spec = [row for c in chosen for row in c.spec]
         picks = [(c.stratum, i) for c in chosen if c.members is not None for i in c.members]
-        table = self.spark.createDataFrame(spec, _SPEC)
-        small = self.spark.createDataFrame(picks, "stratum string, idx long")
+        table = self._table(spec, _SPEC)
+        small = self._table(picks, {"stratum": pa.string(), "idx": pa.int64()})
         return (
             self.rows.join(F.broadcast(table), ["stratum", "p", "s"], "left")
             .join(F.broadcast(small.withColumn("picked", F.lit(True))), ["stratum", "idx"], "left")

@@ -109,8 +109,6 @@ def read_prepared(spark: SparkSession, path: str) -> DataFrame:
 def expected_of(prepared: DataFrame) -> DataFrame:
     """(id, expected): the stored object, else the one in the last completion message."""
     answer = F.element_at("completion", -1)["content"]
-    parsed = sj.parse_object(answer)
-    return prepared.select(
-        "id", F.coalesce(F.col("expected"), F.when(parsed.isNotNull(),
-                                                   sj.output_members(parsed))).alias("expected")
-    )
+    members = sj.members_of(sj.parse_object(answer))
+    stored = F.when(members.isNotNull(), sj.output_members(members))
+    return prepared.select("id", F.coalesce(F.col("expected"), stored).alias("expected"))
