@@ -11,10 +11,9 @@ def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
     Neighbouring projections are merged by the optimizer, which copies an expression into every
     place that uses it. A one-element ``inline`` stays an operator of its own (inside the same
-    code-generated stage), so a parse or a rule list is evaluated once per row.
+    code-generated stage), so a parse or a rule list is evaluated once per row. Pass structs along
+    as flat columns: the optimizer's field pruning does not follow them through several steps.
     """
-    # Field pruning across generators loses attributes for structs that pass several of them.
-    df.sparkSession.conf.set("spark.sql.optimizer.expression.nestedPruning.enabled", "false")
     kept = [name for name in df.columns if name not in columns]
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
     return df.select(*kept, F.inline(F.array(row)))

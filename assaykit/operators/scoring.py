@@ -56,14 +56,19 @@ def score_predictions(predictions: DataFrame, keep: Sequence[str] = ()) -> DataF
     need the prediction to be one bare JSON object. ``keep`` names further columns to carry.
     """
     members = F.col("__members")
+    flat = predictions.select(
+        "id", "prediction", "latency_ms", *keep,
+        *[F.col("expected")[name].alias(f"__want_{name}") for name in fv.OUTPUT_FIELDS],
+    )
     parsed = with_computed(
-        sj.with_object(predictions, "prediction", "json"),
+        sj.with_object(flat, "prediction", "json"),
         {"__members": sj.members_of(F.col("json_object"))},
     )
     parsed = with_computed(parsed, {"__out": sj.output_members(members)})
     errors = F.when(members.isNotNull(), sj.field_errors(F.col("__out"), members))
     parsed = with_computed(parsed, {"__errors": errors})
-    out, expected = F.col("__out"), F.col("expected")
+    out = F.col("__out")
+    expected = F.struct(*[F.col(f"__want_{name}").alias(name) for name in fv.OUTPUT_FIELDS])
     strict = F.col("json_strict")
     valid = strict & F.coalesce(F.col("__errors") == 0, F.lit(False))
     error = (
@@ -86,7 +91,7 @@ def score_predictions(predictions: DataFrame, keep: Sequence[str] = ()) -> DataF
     guessed = [out[name].alias(f"predicted_{name}") for name in fv.LABEL_DIMENSIONS]
     scored = parsed.select(
         "id",
-        "expected",
+        expected.alias("expected"),
         "prediction",
         F.to_json("json_object").alias("parsed"),
         error.alias("parse_error"),
