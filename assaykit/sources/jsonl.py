@@ -11,9 +11,13 @@ from assaykit.functions.text import strip_text
 from assaykit.operators.scoring import default_id
 
 
-def read_lines(spark: SparkSession, path: str, skip_blank: bool = False) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str, skip_blank: bool = False, across_files: bool = False
+) -> DataFrame:
     """Text lines as (source_file, line_no, line); numbers start at 1 in every file.
 
+    With ``across_files`` the files of a folder are counted through in name order.
+
     A file split is read by one task in order, so the id Spark gives each row counts up by one
     inside a split. The first id and the number of lines per split, one record each, turn that
     into line numbers; the lines themselves are not shuffled or sorted. With ``skip_blank`` only
@@ -25,14 +29,14 @@ def read_lines(spark: SparkSession, path: str, skip_blank: bool = False) -> Data
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__row"),
     )
-    numbered = _numbered(scan, "__row", "line_no")
+    numbered = _numbered(scan, "__row", "line_no", across_files)
     if not skip_blank:
         return numbered.select("source_file", "line_no", "line")
     used = scan.where(F.length(strip_text(F.col("line"))) > 0).withColumn(
         "__used", F.monotonically_increasing_id()
     )
-    lines = _numbered(used, "__used", "position")
-    starts = _block_starts(scan, "__row").select(
+    lines = _numbered(used, "__used", "position", across_files)
+    starts = _block_starts(scan, "__row", across_files).select(
         "source_file", "__block", (F.col("__before") - F.col("__first") + 1).alias("__shift")
     )
     return lines.join(starts, ["source_file", "__block"]).select(
@@ -40,20 +44,22 @@ def read_lines(spark: SparkSession, path: str, skip_blank: bool = False) -> Data
     )
 
 
-def _block_starts(rows: DataFrame, row: str) -> DataFrame:
+def _block_starts(rows: DataFrame, row: str, across_files: bool) -> DataFrame:
     blocks = rows.groupBy("source_file", "__block").agg(
         F.min(row).alias("__first"), F.count(F.lit(1)).alias("__lines")
     )
-    before = (
-        Window.partitionBy("source_file")
-        .orderBy("__block")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # One record per file split, so even the order over all files is a small table.
+    order = (
+        Window.orderBy("source_file", "__block")
+        if across_files
+        else Window.partitionBy("source_file").orderBy("__block")
     )
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     return blocks.withColumn("__before", F.coalesce(F.sum("__lines").over(before), F.lit(0)))
 
 
-def _numbered(rows: DataFrame, row: str, out: str) -> DataFrame:
-    starts = _block_starts(rows, row)
+def _numbered(rows: DataFrame, row: str, out: str, across_files: bool) -> DataFrame:
+    starts = _block_starts(rows, row, across_files)
     return rows.join(starts, ["source_file", "__block"]).withColumn(
         out, F.col("__before") + F.col(row) - F.col("__first") + 1
     ).drop("__before", "__first", "__lines")
@@ -99,9 +105,9 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
-    """Prepared split records with their line as ``position`` (0-based)."""
+    """Prepared records of one split's file or folder, with their line as ``position`` (0-based)."""
     record = F.from_json("line", schemas.struct(schemas.PREPARED))
-    return read_lines(spark, path).select(
+    return read_lines(spark, path, across_files=True).select(
         "source_file", (F.col("line_no") - 1).alias("position"), record.alias("r"), "line"
     ).select("source_file", "position", "r.*", "line")
 
