@@ -58,9 +58,12 @@ def benchmark_leakage(spark: SparkSession, folder: str) -> DataFrame:
     docs = tx.with_fingerprint(read_table(spark, folder, "documents", spread=True), F.col("text"))
     held = tx.with_fingerprint(read_table(spark, folder, "benchmark"), F.col("text"))
     held = held.groupBy("fingerprint").agg(F.min("item_id").alias("item_id"))
-    joined = docs.select("source", "fingerprint").join(held, "fingerprint", "left")
+    # Copies are counted before the join, so a fingerprint that many documents share stays small.
+    copies = docs.groupBy("fingerprint", "source").agg(F.count(F.lit(1)).alias("n"))
+    joined = copies.join(held, "fingerprint", "left")
+    leaked = F.sum(F.when(F.col("item_id").isNotNull(), F.col("n")))
     return joined.groupBy("source").agg(
-        F.count(F.lit(1)).alias("documents"), F.count("item_id").alias("leaked")
+        F.sum("n").alias("documents"), F.coalesce(leaked, F.lit(0)).alias("leaked")
     )
 
 

@@ -397,8 +397,9 @@ a AS (SELECT id, n AS position, category FROM t UNION ALL SELECT 'NEW-' || id, n
 b AS (SELECT id, CASE WHEN n % 70 = 1 THEN n + 1 ELSE n END AS position,
         CASE WHEN n % 90 = 1 THEN 'changed' ELSE category END AS category FROM t WHERE n % 50 <> 0
       UNION ALL SELECT id, n, category FROM t WHERE n % 110 = 1),
-j AS (SELECT coalesce(a.id, b.id) AS id, a.position AS ap, b.position AS bp, a.category AS ac, b.category AS bc
-      FROM a FULL JOIN b ON a.id = b.id),
+b1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY position, category) AS k FROM b) WHERE k = 1),
+j AS (SELECT coalesce(a.id, b1.id) AS id, a.position AS ap, b1.position AS bp, a.category AS ac, b1.category AS bc
+      FROM a FULL JOIN b1 ON a.id = b1.id),
 f AS (SELECT id, 'missing from candidate' AS problem FROM j WHERE ap IS NULL
   UNION ALL SELECT id, 'missing from baseline' FROM j WHERE bp IS NULL
   UNION ALL SELECT id, 'position differs' FROM j WHERE ap <> bp

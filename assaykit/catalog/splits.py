@@ -326,9 +326,11 @@ SELECT s.split, dm.dimension, true AS feasible, 0 AS missing_labels, true AS pas
 FROM (VALUES ('validation'), ('test')) s(split),
      (SELECT DISTINCT unnest(['category', 'priority', 'sentiment']) AS dimension FROM documents) dm""",
     "split_candidates": f"""WITH {_VARIANT_ROWS},
-picked AS (SELECT stratum, 1 + mi * 32 + v AS candidate, p, s FROM drawn JOIN counts USING (stratum)
+many AS (SELECT stratum, validation FROM (SELECT *, least(validation, size - validation) AS e FROM counts)
+  WHERE (e = 1 AND size > 128) OR (e = 2 AND size > 16) OR (e = 3 AND size > 10) OR (e = 4 AND size > 9) OR e > 4),
+picked AS (SELECT stratum, 1 + mi * 32 + v AS candidate, p, s FROM drawn JOIN many USING (stratum)
   WHERE k <= validation
-  UNION ALL SELECT stratum, 0, p, s FROM base JOIN counts USING (stratum) WHERE idx <= validation)
+  UNION ALL SELECT stratum, 0, p, s FROM base JOIN many USING (stratum) WHERE idx <= validation)
 SELECT stratum, candidate, p, s, count(*) AS rows FROM picked GROUP BY ALL""",
     "manifest_digest": """
 WITH l0 AS (SELECT lang, doc_id AS p, sha256(text) AS h FROM documents),

@@ -80,10 +80,17 @@ def check_counts(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
 def table_differences(
     published: DataFrame, recomputed: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
-    """(key, field) where a published value is not the recomputed one; also one-sided keys."""
+    """(key, field) where a published value is not the recomputed one; also one-sided and
+    repeated keys. Each side is reduced to one row per key first, so repeats do not multiply.
+    """
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(key, *[F.col(c).alias(f"{prefix}{c}") for c in columns],
-                         F.lit(True).alias(f"{prefix}here"))
+        one = df.groupBy(key).agg(
+            F.min(F.struct(*columns)).alias("r"), F.count(F.lit(1)).alias(f"{prefix}copies")
+        )
+        return one.select(
+            key, *[F.col("r")[c].alias(f"{prefix}{c}") for c in columns], f"{prefix}copies",
+            F.lit(True).alias(f"{prefix}here"),
+        )
 
     both = side(published, "p_").join(side(recomputed, "r_"), key, "full_outer")
     missing = F.when(F.col("r_here").isNull(), "not recomputed").when(
@@ -97,8 +104,9 @@ def table_differences(
         )
         for c in columns
     ]
+    repeated = F.when((F.col("p_copies") > 1) | (F.col("r_copies") > 1), "repeated")
     return both.select(
-        key, F.explode(F.array_compact(F.array(missing, *differs))).alias("field")
+        key, F.explode(F.array_compact(F.array(missing, repeated, *differs))).alias("field")
     )
 
 
@@ -148,9 +156,16 @@ def threshold_problems(
 def header_mismatches(rows: DataFrame, header: DataFrame, fields: Sequence[str], key: str) -> DataFrame:
     """(field, rows) where row values differ from the artifact header they belong to."""
     wanted = header.select(key, *[F.col(f).alias(f"h_{f}") for f in fields])
-    joined = rows.select(key, *fields).join(wanted, key, "left")
+    # Equal rows are counted first: a header with most of the rows sends few records to the join.
+    combined = rows.groupBy(key, *fields).agg(F.count(F.lit(1)).alias("__n"))
+    joined = combined.join(wanted, key, "left")
     counted = joined.agg(
-        *[F.count_if(~F.col(f).eqNullSafe(F.col(f"h_{f}"))).alias(f) for f in fields]
+        *[
+            F.coalesce(
+                F.sum(F.when(~F.col(f).eqNullSafe(F.col(f"h_{f}")), F.col("__n"))), F.lit(0)
+            ).alias(f)
+            for f in fields
+        ]
     )
     return counted.unpivot([], list(fields), "field", "rows")
 

@@ -14,10 +14,7 @@ from assaykit.operators.scoring import metric_rows, summarize
 def pair_runs(
     left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
-    """Full outer pairing on one key: ``l_*``, ``r_*`` and which sides are present.
-
-    Both sides are first brought to one row per key by the caller's check (``repeated_keys``).
-    """
+    """Full outer pairing of two tables with one row per key: ``l_*``, ``r_*``, ``in_l``, ``in_r``."""
     renamed = [
         side.select(key, *[F.col(c).alias(f"{p}_{c}") for c in columns], F.lit(True).alias(f"in_{p}"))
         for p, side in (("l", left), ("r", right))
@@ -27,12 +24,6 @@ def pair_runs(
     )
 
 
-def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
-    return (
-        rows.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
-    )
-
-
 def cohort_problems(
     candidate: DataFrame,
     baseline: DataFrame,
@@ -43,10 +34,17 @@ def cohort_problems(
     """(problem, id) rows; two runs are comparable when there are none.
 
     Checked are repeated ids, ids missing on a side, different positions and different
-    expected values.
+    expected values. Each side is reduced to its first row per id before the join, so an id
+    repeated on both sides does not multiply.
     """
     columns = [position, *expected]
-    pairs = pair_runs(candidate, baseline, key, columns)
+    sides = [
+        side.groupBy(key)
+        .agg(F.min(F.struct(*columns)).alias("row"), F.count(F.lit(1)).alias("copies"))
+        .select(key, "row.*", "copies")
+        for side in (candidate, baseline)
+    ]
+    pairs = pair_runs(*sides, key, [*columns, "copies"])
     both = F.col("in_l") & F.col("in_r")
     differs = F.lit(False)
     for name in expected:
@@ -56,18 +54,15 @@ def cohort_problems(
         ("missing from baseline", ~F.col("in_r")),
         ("position differs", both & (F.col(f"l_{position}") != F.col(f"r_{position}"))),
         ("expected output differs", both & differs),
+        ("repeated in candidate", F.coalesce(F.col("l_copies") > 1, F.lit(False))),
+        ("repeated in baseline", F.coalesce(F.col("r_copies") > 1, F.lit(False))),
     ]
-    found = pairs.select(
-        key,
+    return pairs.select(
         F.explode(
             F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in problems]))
         ).alias("problem"),
+        key,
     )
-    repeats = [
-        repeated_keys(side, key).select(key, F.lit(f"repeated in {name}").alias("problem"))
-        for name, side in (("candidate", candidate), ("baseline", baseline))
-    ]
-    return found.unionByName(repeats[0]).unionByName(repeats[1]).select("problem", key)
 
 
 def provenance_problems(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaykit.functions.text import strip_field
+from assaykit.operators.duplicates import lookup_by_group
 
 
 def prompt_completion(record: Column) -> list[Column]:
@@ -104,14 +105,15 @@ def last_answer_split(turns: DataFrame, conv: str, turn: str, role: str) -> Data
     Turns stay rows, so a very long conversation is never one value.
     """
     last = turns.groupBy(conv).agg(
-        F.max(F.when(F.col(role) == "assistant", F.col(turn))).alias("__answer")
+        F.max(F.when(F.col(role) == "assistant", F.col(turn))).alias("__answer"),
+        F.count(F.lit(1)).alias("__turns"),
     )
     part = F.when(F.col(turn) == F.col("__answer"), "completion").when(
         F.col(turn) < F.col("__answer"), "prompt"
     )
     return (
-        turns.join(last, conv)
+        lookup_by_group(turns, last, conv, "__turns")
         .withColumn("part", part)
         .where(F.col("part").isNotNull())
-        .drop("__answer")
+        .drop("__answer", "__turns")
     )

@@ -30,11 +30,14 @@ def first_seen(
 ) -> DataFrame:
     """One record per key: the smallest ``order`` tuple (``first``) and the group size (``copies``).
 
-    ``min`` of a struct combines on the map side, so a hot key costs one record per task.
+    ``min`` combines on the map side, so a hot key costs one record per task. A single order
+    column is aggregated as it is, because numbers can be combined in place.
     """
-    groups = rows.groupBy(key).agg(
-        F.min(F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("copies")
-    )
+    if len(order) == 1:
+        least = F.struct(F.min(order[0]).alias(order[0]))
+    else:
+        least = F.min(F.struct(*order))
+    groups = rows.groupBy(key).agg(least.alias("first"), F.count(F.lit(1)).alias("copies"))
     return groups.where(F.col("copies") > 1) if only_repeated else groups
 
 

@@ -44,9 +44,15 @@ def _parsed(predictions: DataFrame, side: str) -> DataFrame:
     )
 
 
+def _one_per_id(rows: DataFrame) -> DataFrame:
+    """First row per id. Ids are unique in a usable set; this keeps repeats from multiplying."""
+    rest = [c for c in rows.columns if c != "id"]
+    return rows.groupBy("id").agg(F.min(F.struct(*rest)).alias("row")).select("id", "row.*")
+
+
 def pair_predictions(adapter: DataFrame, merged: DataFrame) -> DataFrame:
     """One row per id with all match flags. Inputs: (id, position, prediction)."""
-    pairs = _parsed(adapter, "a").join(_parsed(merged, "m"), "id")
+    pairs = _one_per_id(_parsed(adapter, "a")).join(_one_per_id(_parsed(merged, "m")), "id")
     contract = F.col("a_valid") & F.col("m_valid")
     objects = F.col("a_json").isNotNull() & F.col("m_json").isNotNull()
     flags: dict[str, Column] = {

@@ -69,7 +69,10 @@ def exact_percentiles(
                 weight.cast("double").alias("weight"),
             )
         )
-    plan = sketched.select(*keys, F.explode(F.array(*brackets)).alias("b")).select(*keys, "b.*")
+    facts = [*keys, "__n", "__mean"]
+    plan = sketched.select(*facts, F.explode(F.array(*brackets)).alias("b")).select(*facts, "b.*")
+    if not group:
+        plan = F.broadcast(plan)  # one row per quantile
 
     # Distinct values first: a value shared by a third of the rows becomes one record.
     distinct = values.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
@@ -77,7 +80,7 @@ def exact_percentiles(
     inside = F.col("__v") >= F.col("low")
     # Everything below the bracket collapses into one record per group and quantile.
     compact = placed.groupBy(
-        *keys, "name", "low_rank", "high_rank", "weight",
+        *facts, "name", "low_rank", "high_rank", "weight",
         F.when(inside, F.col("__v")).alias("__v"),
     ).agg(F.sum("__c").alias("__c"))
     running = (
@@ -85,16 +88,23 @@ def exact_percentiles(
         .orderBy(F.asc_nulls_first("__v"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    upto = compact.withColumn("__upto", F.sum("__c").over(running)).where(F.col("__v").isNotNull())
-    ends = upto.groupBy(*keys, "name", "weight").agg(
+    upto = compact.withColumn("__upto", F.sum("__c").over(running))
+    ends = upto.groupBy(*facts, "name", "weight", "low_rank", "high_rank").agg(
         F.min(F.when(F.col("__upto") >= F.col("low_rank"), F.col("__v"))).alias("low"),
         F.min(F.when(F.col("__upto") >= F.col("high_rank"), F.col("__v"))).alias("high"),
+        F.max(F.when(F.col("__v").isNull(), F.col("__upto"))).alias("below"),
+        F.max("__upto").alias("reached"),
     )
-    answer = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
-    wide = ends.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("name") == name, answer)).alias(name) for name in quantiles]
+    bracketed = (F.coalesce("below", F.lit(0)) < F.col("low_rank")) & (
+        F.col("reached") >= F.col("high_rank")
     )
-    return sketched.join(wide, keys).select(
+    # The sketch's error bound makes this certain; should it ever not hold, fail, do not guess.
+    answer = F.when(
+        bracketed, F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
+    ).otherwise(F.raise_error(F.lit("percentile outside its bracket")).cast("double"))
+    return ends.groupBy(*facts).agg(
+        *[F.max(F.when(F.col("name") == name, answer)).alias(name) for name in quantiles]
+    ).select(
         *[F.col(k).alias(c) for k, c in zip(keys, group, strict=False)],
         F.col("__n").alias("count"),
         F.col("__mean").alias("mean"),

@@ -36,9 +36,9 @@ def rank_levels(
     by (first level, slice) serves all of them.
     """
     everything = tuple(dict.fromkeys(c for columns in levels.values() for c in columns))
-    sliced = df.withColumn(
-        "__slice", F.conv(F.substring(key, 1, prefix_hex), 16, 10).cast("int")
-    )
+    # A digest is never null; saying so keeps the join from filtering on it (and hashing twice).
+    number = F.conv(F.substring(key, 1, prefix_hex), 16, 10).cast("int")
+    sliced = df.withColumn("__slice", F.coalesce(number, F.lit(0)))
     counts = sliced.groupBy(*everything, "__slice").agg(F.count(F.lit(1)).alias("__n"))
     ranked, offsets = sliced, counts
     for out, columns in levels.items():

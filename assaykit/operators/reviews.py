@@ -341,9 +341,15 @@ def qualification_result(policies: DataFrame, records: DataFrame, legacy: bool =
     return _facts(passed, tier)
 
 
+def _one_digest(inventory: DataFrame, out: str) -> DataFrame:
+    """One digest per path; a path with several contents has none."""
+    least, most = F.min("sha256"), F.max("sha256")
+    return inventory.groupBy("path").agg(F.when(least == most, least).alias(out))
+
+
 def reference_checks(references: DataFrame, inventory: DataFrame) -> DataFrame:
     """Declared against observed digest of each referenced file; a missing file fails."""
-    seen = inventory.select("path", F.col("sha256").alias("observed_sha256"))
+    seen = _one_digest(inventory, "observed_sha256")
     return references.join(seen, "path", "left").withColumn(
         "matches", F.coalesce(F.col("sha256") == F.col("observed_sha256"), F.lit(False))
     )
@@ -351,5 +357,5 @@ def reference_checks(references: DataFrame, inventory: DataFrame) -> DataFrame:
 
 def rebind_references(references: DataFrame, inventory: DataFrame) -> DataFrame:
     """References with the digest the file has now; decisions and status are not touched."""
-    seen = inventory.select("path", F.col("sha256").alias("__now"))
+    seen = _one_digest(inventory, "__now")
     return references.join(seen, "path", "left").withColumn("sha256", F.col("__now")).drop("__now")

@@ -34,13 +34,21 @@ def content_inventory(rows: DataFrame, path: Column, content: Column) -> DataFra
 
 
 def inventory_diff(declared: DataFrame, observed: DataFrame) -> DataFrame:
-    """(path, status): same, changed, missing or unexpected. Paths are unique per inventory."""
-    left = declared.select("path", F.col("sha256").alias("l"), F.col("size_bytes").alias("ls"))
-    right = observed.select("path", F.col("sha256").alias("r"), F.col("size_bytes").alias("rs"))
+    """(path, status): same, changed, missing or unexpected.
+
+    A path listed with several contents is reduced to one record and counts as changed.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        content = F.struct("sha256", "size_bytes")
+        return df.groupBy("path").agg(
+            F.min(content).alias(name), (F.min(content) != F.max(content)).alias(f"{name}_varies")
+        )
+
+    left, right = side(declared, "l"), side(observed, "r")
     status = (
         F.when(F.col("r").isNull(), "missing")
         .when(F.col("l").isNull(), "unexpected")
-        .when((F.col("l") == F.col("r")) & (F.col("ls") == F.col("rs")), "same")
+        .when((F.col("l") == F.col("r")) & ~F.col("l_varies") & ~F.col("r_varies"), "same")
         .otherwise("changed")
     )
     return left.join(right, "path", "full_outer").select("path", status.alias("status"))
