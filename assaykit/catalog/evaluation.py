@@ -203,7 +203,7 @@ def _generated(spark: SparkSession, folder: str, role: str) -> DataFrame:
         dataset.alias("training_dataset_sha256"),
         F.create_map(F.lit("qualification_report"),
                      F.when(n % 17 == 0, digest("x")).otherwise(digest("report"))).alias("qualification_sha256"),
-        (F.lit("models/base") if True else none).alias("model_name_or_path"),
+        F.lit("models/base").alias("model_name_or_path"),
         F.when(n >= 100, "r2").otherwise("r1").alias("model_revision"),
         (F.when(n % 13 != 0, "adapters/one") if adapter else F.when(n % 13 == 0, "adapters/one")).alias("adapter_path"),
         (digest("adapter") if adapter else none).alias("adapter_config_sha256"),

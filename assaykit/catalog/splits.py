@@ -11,6 +11,8 @@ from assaykit.functions import digests
 from assaykit.functions import text as tx
 from assaykit.operators import allocation, splitting
 from assaykit.operators import distributions as dist
+from assaykit.operators.duplicates import shared_across
+from assaykit.operators.ranking import rank_by_digest
 from assaykit.plans import corpus as plan
 from assaykit.session import durable
 from assaykit.sources import grid
@@ -72,8 +74,6 @@ def holdout_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_leakage(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints that a split by id leaves on both sides."""
-    from assaykit.operators.duplicates import shared_across
-
     placed = split_simple(spark, folder).select(F.col("id").alias("doc_id"), "split")
     docs = tx.with_fingerprint(read_table(spark, folder, "documents"), F.col("text"))
     return shared_across(docs.select("doc_id", "fingerprint").join(placed, "doc_id"), "fingerprint", "split")
@@ -114,9 +114,7 @@ def manifest_digest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Seeded order of orders inside their priority: the first of every 1,000 ranks."""
-    from assaykit.operators.ranking import rank_by_digest
-
+    """Place of every order in the seeded order of its priority."""
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", "o_orderpriority",
         tx.order_key(42, F.col("o_orderpriority"), F.col("o_orderkey")).alias("key"),
@@ -126,6 +124,15 @@ def order_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def run_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Run id of every order, taking its date as the time and its labels as the configuration."""
+    orders = read_table(spark, folder, "orders")
+    config = digests.canonical_digest(
+        {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")}
+    )
+    return orders.select("o_orderkey", digests.run_id(F.col("o_orderdate"), config).alias("run_id"))
+
+
 def prepare_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Manifest of the prepared corpus: lines per split after validation, split and projection."""
     checked = plan.validate(d.corpus_lines(spark, folder), d.SYSTEM_TEXT)
@@ -208,6 +215,7 @@ QUERIES = {
     "split_candidates": split_candidates,
     "manifest_digest": manifest_digest,
     "order_keys": order_keys,
+    "run_ids": run_ids,
     "prepare_corpus": prepare_corpus,
     "verify_splits": verify_splits,
     "manifest_problems": manifest_problems,
@@ -341,6 +349,9 @@ SELECT l3.lang, n AS lines, h AS digest FROM l3 JOIN (SELECT lang, count(*) AS n
     "order_keys": """
 SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority
   ORDER BY sha256('42:' || o_orderpriority || ':' || o_orderkey)) - 1 AS place FROM orders""",
+    "run_ids": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y%m%dT%H%M%S.%fZ') || '-' || substr(sha256('{"priority":"' || o_orderpriority
+  || '","status":"' || o_orderstatus || '"}'), 1, 12) AS run_id FROM orders""",
     "verify_splits": f"""WITH {d.SQL_TICKETS}, {_SIMPLE},
 rows_bad AS (
   SELECT CASE WHEN id % 97 = 0 THEN 'row missing' WHEN id % 83 = 0 THEN 'ordered ids differ'

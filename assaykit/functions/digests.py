@@ -20,6 +20,17 @@ def canonical_digest(fields: dict[str, Column]) -> Column:
     return F.sha2(canonical_json(fields), 256)
 
 
+def run_id(created_at: Column, config_digest: Column) -> Column:
+    """UTC time to the microsecond and the start of the configuration's digest."""
+    stamp = F.date_format(created_at, "yyyyMMdd'T'HHmmss.SSSSSS'Z'")
+    return F.concat(stamp, F.lit("-"), F.substring(config_digest, 1, 12))
+
+
+def short_id(identity: dict[str, Column]) -> Column:
+    """First 16 hex digits of an identity's digest, as comparison reports are named."""
+    return F.substring(canonical_digest(identity), 1, 16)
+
+
 def tree_digest(
     rows: DataFrame,
     group: Sequence[str],

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from assaykit import fixed_values as fv
 from assaykit.functions import digests
+from assaykit.functions.text import with_fingerprint
 from assaykit.operators import distributions as dist
 from assaykit.operators import rules
 from assaykit.operators.conversations import prepared_json, prompt_completion
 from assaykit.operators.duplicates import shared_across
 from assaykit.operators.splitting import Balance, stratified_split
-from assaykit.functions.text import with_fingerprint
-from assaykit.session import durable
+from assaykit.session import durable, small_side
 
 
 @dataclass
@@ -29,7 +29,7 @@ def validate(lines: DataFrame, system_text: str, line: str = "line") -> Validati
     """Check (line_no, line) rows. ``clean`` holds the records without any violation."""
     found = durable(rules.violations(lines, system_text, line))
     checked = rules.checked_records(lines, system_text, line).where(F.size("broken") == 0)
-    bad = found.select("line_no").distinct()
+    bad = small_side(durable(found.select("line_no").distinct()))
     clean = checked.join(bad, "line_no", "left_anti").select("line_no", "record.*")
     return Validation(clean, found, rules.first_error(found))
 

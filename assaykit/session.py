@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -26,6 +27,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+def small_side(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a join side after counting that it is small; otherwise leave it to a shuffle.
+
+    The count stops at the limit. Use it where the other side is large and wide, so that
+    shuffling it would cost more than this look at the small side.
+    """
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write a compact intermediate table once, so that later passes do not redo its input."""
     ensure_checkpoint_dir(df.sparkSession)

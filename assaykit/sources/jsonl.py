@@ -9,6 +9,7 @@ from assaykit import schemas
 from assaykit.functions import strict_json as sj
 from assaykit.functions.text import strip_text
 from assaykit.operators.scoring import default_id
+from assaykit.session import small_side
 
 
 def read_lines(
@@ -39,7 +40,7 @@ def read_lines(
     starts = _block_starts(scan, "__row", across_files).select(
         "source_file", "__block", (F.col("__before") - F.col("__first") + 1).alias("__shift")
     )
-    return lines.join(starts, ["source_file", "__block"]).select(
+    return lines.join(small_side(starts), ["source_file", "__block"]).select(
         "source_file", (F.col("__row") + F.col("__shift")).alias("line_no"), "position", "line"
     )
 
@@ -60,7 +61,7 @@ def _block_starts(rows: DataFrame, row: str, across_files: bool) -> DataFrame:
 
 def _numbered(rows: DataFrame, row: str, out: str, across_files: bool) -> DataFrame:
     starts = _block_starts(rows, row, across_files)
-    return rows.join(starts, ["source_file", "__block"]).withColumn(
+    return rows.join(small_side(starts), ["source_file", "__block"]).withColumn(
         out, F.col("__before") + F.col(row) - F.col("__first") + 1
     ).drop("__before", "__first", "__lines")
 
