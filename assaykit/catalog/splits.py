@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaykit import fixed_values as fv
 from assaykit.catalog import derived as d
+from assaykit.catalog.corpus import SQL_VIOLATIONS
 from assaykit.functions import digests
 from assaykit.functions import text as tx
 from assaykit.operators import allocation, splitting
@@ -134,10 +135,17 @@ def run_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prepare_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    """Manifest of the prepared corpus: lines per split after validation, split and projection."""
+    """Label manifest of the prepared corpus: validated, split, projected and counted.
+
+    Categories are listed per split; which rows carry the other labels is up to the balanced
+    search, so those are listed over all splits.
+    """
     checked = plan.validate(d.corpus_lines(spark, folder), d.SYSTEM_TEXT)
     made = plan.prepare(durable(checked.clean))
-    return made.manifest_labels
+    split = F.when(F.col("dimension") == "category", F.col("split")).otherwise("all")
+    return made.manifest_labels.groupBy(split.alias("split"), "dimension", "label").agg(
+        F.sum("rows").alias("rows")
+    )
 
 
 def verify_splits(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,6 +357,13 @@ SELECT l3.lang, n AS lines, h AS digest FROM l3 JOIN (SELECT lang, count(*) AS n
     "order_keys": """
 SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority
   ORDER BY sha256('42:' || o_orderpriority || ':' || o_orderkey)) - 1 AS place FROM orders""",
+    "prepare_corpus": f"""WITH {SQL_VIOLATIONS},
+clean AS (SELECT * FROM lined WHERE line_no NOT IN (SELECT line_no FROM found)),
+{sql_counts('clean', 'category')},
+c AS (SELECT stratum, unnest(['train', 'validation', 'test']) AS split, unnest([train, validation, test]) AS rows FROM counts)
+SELECT split, 'category' AS dimension, stratum AS label, rows FROM c WHERE rows > 0
+UNION ALL SELECT 'all', 'priority', priority, count(*) FROM clean GROUP BY 3
+UNION ALL SELECT 'all', 'sentiment', sentiment, count(*) FROM clean GROUP BY 3""",
     "run_ids": """
 SELECT o_orderkey, strftime(o_orderdate, '%Y%m%dT%H%M%S.%fZ') || '-' || substr(sha256('{"priority":"' || o_orderpriority
   || '","status":"' || o_orderstatus || '"}'), 1, 12) AS run_id FROM orders""",
