@@ -340,9 +340,13 @@ class _HoldoutSearch:
     # Rows of candidates -----------------------------------------------------------------
 
     def members(self, spec: list[tuple]) -> DataFrame:
-        """Rows of the given candidates. ``spec`` has label-sized rows, so it is broadcast."""
+        """Rows of the given candidates.
+
+        ``spec`` has one record per label pair and candidate. Spark knows its size and broadcasts
+        it for a usual label set; with very many strata the join shuffles instead.
+        """
         table = self._table(spec, _SPEC)
-        return self.rows.join(F.broadcast(table), ["stratum", "p", "s"]).where(_is_member(F.col))
+        return self.rows.join(table, ["stratum", "p", "s"]).where(_is_member(F.col))
 
     # Ties -------------------------------------------------------------------------------
 
@@ -384,7 +388,7 @@ class _HoldoutSearch:
             .groupBy("stratum", "p", "s", "grp")
             .agg(F.collect_list(F.struct("mode", "start", "size", "quota")).alias("specs"))
         )
-        per_row = self.rows.join(F.broadcast(table), ["stratum", "p", "s"])
+        per_row = self.rows.join(table, ["stratum", "p", "s"])
         held = F.size(F.filter("specs", lambda c: _is_member(lambda name: c[name]
                       if name in ("mode", "start", "size", "quota") else F.col(name))))
         differs = (held > 0) & (held < F.size("specs"))
@@ -400,7 +404,7 @@ class _HoldoutSearch:
         ]
         table = self._table(spec, _SPEC | {"at": pa.int64()})
         found = (
-            self.rows.join(F.broadcast(table), ["stratum", "p", "s"])
+            self.rows.join(table, ["stratum", "p", "s"])
             .where(_is_member(F.col))
             .groupBy("stratum", "candidate")
             .agg(
@@ -520,8 +524,8 @@ class _HoldoutSearch:
         table = self._table(spec, _SPEC)
         small = self._table(picks, {"stratum": pa.string(), "idx": pa.int64()})
         return (
-            self.rows.join(F.broadcast(table), ["stratum", "p", "s"], "left")
-            .join(F.broadcast(small.withColumn("picked", F.lit(True))), ["stratum", "idx"], "left")
+            self.rows.join(table, ["stratum", "p", "s"], "left")
+            .join(small.withColumn("picked", F.lit(True)), ["stratum", "idx"], "left")
             .withColumn(
                 "held",
                 F.coalesce(_is_member(F.col), F.lit(False)) | F.coalesce("picked", F.lit(False)),

@@ -9,7 +9,7 @@ from assaykit import schemas
 from assaykit.functions import strict_json as sj
 from assaykit.functions.text import strip_text
 from assaykit.operators.scoring import default_id
-from assaykit.session import small_side
+from assaykit.session import durable, small_side
 
 
 def read_lines(
@@ -56,7 +56,8 @@ def _block_starts(rows: DataFrame, row: str, across_files: bool) -> DataFrame:
         else Window.partitionBy("source_file").orderBy("__block")
     )
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("__before", F.coalesce(F.sum("__lines").over(before), F.lit(0)))
+    starts = blocks.withColumn("__before", F.coalesce(F.sum("__lines").over(before), F.lit(0)))
+    return durable(starts)
 
 
 def _numbered(rows: DataFrame, row: str, out: str, across_files: bool) -> DataFrame:
