@@ -138,7 +138,7 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
 def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct fingerprints of the document feed."""
     docs = _event_stream(spark, folder, "documents").withColumn(
-        "ts", F.timestamp_seconds(F.col("doc_id"))
+        "ts", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000)
     )
     seen = feed.first_in_feed(docs, F.col("text"), "ts", "365 days")
     return stream.run_to_table(seen.select("fingerprint", "ts"), spark).select("fingerprint")
