@@ -3,7 +3,7 @@
 A notice with up to k edits, cut into k + 1 pieces, holds one piece unchanged (pigeonhole). The
 pieces of all notices are searched exactly; each hit nominates a stretch of text around it, where
 the regex library looks for the notice with at most k insertions, deletions or substitutions and
-reports what it found. Overlapping finds of one notice are reported once, the closest first.
+reports what it found. Of overlapping finds the one with the fewest edits, then the longest, stays.
 
 Texts are read as lower-case words (ASCII letters, digits and all characters beyond ASCII) joined
 by single spaces, so line breaks and punctuation do not matter. Spans are counted in words.
@@ -14,6 +14,7 @@ scanned one by one; an empty table gives an empty table. Only the named columns
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -133,7 +134,19 @@ class Scanner:
                     found.append(
                         Found(notice.label, *match.span(), sum(match.fuzzy_counts), notice.text)
                     )
-        return found
+        return _apart(found)
+
+
+def _apart(found: list[Found]) -> list[Found]:
+    """Finds without overlaps, in order of place; closer and longer ones go first."""
+    kept: list[Found] = []  # in order of place
+    for f in sorted(found, key=lambda f: (f.edits, f.start - f.end, f.start, f.notice)):
+        at = bisect_left(kept, f.start, key=lambda k: k.start)
+        before = at > 0 and kept[at - 1].end > f.start
+        after = at < len(kept) and kept[at].start < f.end
+        if not before and not after:
+            kept.insert(at, f)
+    return kept
 
 
 def scan(

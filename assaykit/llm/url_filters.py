@@ -47,11 +47,10 @@ def keys_of(host: Column, path: Column, rules: list[str]) -> Column:
     """array<struct<key, weight, host_size>>: all pairs that one of the rules could equal."""
     depth = max((rule.split("/")[0].count(".") + 1 for rule in rules), default=0)
     cuts = sorted({len(rule) - len(rule.split("/")[0]) for rule in rules})
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.lit(max(depth, 1))), lambda n: F.substring_index(host, ".", -n)
-    )
     # a host with fewer labels than n gives itself again
-    suffixes = F.array_distinct(suffixes)
+    suffixes = F.array_distinct(
+        F.array(*[F.substring_index(host, ".", -n) for n in range(1, max(depth, 1) + 1)])
+    )
     prefixes = F.array_compact(
         F.array(*[F.when(F.length(path) >= n, F.substr(path, F.lit(1), F.lit(n))) for n in cuts])
     )
