@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaykit.llm import decontamination, licenses, quality, secret_scan, url_filters
+from assaykit.llm import (
+    decontamination,
+    html_paths,
+    language_id,
+    licenses,
+    minhash,
+    packing,
+    quality,
+    secret_scan,
+    url_filters,
+    warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +27,31 @@ def op1_quality_rules(spark, folder):
     return quality.judge(quality.measure(_table(spark, folder, "documents")))
 
 
+def vocabulary() -> str:
+    """Path of the public byte-level vocabulary on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_packing(spark, folder):
+    pieces = packing.pack(_table(spark, folder, "documents"), vocabulary())
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op3_html_extraction(spark, folder):
+    found = html_paths.extract(_table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_decontamination(spark, folder):
     return decontamination.find(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
@@ -26,6 +62,18 @@ def op5_license_scan(spark, folder):
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+def op6_language_id(spark, folder):
+    documents = _table(spark, folder, "documents")
+    found = language_id.identify(documents, language_id.train(documents))
+    held_out = F.coalesce(language_id.held_out(F.col("doc_id")), F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_minhash(spark, folder):
+    found = minhash.near_duplicates(_table(spark, folder, "documents"), words=4)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 #: Rules of the query.
 URL_LISTS = url_filters.Lists(
     allow=("com/", "www.example.com/en/"),
@@ -59,14 +107,26 @@ def op9_secret_scan(spark, folder):
     )
 
 
+def op10_warc(spark, folder):
+    manifest, place = warc.archive(_table(spark, folder, "pages"))
+    return warc.read(spark, manifest, place).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_packing,
+        op3_html_extraction,
         op4_decontamination,
         op5_license_scan,
+        op6_language_id,
+        op7_minhash,
         op8_url_filters,
         op9_secret_scan,
+        op10_warc,
     )
 }
 ORACLES: dict[str, str] = {}
