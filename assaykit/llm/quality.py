@@ -85,10 +85,17 @@ def repeated_words(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(slow)
 
 
-def measure(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, base counts and the ratios that thresholds refer to."""
+def measure(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False
+) -> DataFrame:
+    """One row per document: id, base counts and the ratios that thresholds refer to.
+
+    With ``keep_rows`` the input row comes along as the struct ``row``.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = documents.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    row = [F.struct(*documents.columns).alias("row")] if keep_rows else []
+    df = documents.select(F.col(id_col).alias("doc_id"), text.alias("text"), *row)
+    row = ["row"] if keep_rows else []
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = with_computed(
         df,
@@ -99,9 +106,10 @@ def measure(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "lines": lines,
         },
     )
-    df = df.select("doc_id", "facts.*", "n_symbols", "n_shouts", "lines")
+    df = df.select("doc_id", *row, "facts.*", "n_symbols", "n_shouts", "lines")
     df = df.select(
         "doc_id",
+        *row,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -132,6 +140,12 @@ def judge(measured: DataFrame, thresholds=THRESHOLDS, least_words: int = 50) ->
     )
 
 
+def keep(documents: DataFrame, thresholds=THRESHOLDS, least_words: int = 50) -> DataFrame:
+    """The documents that no rule rejects, with their columns."""
+    judged = judge(measure(documents, keep_rows=True), thresholds, least_words)
+    return judged.where("kept").select("row.*")
+
+
 def _word_facts(words: Column) -> Column:
     windows = F.transform(
         words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))
