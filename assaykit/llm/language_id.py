@@ -191,25 +191,33 @@ def train(
 ) -> Model:
     """Fit on the documents outside the held-out fold.
 
-    Per language at most ``sample_rows`` texts, of each at most a hundredth of ``sample_chars``,
-    in the order of a hash of the text, go to the driver.
+    Per language at most ``sample_rows`` texts, of each at most a hundredth of ``sample_chars``, go
+    to the driver. A first pass counts the languages' rows; the second keeps the rows whose hash
+    lies below a bound that leaves about twice as many as wanted, so no task sends more than a few.
     """
     most = max(200, sample_chars // 100)
     labelled = documents.select(
         F.col(lang_col).alias("lang"),
-        F.substring(F.col(text_col), 1, most).alias("start"),
-        F.xxhash64(F.col(text_col)).alias("place"),
+        F.col(text_col).alias("text"),
+        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 40)).alias("place"),
     ).where(
         F.col(lang_col).isNotNull()
         & F.col(text_col).isNotNull()
         & ~F.coalesce(held_out(F.col(id_col)), F.lit(False))
     )
-    names = labelled.select("lang").distinct().limit(MOST_LANGUAGES).collect()
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    counts = {row["lang"]: row["count"] for row in counts.limit(MOST_LANGUAGES).collect()}
+    bound = F.lit(None).cast("long")
+    for lang, count in counts.items():
+        most_place = (1 << 40) * min(1.0, 2 * sample_rows / count)
+        bound = F.when(F.col("lang") == lang, F.lit(int(most_place))).otherwise(bound)
+    chosen = labelled.where(F.col("place") < bound).select(
+        "lang", "place", F.substring("text", 1, most).alias("start")
+    )
     texts: dict[str, list[str]] = {}
-    for lang in sorted(row["lang"] for row in names):
-        own = labelled.where(F.col("lang") == lang).orderBy("place", "start").limit(sample_rows)
-        texts[lang] = list(dict.fromkeys(row["start"] for row in own.collect()))
-    return fit(texts, sample_chars)
+    for row in sorted(chosen.collect(), key=lambda r: (r["lang"], r["place"], r["start"])):
+        texts.setdefault(row["lang"], []).append(row["start"])
+    return fit({k: list(dict.fromkeys(t))[:sample_rows] for k, t in texts.items()}, sample_chars)
 
 
 def identify(
