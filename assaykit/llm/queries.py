@@ -11,6 +11,7 @@ from assaykit.llm import (
     language_id,
     licenses,
     minhash,
+    oracles,
     packing,
     quality,
     secret_scan,
@@ -24,7 +25,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_quality_rules(spark, folder):
-    return quality.judge(quality.measure(_table(spark, folder, "documents")))
+    judged = quality.judge(quality.measure(_table(spark, folder, "documents")))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "failed_rules",
+    )
 
 
 def vocabulary() -> str:
@@ -129,4 +141,11 @@ QUERIES = {
         op10_warc,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_quality_rules": oracles.quality_rules(),
+    "op4_decontamination": oracles.decontaminated(),
+    "op7_minhash": oracles.near_duplicates(),
+    "op8_url_filters": oracles.url_filters(URL_LISTS),
+    "op9_secret_scan": oracles.secrets(),
+    "op10_warc": oracles.archived(),
+}
