@@ -51,9 +51,8 @@ class Notice:
 
     @cached_property
     def pattern(self):
-        return regex.compile(
-            rf"(?b)(?<![^ ])(?:{regex.escape(self.text, literal_spaces=True)}){{e<={self.edits}}}(?![^ ])"
-        )
+        notice = regex.escape(self.text, literal_spaces=True)
+        return regex.compile(rf"(?b)\b(?:{notice}){{e<={self.edits}}}\b")
 
 
 #: Short notices of this operator's own; one edit for about ten characters.
