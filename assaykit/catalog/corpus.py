@@ -82,6 +82,21 @@ def corpus_violations(spark: SparkSession, folder: str) -> DataFrame:
     return rules.violations(d.corpus_lines(spark, folder), d.SYSTEM_TEXT)
 
 
+FILE_LINES = 150
+
+
+def corpus_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations of the corpus cut into files, each with line numbers of its own."""
+    lines = d.corpus_lines(spark, folder)
+    before = F.col("line_no") - 1
+    cut = lines.select(
+        F.format_string("part-%06d", F.floor(before / FILE_LINES)).alias("source_file"),
+        (before % FILE_LINES + 1).alias("line_no"),
+        "line",
+    )
+    return rules.violations(cut, d.SYSTEM_TEXT).drop("detail")
+
+
 def corpus_first_error(spark: SparkSession, folder: str) -> DataFrame:
     return rules.first_error(corpus_violations(spark, folder))
 
@@ -224,6 +239,7 @@ QUERIES = {
     "benchmark_leakage": benchmark_leakage,
     "unique_values": unique_values,
     "corpus_violations": corpus_violations,
+    "corpus_files": corpus_files,
     "corpus_first_error": corpus_first_error,
     "corpus_rule_counts": corpus_rule_counts,
     "corpus_report": corpus_report,
@@ -363,6 +379,10 @@ SELECT 'doc_id' AS "column", count(*) AS rows, count(DISTINCT doc_id) AS "distin
 UNION ALL SELECT 'text', count(*), count(DISTINCT {_FP}) FROM documents
 UNION ALL SELECT 'source', count(*), count(DISTINCT lower(source)) FROM documents""",
     "corpus_violations": f"WITH {SQL_VIOLATIONS} SELECT * FROM ordered",
+    "corpus_files": f"""WITH {SQL_VIOLATIONS}
+SELECT printf('part-%06d', (line_no - 1) // {FILE_LINES}) AS source_file,
+  (line_no - 1) % {FILE_LINES} + 1 AS line_no, id, rule, rule_order, phase
+FROM ordered""",
     "corpus_first_error": f"""WITH {SQL_VIOLATIONS}
 SELECT line_no, id, rule, detail FROM ordered ORDER BY phase, line_no, rule_order LIMIT 1""",
     "corpus_rule_counts": f"""WITH {SQL_VIOLATIONS}

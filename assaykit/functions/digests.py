@@ -42,9 +42,9 @@ def tree_digest(
     """One digest per group over its ordered lines.
 
     Lines are hashed one by one; ``fan_out`` consecutive digests are joined by line feeds and
-    hashed into the next level, ``levels`` times. No task holds more than ``fan_out`` digests.
-    Four levels of 4,096 cover 2.8e14 lines. The result depends on the content and order of the
-    lines only, not on files or partitions.
+    hashed into the next level, ``levels`` times, or more often where the greatest position needs
+    it to leave one node per group. No task holds more than ``fan_out`` digests. The result depends
+    on the content and order of the lines only, not on files or partitions.
     """
     if not group:
         whole = tree_digest(
@@ -52,21 +52,26 @@ def tree_digest(
         )
         return whole.drop("__all")
     level = rows.select(
-        *group, F.col(position).cast("long").alias("__p"), F.sha2(line, 256).alias("__d")
+        *group,
+        F.col(position).cast("long").alias("__p"),
+        F.sha2(line, 256).alias("__d"),
+        F.lit(1).cast("long").alias("__n"),
     )
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("lines"))
+    last = rows.agg(F.max(F.col(position).cast("long"))).first()[0] or 0
+    while fan_out**levels <= last:
+        levels += 1
     for _ in range(levels):
         node = F.sort_array(F.collect_list(F.struct("__p", "__d")))
         level = (
             level.groupBy(*group, F.floor(F.col("__p") / fan_out).cast("long").alias("__q"))
-            .agg(node.alias("__members"))
+            .agg(node.alias("__members"), F.sum("__n").alias("__n"))
             .select(
                 *group,
                 F.col("__q").alias("__p"),
                 F.sha2(
                     F.array_join(F.transform("__members", lambda m: m["__d"]), "\n"), 256
                 ).alias("__d"),
+                "__n",
             )
         )
-    roots = level.select(*group, F.col("__d").alias("digest"))
-    return roots.join(counts, list(group)).select(*group, "lines", "digest")
+    return level.select(*group, F.col("__n").alias("lines"), F.col("__d").alias("digest"))

@@ -30,14 +30,15 @@ def cohort_problems(
     key: str = "id",
     position: str = "position",
     expected: Sequence[str] = (),
+    identity: Sequence[str] = (),
 ) -> DataFrame:
     """(problem, id) rows; two runs are comparable when there are none.
 
-    Checked are repeated ids, ids missing on a side, different positions and different
-    expected values. Each side is reduced to its first row per id before the join, so an id
+    Checked are repeated ids, ids missing on a side, different positions, different expected
+    values, and different values of the ``identity`` columns (model, revision, lineage). Each side is reduced to its first row per id before the join, so an id
     repeated on both sides does not multiply.
     """
-    columns = [position, *expected]
+    columns = [position, *expected, *identity]
     sides = [
         side.groupBy(key)
         .agg(F.min(F.struct(*columns)).alias("row"), F.count(F.lit(1)).alias("copies"))
@@ -57,6 +58,9 @@ def cohort_problems(
         ("repeated in candidate", F.coalesce(F.col("l_copies") > 1, F.lit(False))),
         ("repeated in baseline", F.coalesce(F.col("r_copies") > 1, F.lit(False))),
     ]
+    for name in identity:
+        unequal = ~F.col(f"l_{name}").eqNullSafe(F.col(f"r_{name}"))
+        problems.append((f"{name} differs", both & unequal))
     return pairs.select(
         F.explode(
             F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in problems]))

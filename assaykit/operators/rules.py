@@ -19,6 +19,8 @@ from assaykit.operators.duplicates import repeated_rows
 from assaykit.session import durable
 
 RULES = (
+    "empty_dataset",
+    "not_utf8",
     "blank_line",
     "strict_json",
     "unknown_keys",
@@ -216,7 +218,8 @@ def checked_records(lines: DataFrame, system_text: str, line: str = "line") -> D
     blank = F.length(tx.strip_text(F.col(line))) == 0
     read = read_records(lines, line)
     first = (
-        F.when(blank, F.array(F.lit("blank_line")))
+        F.when(~F.is_valid_utf8(line), F.array(F.lit("not_utf8")))
+        .when(blank, F.array(F.lit("blank_line")))
         .when(~F.col("json_strict"), F.array(F.lit("strict_json")))
         .otherwise(_broken(field_rules()))
     )
@@ -245,13 +248,25 @@ def conversation_text(record: Column) -> Column:
     )
 
 
+def place_of(rows: DataFrame) -> list[str]:
+    """Columns that name and order a line: its file, where several are read, and its number."""
+    return [c for c in ("source_file", "line_no") if c in rows.columns]
+
+
 def violations(lines: DataFrame, system_text: str, line: str = "line") -> DataFrame:
-    """All violations: (line_no, id, rule, rule_order, phase, detail).
+    """All violations: (source_file if given, line_no, id, rule, rule_order, phase, detail).
+
+    ``lines`` needs ``line_no``, and ``source_file`` when they come from several files.
+    """
+    return violations_of(checked_records(lines, system_text, line))
+
 
-    ``lines`` needs ``line_no``. Long texts are read once; what the checks across records need
-    (line number, id, fingerprint, PII names) is written as a compact table.
+def violations_of(checked: DataFrame) -> DataFrame:
+    """Violations of checked records.
+
+    Long texts are read once; what the checks across records need (place, id, fingerprint, PII
+    names) is written as a compact table.
     """
-    checked = checked_records(lines, system_text, line)
     record = F.col("record")
     valid = F.size("broken") == 0
     fingerprinted = tx.with_fingerprint(
@@ -259,7 +274,7 @@ def violations(lines: DataFrame, system_text: str, line: str = "line") -> DataFr
     )
     compact = durable(
         fingerprinted.select(
-            "line_no",
+            *place_of(checked),
             record["id"].alias("id"),
             "broken",
             F.col("json_error").alias("error"),
@@ -271,38 +286,50 @@ def violations(lines: DataFrame, system_text: str, line: str = "line") -> DataFr
 
 
 def across_records(compact: DataFrame) -> DataFrame:
+    place = place_of(compact)
     alone = compact.select(
-        "line_no", "id", F.explode("broken").alias("rule"), F.lit(0).alias("phase"),
+        *place, "id", F.explode("broken").alias("rule"), F.lit(0).alias("phase"),
         F.coalesce("error", F.lit("")).alias("detail"),
     )
     valid = compact.where(F.size("broken") == 0)
     pii = valid.where(F.size("pii") > 0).select(
-        "line_no", "id", F.lit("unredacted_pii").alias("rule"), F.lit(1).alias("phase"),
+        *place, "id", F.lit("unredacted_pii").alias("rule"), F.lit(1).alias("phase"),
         F.array_join("pii", ", ").alias("detail"),
     )
-    order = ["line_no", "id"]
+    order = [*place, "id"]
+
+    def seen(text: str, *before) -> Column:
+        at = F.format_string(text + " on line %d", *before, F.col("first.line_no"))
+        if len(place) == 1:
+            return at.alias("detail")
+        return F.concat(at, F.lit(" of "), F.col("first.source_file")).alias("detail")
+
     same_id = repeated_rows(valid.select(*order, F.col("id").alias("key")), "key", order).select(
-        "line_no", "id", F.lit("duplicate_id").alias("rule"), F.lit(1).alias("phase"),
-        F.format_string("first seen on line %d", F.col("first.line_no")).alias("detail"),
+        *place, "id", F.lit("duplicate_id").alias("rule"), F.lit(1).alias("phase"),
+        seen("first seen"),
     )
     same_text = repeated_rows(valid.select(*order, "fingerprint"), "fingerprint", order).select(
-        "line_no", "id", F.lit("duplicate_content").alias("rule"), F.lit(1).alias("phase"),
-        F.format_string("matches %s on line %d", F.col("first.id"), F.col("first.line_no")).alias(
-            "detail"
-        ),
+        *place, "id", F.lit("duplicate_content").alias("rule"), F.lit(1).alias("phase"),
+        seen("matches %s", F.col("first.id")),
+    )
+    nowhere = {"source_file": F.lit(""), "line_no": F.lit(0).cast("long")}
+    empty = compact.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        *[nowhere[c].alias(c) for c in place], F.lit("").alias("id"),
+        F.lit("empty_dataset").alias("rule"), F.lit(0).alias("phase"), F.lit("").alias("detail"),
     )
     orders = F.create_map(*[x for k, v in RULE_ORDER.items() for x in (F.lit(k), F.lit(v))])
-    every = alone.unionByName(pii).unionByName(same_id).unionByName(same_text)
+    every = alone.unionByName(pii).unionByName(same_id).unionByName(same_text).unionByName(empty)
     return every.select(
-        "line_no", F.coalesce("id", F.lit("")).alias("id"), "rule",
+        *place, F.coalesce("id", F.lit("")).alias("id"), "rule",
         orders[F.col("rule")].alias("rule_order"), "phase", "detail",
     )
 
 
 def first_error(found: DataFrame) -> DataFrame:
     """The violation a reader would meet first: all lines are parsed before records are compared."""
-    place = F.struct("phase", "line_no", "rule_order")
-    return found.agg(F.min_by(F.struct("line_no", "id", "rule", "detail"), place).alias("e")).where(
+    place = place_of(found)
+    order = F.struct("phase", *place, "rule_order")
+    return found.agg(F.min_by(F.struct(*place, "id", "rule", "detail"), order).alias("e")).where(
         F.col("e").isNotNull()
     ).select("e.*")
 

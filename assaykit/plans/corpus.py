@@ -26,12 +26,16 @@ class Validation:
 
 
 def validate(lines: DataFrame, system_text: str, line: str = "line") -> Validation:
-    """Check (line_no, line) rows. ``clean`` holds the records without any violation."""
-    found = durable(rules.violations(lines, system_text, line))
-    checked = rules.checked_records(lines, system_text, line).where(F.size("broken") == 0)
-    bad = small_side(durable(found.select("line_no").distinct()))
-    clean = checked.join(bad, "line_no", "left_anti").select("line_no", "record.*")
-    return Validation(clean, found, rules.first_error(found))
+    """Check (line_no, line) rows, with ``source_file`` when they come from several files.
+
+    Lines are parsed and checked once. ``clean`` holds the records without any violation.
+    """
+    checked = durable(rules.checked_records(lines, system_text, line))
+    found = durable(rules.violations_of(checked))
+    place = rules.place_of(lines)
+    bad = small_side(durable(found.select(*place).distinct()))
+    clean = checked.where(F.size("broken") == 0).join(bad, place, "left_anti")
+    return Validation(clean.select(*place, "record.*"), found, rules.first_error(found))
 
 
 @dataclass

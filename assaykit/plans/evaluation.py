@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from assaykit.operators import comparing, scoring
 from assaykit.operators import parity as par
-from assaykit.operators import scoring
 
 
 @dataclass
@@ -15,13 +16,48 @@ class Evaluation:
     scores: DataFrame
     summary: DataFrame
     decisions: DataFrame
+    problems: DataFrame
+
+
+def prediction_problems(predictions: DataFrame) -> DataFrame:
+    """(problem, id, and the line where it is known): rows that may not be scored, or no rows.
+
+    An unusable line, an empty or a repeated id is a problem, and so is a set without rows.
+    """
+    place = [c for c in ("source_file", "line_no") if c in predictions.columns]
+    bad = F.when(F.coalesce(F.length("id") == 0, F.lit(True)), F.lit("id empty"))
+    if "problem" in predictions.columns:
+        bad = F.when(F.col("problem").isNotNull(), F.col("problem")).otherwise(bad)
+    lines = predictions.select(bad.alias("bad"), "id", *place).where("bad is not null")
+    repeated = predictions.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    none = predictions.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+    return (
+        lines.withColumnRenamed("bad", "problem")
+        .unionByName(
+            repeated.select(F.lit("id repeated").alias("problem"), "id"), allowMissingColumns=True
+        )
+        .unionByName(none.select(F.lit("no rows").alias("problem")), allowMissingColumns=True)
+    )
 
 
 def evaluate(predictions: DataFrame, minimums: dict[str, float] | None = None) -> Evaluation:
-    """Score prediction rows (id, expected, prediction, latency_ms) against absolute gates."""
-    scores = scoring.score_predictions(predictions)
+    """Score prediction rows (id, expected, prediction, latency_ms) against absolute gates.
+
+    Rows with a ``problem`` (see ``read_predictions``) are not scored. While there are problems no
+    gate is passed.
+    """
+    problems = prediction_problems(predictions)
+    usable = predictions
+    if "problem" in predictions.columns:
+        usable = predictions.where(F.col("problem").isNull()).drop("problem")
+    scores = scoring.score_predictions(usable)
     summary = scoring.summarize(scores)
-    return Evaluation(scores, summary, scoring.gate_decisions(summary, minimums))
+    decisions = _guarded(scoring.gate_decisions(summary, minimums), problems)
+    return Evaluation(scores, summary, decisions, problems)
+
+
+def _guarded(decisions: DataFrame, problems: DataFrame) -> DataFrame:
+    return decisions.withColumn("passed", F.col("passed") & F.lit(problems.isEmpty()))
 
 
 @dataclass
@@ -29,9 +65,33 @@ class Parity:
     metrics: DataFrame
     mismatches: DataFrame
     decisions: DataFrame
+    problems: DataFrame
+
+
+#: Columns in which both prediction sets have to agree where both carry them.
+COHORT_IDENTITY = (
+    "model_name_or_path",
+    "model_revision",
+    "dataset_manifest_sha256",
+    "dataset_split_sha256",
+    "generation_config_sha256",
+)
 
 
 def parity(adapter: DataFrame, merged: DataFrame) -> Parity:
+    """Compare two prediction sets of one ordered cohort.
+
+    ``problems`` lists ids that are missing on a side or repeated and rows whose position,
+    expected output or lineage differs. While there are any no gate is passed.
+    """
+    shared = set(adapter.columns) & set(merged.columns)
+    problems = comparing.cohort_problems(
+        merged,
+        adapter,
+        expected=[c for c in ("expected",) if c in shared],
+        identity=[c for c in COHORT_IDENTITY if c in shared],
+    )
     pairs = par.pair_predictions(adapter, merged)
     metrics = par.parity_metrics(pairs)
-    return Parity(metrics, par.mismatches(pairs), par.parity_decisions(metrics))
+    decisions = _guarded(par.parity_decisions(metrics), problems)
+    return Parity(metrics, par.mismatches(pairs), decisions, problems)

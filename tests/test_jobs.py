@@ -11,7 +11,7 @@ from assaykit import fixed_values as fv
 from assaykit import schemas
 from assaykit.functions.digests import tree_digest
 from assaykit.operators import audits, distributions, rules
-from assaykit.plans import corpus
+from assaykit.plans import corpus, evaluation
 from assaykit.sources import documents, grid, inventory, jsonl, sinks
 from assaykit.streaming import feed
 from assaykit.streaming import serving as stream
@@ -183,3 +183,96 @@ def test_feed_drops_repeated_content(spark, tmp_path):
     records = spark.readStream.schema("t string, ts timestamp").parquet(str(tmp_path / "in"))
     seen = stream.run_to_table(feed.first_in_feed(records, F.col("t"), "ts", "1 day"), spark)
     assert seen.count() == 2
+
+
+def written(folder, files):
+    for name, lines in files.items():
+        (folder / name).write_bytes(b"\n".join(x if isinstance(x, bytes) else x.encode() for x in lines))
+    return str(folder)
+
+
+def places(rows):
+    return sorted((os.path.basename(r["source_file"]), r["line_no"], r["rule"]) for r in rows.collect())
+
+
+def test_validation_over_several_files(spark, grid_lines, tmp_path):
+    rows = [r["line"] for r in grid_lines.orderBy("line_no").limit(5).collect()]
+    folder = written(tmp_path, {"a.jsonl": [rows[0], "{", rows[1]], "b.jsonl": rows[2:5]})
+    done = corpus.validate(jsonl.read_lines(spark, folder), TEXTS.system)
+    assert places(done.violations) == [("a.jsonl", 2, "strict_json")]
+    assert done.clean.count() == 5
+    assert os.path.basename(done.first_error.first()["source_file"]) == "a.jsonl"
+
+
+def test_copies_in_two_files_are_found(spark, grid_lines, tmp_path):
+    row = grid_lines.orderBy("line_no").first()["line"]
+    folder = written(tmp_path, {"a.jsonl": [row], "b.jsonl": [row]})
+    done = corpus.validate(jsonl.read_lines(spark, folder), TEXTS.system)
+    assert places(done.violations) == [
+        ("b.jsonl", 1, "duplicate_content"), ("b.jsonl", 1, "duplicate_id"),
+    ]
+    assert done.clean.count() == 1
+    details = [r["detail"] for r in done.violations.collect()]
+    assert all("on line 1 of" in x and x.endswith("a.jsonl") for x in details)
+
+
+def test_bad_bytes_and_empty_sets_are_violations(spark, grid_lines, tmp_path):
+    row = grid_lines.orderBy("line_no").first()["line"].encode()
+    folder = written(tmp_path, {"a.jsonl": [row.replace(b"system", b"syst\xffm", 1), row]})
+    done = corpus.validate(jsonl.read_lines(spark, folder), TEXTS.system)
+    assert places(done.violations) == [("a.jsonl", 1, "not_utf8")] and done.clean.count() == 1
+    nothing = spark.createDataFrame([], "line_no long, line string")
+    done = corpus.validate(nothing, TEXTS.system)
+    assert done.first_error.first()["rule"] == "empty_dataset" and done.clean.count() == 0
+
+
+OUTPUT = {"category": "bug", "priority": "low", "sentiment": "neutral",
+          "response": "Thank you for the report.", "next_action": "triage_report"}
+
+
+def predictions(spark, ids, text=json.dumps(OUTPUT)):
+    rows = [(str(i), n, OUTPUT, text, 1.0) for n, i in enumerate(ids)]
+    return spark.createDataFrame(
+        rows, f"id string, position long, expected {schemas.OUTPUT}, prediction string, latency_ms double"
+    )
+
+
+def test_parity_refuses_other_cohorts(spark):
+    adapter = predictions(spark, range(20))
+    done = evaluation.parity(adapter, predictions(spark, [0]))
+    assert done.problems.count() == 19 and not any(r["passed"] for r in done.decisions.collect())
+    for merged, problem in (
+        (predictions(spark, [1, 0, *range(2, 20)]), "position differs"),
+        (predictions(spark, [*range(20), 3]), "repeated in candidate"),
+        (adapter.withColumn("model_revision", F.lit("b")), "model_revision differs"),
+    ):
+        one = adapter.withColumn("model_revision", F.lit("a")) if "model_revision" in merged.columns else adapter
+        done = evaluation.parity(one, merged)
+        assert problem in {r["problem"] for r in done.problems.collect()}
+        assert not any(r["passed"] for r in done.decisions.collect())
+    done = evaluation.parity(adapter, adapter)
+    assert done.problems.count() == 0 and all(r["passed"] for r in done.decisions.collect())
+
+
+def test_evaluation_refuses_unusable_rows(spark, tmp_path):
+    good = {"id": "A", "expected": OUTPUT, "prediction": json.dumps(OUTPUT), "latency_ms": 1.0}
+    bad = {"id": "B", "prediction": "{}", "latency_ms": 1.0}
+    folder = written(tmp_path, {"p.jsonl": [json.dumps(good), json.dumps(bad), "no json"]})
+    done = evaluation.evaluate(jsonl.read_predictions(spark, folder))
+    assert sorted((r["line_no"], r["problem"]) for r in done.problems.collect())[0][0] == 2
+    assert done.problems.count() == 2 and done.summary.first()["examples"] == 1
+    assert not any(r["passed"] for r in done.decisions.collect())
+    written(tmp_path, {"p.jsonl": [json.dumps(good)] * 2})
+    done = evaluation.evaluate(jsonl.read_predictions(spark, folder))
+    assert [r["problem"] for r in done.problems.collect()] == ["id repeated"]
+    empty = predictions(spark, [])
+    assert [r["problem"] for r in evaluation.evaluate(empty).problems.collect()] == ["no rows"]
+
+
+def test_digest_has_one_root_above_the_level_count(spark):
+    rows = spark.range(1100).select((F.col("id") % 2).alias("g"), F.floor(F.col("id") / 2).alias("p"), "id")
+    line = F.col("id").cast("string")
+    few = tree_digest(rows, ["g"], "p", line, fan_out=4, levels=2)
+    many = tree_digest(rows, ["g"], "p", line, fan_out=4, levels=5)
+    assert few.count() == 2 and {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()}
+    assert [r["lines"] for r in few.collect()] == [550, 550]
