@@ -41,8 +41,11 @@ class Model:
 
 
 def suffix_automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
-    """Transitions of the smallest automaton that reads exactly the substrings of ``text``."""
-    most = 2 * len(text) + 2
+    """Transitions of the smallest automaton that reads exactly the substrings of ``text``.
+
+    A last row without transitions stands behind it, for a symbol that no phrase can hold.
+    """
+    most = 2 * len(text) + 3
     table = np.full((most, n_symbols), -1, dtype=np.int32)
     link, longest = [-1] * most, [0] * most
     last, size = 0, 1
@@ -68,7 +71,8 @@ def suffix_automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
                     at = link[at]
                 link[old] = link[new] = copy
         last = new
-    return table[:size].copy()
+    table[size] = -1
+    return table[: size + 1].copy()
 
 
 def code_points(text: str) -> np.ndarray:
@@ -121,7 +125,7 @@ def phrases(stretches: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np
     state = np.zeros(len(stretches), dtype=np.int64)
     count = (lengths > 0).astype(np.int64)
     width, flat = table.shape[1], table.ravel()
-    alive = len(stretches)
+    alive, nowhere = len(stretches), len(table) - 1
     for at in range(stretches.shape[1]):
         while alive and lengths[alive - 1] <= at:
             alive -= 1
@@ -133,7 +137,7 @@ def phrases(stretches: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np
         if ended.any():
             again = flat[symbol[ended]]  # a new phrase starts with this symbol
             count[:alive][ended] += at > 0
-            step[ended] = np.maximum(again, 0)
+            step[ended] = np.where(again < 0, nowhere, again)
         state[:alive] = step
     return count
 
