@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assaykit import fixed_values as fv
+from assaykit.functions.stages import with_computed
 from assaykit.functions.text import strip_field, strip_text
 
 _FOUND = T.StructType(
@@ -36,7 +37,14 @@ def parse_object(text: Column) -> Column:
     the array holds one element.
     """
     body = strip_text(text)
-    in_array = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    return _decided(body, _in_array(body))
+
+
+def _in_array(body: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+
+
+def _decided(body: Column, in_array: Column) -> Column:
     in_object = F.try_parse_json(F.concat(F.lit('{"k":'), body, F.lit("}")))
     alone = F.try_variant_get(in_array, "$[1]", "variant").isNull()
     return F.when(
@@ -107,9 +115,14 @@ def with_object(df: DataFrame, text: str, prefix: str = "json") -> DataFrame:
     object) and ``<prefix>_error`` (refusal reason: repeated key or non-finite constant).
     """
     jvm, rest = f"__{prefix}_jvm", f"__{prefix}_rest"
+    body, in_array = f"__{prefix}_body", f"__{prefix}_array"
     found = F.col(f"__{prefix}_found")
+    # each step is computed before the next reads it: one trim and two parses per text
+    staged = with_computed(df, {body: strip_text(F.col(text))})
+    staged = with_computed(staged, {in_array: _in_array(F.col(body))})
+    staged = with_computed(staged, {jvm: _decided(F.col(body), F.col(in_array))})
     return (
-        df.withColumn(jvm, parse_object(F.col(text)))
+        staged.drop(body, in_array)
         .withColumn(rest, F.when(F.col(jvm).isNull(), F.col(text)))
         .withColumn(f"__{prefix}_found", _recover(F.col(rest)))
         .withColumn(f"{prefix}_strict", F.col(jvm).isNotNull() | F.coalesce(found["strict"], F.lit(False)))

@@ -47,9 +47,9 @@ def load_summary(
         ("min_request_id_rate", min_request_id_rate),
     ):
         if not 0.0 <= rate <= 1.0:
-            raise ValueError(f"{name} must be between 0 and 1")
+            raise ValueError(f"{name}={rate}: a rate lies in [0, 1]")
     if not 0.0 < max_p95_ms < float("inf"):
-        raise ValueError("max_p95_ms must be a finite positive number")
+        raise ValueError(f"max_p95_ms={max_p95_ms}: expected more than 0 and less than infinity")
     if not group:
         one = load_summary(
             outcomes.withColumn("__one", F.lit(1)), ["__one"], min_success_rate,

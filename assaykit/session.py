@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +13,30 @@ from pyspark.sql import functions as F
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on; sizing stays with the cluster."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the workers once per application.
+
+    Arrow UDFs import it there, and a driver started from another folder is not enough for that.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_assaykit_sent", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="assaykit-"), "assaykit.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(target)
+    context._assaykit_sent = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder; make one only for a local session without it."""
     context = spark.sparkContext

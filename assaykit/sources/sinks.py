@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_split_lines(lines: DataFrame, path: str, files_per_split: int = 1) -> None:
-    """Write (split, position, line) as text, ordered by position, one folder per split.
+def write_split_lines(lines: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Write (split, position, line) as text: a folder per split and slice of positions.
 
-    With more than one file per split, file names sort in position order.
+    Each slice is one file in order of position, and folder names sort in that order, so the number
+    of tasks follows the rows.
     """
+    number = F.floor(F.col("position") / rows_per_file).cast("long")
+    sliced = lines.withColumn("slice", F.lpad(number.cast("string"), 12, "0"))
+    slices = sliced.select("split", "slice").distinct().count()
     (
-        lines.repartitionByRange(files_per_split * 3, "split", "position")
-        .sortWithinPartitions("split", "position")
-        .select("split", "line")
-        .write.partitionBy("split")
+        sliced.repartition(max(1, slices), "split", "slice")
+        .sortWithinPartitions("split", "slice", "position")
+        .select("split", "slice", "line")
+        .write.partitionBy("split", "slice")
         .text(path)
     )
 
