@@ -36,6 +36,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
+TASK_BYTES = 128 << 20
 MANIFEST = "path string, n_records long, n_bytes long"
 RECORD = (
     "page_id long, url string, record_type string, refers_to long, payload_bytes long, "
@@ -174,22 +175,21 @@ def decide(
 
 
 def train_dictionary(
-    pages: DataFrame, html_col: str = "html", sample_rows: int = 400,
+    pages: DataFrame, n_rows: int, id_col: str = "page_id", html_col: str = "html", sample_rows: int = 400,
     sample_chars: int = 8192, dictionary_bytes: int = 65536,
 ) -> bytes:
     """A dictionary from a bounded sample: the first characters of ``sample_rows`` records.
 
-    The sample follows the order of a hash, so it does not depend on how rows are partitioned.
-    Too small a sample gives an empty dictionary, and files then have none.
+    Rows are taken whose hash lies below a bound that leaves about twice as many as wanted, so no
+    task sends more than a few. Too small a sample gives an empty dictionary; files then have none.
     """
-    start = F.substring(F.col(html_col), 1, sample_chars)
-    sample = (
-        pages.where(F.col(html_col).isNotNull())
-        .select(start.alias("start"))
-        .orderBy(F.xxhash64("start"), "start")
-        .limit(sample_rows)
-        .collect()
-    )
+    texts = pages.where(F.col(html_col).isNotNull())
+    share = min(1.0, 2 * sample_rows / max(1, n_rows))
+    place = F.pmod(F.xxhash64(F.col(id_col), F.col(html_col)), F.lit(1 << 40))
+    sample = texts.select(
+        place.alias("place"), F.substring(F.col(html_col), 1, sample_chars).alias("start")
+    ).where(F.col("place") < int(share * (1 << 40)))
+    sample = sorted(sample.collect(), key=lambda row: (row["place"], row["start"]))[:sample_rows]
     texts = [HTTP_HEAD + row["start"].encode() for row in sample]
     try:
         return zstandard.train_dictionary(dictionary_bytes, texts).as_bytes()
@@ -209,6 +209,8 @@ def write(decided: DataFrame, folder: str, dictionary: bytes, file_bytes: int =
         context, data = TaskContext.get(), sent.value
         attempt = f"{context.partitionId():06d}-{context.taskAttemptId()}"
         known = zstandard.ZstdCompressionDict(data) if data else None
+        if known:
+            known.precompute_compress(level=3)
         packer = zstandard.ZstdCompressor(level=3, dict_data=known, write_checksum=True)
         head = DICTIONARY_FRAME + len(data).to_bytes(4, "little") + data if data else b""
         done, out, path, count, size = [], None, "", 0, 0
@@ -289,6 +291,12 @@ def archive(
         folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/warc-{uuid.uuid4().hex}"
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
-    dictionary = train_dictionary(pages, html_col)
+    size = pages.agg(
+        F.count(html_col).alias("rows"), F.sum(F.octet_length(html_col)).alias("bytes")
+    ).first()
+    dictionary = train_dictionary(pages, size["rows"], id_col, html_col)
     decided = decide(pages, least_bytes, id_col, url_col, html_col)
+    # tasks by bytes: many shuffle partitions with little in them would each start a file
+    tasks = max(2 * spark.sparkContext.defaultParallelism, (size["bytes"] or 0) // TASK_BYTES)
+    decided = decided.coalesce(tasks)
     return write(decided, folder, dictionary), folder
