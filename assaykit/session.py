@@ -37,6 +37,11 @@ def ship_package(spark: SparkSession) -> None:
     context._assaykit_sent = True
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound what a Python worker holds at once when rows carry whole documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder; make one only for a local session without it."""
     context = spark.sparkContext
