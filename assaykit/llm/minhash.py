@@ -10,8 +10,8 @@ No bucket of a band is expanded into all pairs. Documents with equal sets are on
 start. Then every bucket links its members to one pivot, components are contracted, and buckets
 that still hold several components get another pivot. After ``ROUNDS`` rounds the members of
 different components that are left are compared: small buckets pair by pair, large ones in blocks
-of signatures, from which only pairs with a sufficient estimate come out. So each pair of a bucket
-is either in one component already or compared.
+of full sets, from which only confirmed links come out. So each pair of a bucket is either in one
+component already or compared.
 
 Defined results: null or empty texts have an empty set and link with nothing; a text of fewer words
 than a shingle is one shingle; equal rows are one class; rows that share a doc_id are one document;
@@ -22,6 +22,7 @@ gives an empty table. Only the named columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -30,15 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaykit.llm.components import attach, connect
-from assaykit.session import durable, small_side
+from assaykit.session import durable, small_batches, small_side
 
 BANDS, ROWS, LOW_BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 ROUNDS = 3
 #: An estimate this far below the threshold is five standard deviations off.
 MARGIN = 0.2
-SMALL_BUCKET, BLOCK = 48, 2048
-WORD_CACHE = 500_000
+SMALL_BUCKET, BLOCK = 8, 1_000_000
+WORD_CACHE = 200_000
 
 _GENERATOR = np.random.default_rng(20_240_601)
 _FACTORS = _GENERATOR.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -197,45 +198,98 @@ def _rest_small(live: DataFrame) -> DataFrame:
     return one.join(other, "band").where("a < b and ca <> cb").select("a", "b").distinct()
 
 
-def _rest_large(live: DataFrame, reps: DataFrame, least: float) -> DataFrame:
-    """Pairs of different components in large buckets, compared block against block."""
-    large = live.where(F.col("members") > SMALL_BUCKET).join(
-        reps.select("class_id", "signature"), "class_id"
+def _rest_large(
+    live: DataFrame, documents: DataFrame, words: int, percent: int, least: float,
+    id_col: str, text_col: str,
+) -> DataFrame:
+    """Links (a, b) between different components of large buckets, block against block.
+
+    Members are dealt into blocks of about ``BLOCK`` shingles, which travel with their full sets,
+    so only confirmed links come out. Of two components at least one is not the block's largest, so
+    the members of the others are held against all.
+    """
+    large = live.where(F.col("members") > SMALL_BUCKET).select("band", "class_id", "component")
+    needed = durable(large.select(F.col("class_id").alias("id")).distinct())
+    texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = texts.join(small_side(needed), "id", "left_semi")
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingle = Shingler(words)
+        for batch in batches:
+            found = [shingle(text).astype("<u8").tobytes() for text in batch["text"]]
+            yield pd.DataFrame({"class_id": batch["id"], "shingles": found})
+
+    found = durable(texts.mapInPandas(sets, "class_id long, shingles binary"))
+    sized = found.select("class_id", F.octet_length("shingles").alias("bytes"))
+    weights = large.join(sized, "class_id").groupBy("band").agg(F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.col("bytes") / (8 * BLOCK)).cast("int")
+    large = large.join(weights.select("band", F.greatest(blocks, F.lit(1)).alias("blocks")), "band")
+    own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
+    large = large.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class_id"), blocks).cast("int")
-    large = large.select("band", "class_id", "component", "signature", own.alias("own"), blocks.alias("blocks"))
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     large = large.select(
-        "band", "class_id", "component", "signature", "own",
+        "band", "class_id", "component", "own",
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-    )
+    ).join(found, "class_id")
 
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
-        left, right = frame[frame["own"] == i], frame[frame["own"] == j]
-        found = []
-        signatures, right_ids = unpacked(right["signature"]), right["class_id"].to_numpy()
-        right_components = right["component"].to_numpy()
-        if not len(right):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        for a, component, signature in zip(
-            left["class_id"], left["component"], left["signature"], strict=True
-        ):
-            near = estimate(signatures, unpacked([signature])) >= least
-            near &= right_components != component
-            for b in right_ids[near]:
-                found.append((min(a, b), max(a, b)))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64").drop_duplicates()
+        found = set()
+        one, other = Block(frame[frame["own"] == i]), Block(frame[frame["own"] == j])
+        for left, right in ((one, other), (other, one))[: 1 + (i != j)]:
+            found.update(left.links(right, percent, least))
+        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
     return large.groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
+class Block:
+    """Members of a bucket with their sets, signatures and an index from shingle to members."""
+
+    def __init__(self, frame: pd.DataFrame):
+        self.ids, self.components = (frame[c].to_numpy() for c in ("class_id", "component"))
+        self.sets = [np.frombuffer(x, dtype="<u8") for x in frame["shingles"]]
+        self.sizes = np.array([len(x) for x in self.sets], dtype=np.int64)
+        if len(frame):
+            self.signatures = unpacked([packed(minima_of(x)) for x in self.sets])
+            shingles = np.concatenate(self.sets)
+            order = np.argsort(shingles, kind="stable")
+            self.shingles = shingles[order]
+            self.owners = np.repeat(np.arange(len(frame)), self.sizes)[order]
+
+    def common(self, shingles: np.ndarray) -> np.ndarray:
+        """How many of these shingles each member has."""
+        low = np.searchsorted(self.shingles, shingles, "left")
+        count = np.searchsorted(self.shingles, shingles, "right") - low
+        places = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return np.bincount(self.owners[places], minlength=len(self.ids))
+
+    def links(self, other: Block, percent: int, least: float) -> Iterator[tuple[int, int]]:
+        """Confirmed links of members outside the largest component of the two blocks."""
+        if not len(self.ids) or not len(other.ids):
+            return
+        names, counts = np.unique(
+            np.concatenate([self.components, other.components]), return_counts=True
+        )
+        for k in np.flatnonzero(self.components != names[counts.argmax()]):
+            apart = other.components != self.components[k]
+            near = estimate(other.signatures, self.signatures[k]) >= least
+            if not (apart & near).any():
+                continue
+            both = other.common(self.sets[k])
+            linked = apart & (100 * both >= percent * (self.sizes[k] + other.sizes - both))
+            for b in other.ids[linked].tolist():
+                a = int(self.ids[k])
+                yield min(a, b), max(a, b)
+
+
 def near_duplicates(
     documents: DataFrame, words: int = 5, percent: int = 80,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per row of documents: doc_id, n_shingles, component_id (its smallest doc_id)."""
+    small_batches(documents.sparkSession)
     every = durable(features(documents, words, id_col, text_col))
     rows = every.where("doc_id is not null and digest is not null")
     # equal sets are one class; a hot class is combined before the shuffle
@@ -262,7 +316,8 @@ def near_duplicates(
             return False
         links = _confirmed(pairs, documents, words, percent, id_col, text_col)
         tested = pairs if tested is None else durable(tested.union(pairs))
-        labels = connect(links, labels)
+        if not links.isEmpty():
+            labels = connect(links, labels)
         return True
 
     for turn in range(ROUNDS):
@@ -287,7 +342,10 @@ def near_duplicates(
     mixed = live.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     live = durable(live.join(mixed.where("low <> high").select("band"), "band", "left_semi"))
     if not live.isEmpty():
-        confirm(_rest_small(live).union(_rest_large(live, reps, least)).distinct())
+        links = durable(_rest_large(live, documents, words, percent, least, id_col, text_col))
+        confirm(_rest_small(live))
+        if not links.isEmpty():
+            labels = connect(links, labels)
 
     result = every.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     result = attach(result, labels, "class_id")

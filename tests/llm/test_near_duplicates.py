@@ -68,7 +68,7 @@ def test_groups_equal_all_pairs(spark):
 
 def test_blocks_find_what_pairs_find(spark, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL_BUCKET", 1)
-    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "BLOCK", 700)
     monkeypatch.setattr(minhash, "ROUNDS", 0)
     rng = random.Random(9)
     base = [f"w{i}" for i in range(80)]
