@@ -11,7 +11,8 @@ start. Then every bucket links its members to one pivot, components are contract
 that still hold several components get another pivot. After ``ROUNDS`` rounds the members of
 different components that are left are compared: small buckets pair by pair, large ones in blocks
 of full sets, from which only confirmed links come out. So each pair of a bucket is either in one
-component already or compared.
+component already or compared. The work of that last step grows with the members outside a
+bucket's largest component times its members; its output is links only.
 
 Defined results: null or empty texts have an empty set and link with nothing; a text of fewer words
 than a shingle is one shingle; equal rows are one class; rows that share a doc_id are one document;
