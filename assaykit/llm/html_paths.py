@@ -1,11 +1,11 @@
 """Main text of web pages by tag-path ratios.
 
 A page's text nodes are grouped by their root-to-leaf tag path. A path's text ratio is its text
-length per node, its punctuation ratio the sentence marks per node. Both are smoothed over the
-paths beneath the same container (an article's heading and bold text stand beside its paragraphs)
-and fused with a prior for the elements on the path: nothing for page furniture, more inside an
-article. Paths at or above a share of the page's best are content. All nodes of those paths are
-returned, in page order.
+length per node, its punctuation ratio the sentence marks per node. Both are fused with a prior for
+the elements on the path: nothing for page furniture, more inside an article. A container counts
+as much as its best path, so its heading, list items and table cells stand or fall with its
+paragraphs, however many they are. Containers at or above a share of the page's best are content.
+All their nodes outside furniture are returned, in page order.
 
 Defined results: a null or empty html has an empty text; broken or cut off markup is read as far
 as it goes (an open tag at the end is dropped); a page without content paths has an empty text;
@@ -63,7 +63,6 @@ FURNITURE_NAMES = frozenset(
 HOLDERS = frozenset("article main".split())
 CONTAINERS = frozenset("section div td body".split())
 HOLDER_PRIOR = 20.0
-POOLED = 0.9
 MARKS = re.compile(r"[.,;:!?…。，、؟]")
 SPACE = re.compile(r"\s+")
 
@@ -84,7 +83,7 @@ class PathStats:
     marks: int = 0
     container: tuple[str, ...] = ()
     prior: float = 1.0
-    score: float = field(default=0.0)
+    score: float = field(default=0.0)  # of the container
 
 
 def text_nodes(page: str) -> list[Node]:
@@ -175,7 +174,7 @@ def _end_of(stack: list, names: set[str]) -> None:
 
 
 def score_paths(nodes: list[Node]) -> dict[tuple[str, ...], PathStats]:
-    """Text and punctuation ratio per path, smoothed per container, fused with the prior."""
+    """Per path the score of its container: the best fused text and punctuation ratio in it."""
     stats: dict[tuple[str, ...], PathStats] = {}
     for node in nodes:
         s = stats.setdefault(node.path, PathStats())
@@ -183,22 +182,17 @@ def score_paths(nodes: list[Node]) -> dict[tuple[str, ...], PathStats]:
         s.chars += len(node.text)
         s.marks += len(MARKS.findall(node.text))
         s.container, s.prior = node.container, node.prior
-    around: dict[tuple, list[int]] = {}
+    best: dict[tuple, float] = {}
     for s in stats.values():
-        total = around.setdefault((s.container, s.prior), [0, 0, 0])
-        total[0] += s.nodes
-        total[1] += s.chars
-        total[2] += s.marks
+        own = s.prior * (s.chars / s.nodes) * (1.0 + s.marks / s.nodes)
+        best[s.container] = max(own, best.get(s.container, 0.0))
     for s in stats.values():
-        nodes_near, chars_near, marks_near = around[s.container, s.prior]
-        text = (1 - POOLED) * s.chars / s.nodes + POOLED * chars_near / nodes_near
-        marks = (1 - POOLED) * s.marks / s.nodes + POOLED * marks_near / nodes_near
-        s.score = s.prior * text * (1.0 + marks)
+        s.score = best[s.container] if s.prior else 0.0
     return stats
 
 
 def main_text(page: str | None, share: float = 0.1) -> str:
-    """The text of the content paths: blocks joined by line feeds."""
+    """The text of the content containers: blocks joined by line feeds."""
     nodes = text_nodes(page or "")
     stats = score_paths(nodes)
     least = share * max((s.score for s in stats.values()), default=0.0)

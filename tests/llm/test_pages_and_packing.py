@@ -56,6 +56,18 @@ def test_pages_without_an_article():
     assert text.startswith("Head\nSentence 0") and "link" not in text
 
 
+@pytest.mark.parametrize("n", [80, 200, 3000])
+def test_many_short_nodes_stay_with_their_article(n):
+    long = "".join(f"<p>{'Some words, and more. ' * 140}</p>" for _ in range(3))
+    items = [f"entry number {i} of all" for i in range(n)]
+    lists = "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>"
+    cells = "<table>" + "".join(f"<tr><td>{x}</td></tr>" for x in items) + "</table>"
+    for short in (lists, cells):
+        page = f"<body><nav><a>menu</a></nav><article><h1>Title</h1>{long}{short}</article></body>"
+        got = html_paths.main_text(page).split("\n")
+        assert got[0] == "Title" and len(got) == 4 + n and got[4:] == items
+
+
 def test_extract(spark):
     rows = [(1, None, None, "x"), (2, "u", PAGE, None), (2, "u", PAGE, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
