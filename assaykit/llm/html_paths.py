@@ -5,7 +5,10 @@ length per node, its punctuation ratio the sentence marks per node. Both are fus
 the elements on the path: nothing for page furniture, more inside an article. A container counts
 as much as its best path, so its heading, list items and table cells stand or fall with its
 paragraphs, however many they are. Containers at or above a share of the page's best are content.
-All their nodes outside furniture are returned, in page order.
+All their nodes outside furniture are returned, in page order. A word such as "sidebar" in a class,
+id, role or aria-label lowers the score of what lies beneath, which then is judged apart from the
+container around it. It says nothing on html, body, the outermost article or main, or an element
+that holds most of the page's text.
 
 Defined results: a null or empty html has an empty text; broken or cut off markup is read as far
 as it goes (an open tag at the end is dropped); a page without content paths has an empty text;
@@ -46,11 +49,12 @@ ENDS = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 FENCES = frozenset("article aside body div footer form header main nav section table ul ol dl".split())
-#: Elements and name parts that never hold main text.
+#: Elements that never hold main text.
 FURNITURE = frozenset(
     "head script style noscript template iframe object svg canvas nav header footer aside form "
     "button select option textarea input menu dialog label".split()
 )
+#: Name parts that speak against main text.
 FURNITURE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements banner breadcrumb breadcrumbs comment "
     "comments consent cookie cookies copyright disqus footer header masthead menu modal nav navbar "
@@ -59,6 +63,11 @@ FURNITURE_NAMES = frozenset(
     "subscribe subscription toolbar widget widgets login alert disclaimer gdpr discussion "
     "contentinfo complementary".split()
 )
+#: Parts that name a subject as often as a piece of the page.
+SUBJECT_NAMES = frozenset("alert discussion notice notices related search social".split())
+#: Factor, and share of the page's text from which it does not apply: for names whose parts all
+#: speak against main text ("cookie-banner"), and for names with such a part ("has-sidebar").
+WHOLE_NAME, PART_NAME = (0.02, 0.9), (0.25, 0.5)
 #: The outermost holder, or else the nearest container, pools the paths beneath it.
 HOLDERS = frozenset("article main".split())
 CONTAINERS = frozenset("section div td body".split())
@@ -74,6 +83,7 @@ class Node:
     prior: float
     block: int
     text: str
+    named: tuple[tuple[tuple[str, ...], tuple[float, float]], ...] = ()  # path, factor and share
 
 
 @dataclass
@@ -89,17 +99,18 @@ class PathStats:
 def text_nodes(page: str) -> list[Node]:
     """Text runs in page order, each with its tag path and the number of its block."""
     nodes: list[Node] = []
-    stack: list[tuple[str, str, float]] = []  # element, path step, prior so far
+    stack: list[tuple[str, str, float, tuple]] = []  # element, path step, prior and names so far
     block, at, n = 0, 0, len(page)
 
     def put(raw: str) -> None:
         if raw.strip():
-            path = tuple(step for _, step, _ in stack)
+            path = tuple(x[1] for x in stack)
             held = [i for i, x in enumerate(stack) if x[0] in HOLDERS]
             near = [i for i, x in enumerate(stack) if x[0] in CONTAINERS]
             cut = held[0] if held else near[-1] if near else -1
             prior = stack[-1][2] if stack else 1.0
-            nodes.append(Node(path, path[: cut + 1], prior, block, entities.unescape(raw)))
+            named = stack[-1][3] if stack else ()
+            nodes.append(Node(path, path[: cut + 1], prior, block, entities.unescape(raw), named))
         elif raw and nodes and nodes[-1].block == block:
             nodes[-1].text += " "
 
@@ -137,21 +148,56 @@ def text_nodes(page: str) -> list[Node]:
             block += 1
             continue
         if not found[3].rstrip().endswith("/"):
-            stack.append(_step(name, found[3], stack[-1][2] if stack else 1.0, stack))
+            stack.append(_step(name, found[3], stack))
     return nodes
 
 
-def _step(name: str, attributes: str, prior: float, stack: list) -> tuple[str, str, float]:
+def _step(name: str, attributes: str, stack: list) -> tuple[str, str, float, tuple]:
+    prior, named = stack[-1][2:] if stack else (1.0, ())
     labels = " ".join(x.strip("\"'") for x in NAMED.findall(attributes)) if attributes else ""
-    parts = {p.lower() for p in PART.findall(labels)}
+    step = f"{name}.{labels.replace(' ', '.')}" if labels else name
     held = any(x[0] in HOLDERS for x in stack)
     own_head = {"header"} if held else set()  # an article's own heading is no page header
-    bad_name = name not in ("html", "body") and parts & (FURNITURE_NAMES - own_head)
-    if bad_name or (name in FURNITURE and name not in own_head):
+    if name in FURNITURE and name not in own_head:
         prior = 0.0
     elif name in HOLDERS and not held:
         prior *= HOLDER_PRIOR
-    return name, f"{name}.{labels.replace(' ', '.')}" if labels else name, prior
+    elif labels and name not in ("html", "body"):
+        against = _against(labels, FURNITURE_NAMES - own_head)
+        if against:
+            named = (*named, ((*(x[1] for x in stack), step), against))
+    return name, step, prior, named
+
+
+def _against(labels: str, names: frozenset[str]) -> tuple[float, float] | None:
+    """What the strongest of the names says against main text, if any does."""
+    found = None
+    for label in labels.split():
+        parts = {p.lower() for p in PART.findall(label) if not p.isdigit()}
+        if parts and parts <= names - SUBJECT_NAMES:
+            return WHOLE_NAME
+        if parts & names:
+            found = PART_NAME
+    return found
+
+
+def _apply_names(nodes: list[Node]) -> None:
+    """Lower priors beneath named elements, which become containers of their own."""
+    if not any(node.named for node in nodes):
+        return
+    held: dict[tuple[str, ...], int] = {}
+    total = 0
+    for node in nodes:
+        if node.prior:
+            size = len(node.text.strip())
+            total += size
+            for path, _ in node.named:
+                held[path] = held.get(path, 0) + size
+    for node in nodes:
+        for path, (factor, share) in node.named:
+            if node.prior and held[path] <= share * total:
+                node.prior *= factor
+                node.container = max(node.container, path, key=len)
 
 
 def _close(stack: list, name: str) -> None:
@@ -194,6 +240,7 @@ def score_paths(nodes: list[Node]) -> dict[tuple[str, ...], PathStats]:
 def main_text(page: str | None, share: float = 0.1) -> str:
     """The text of the content containers: blocks joined by line feeds."""
     nodes = text_nodes(page or "")
+    _apply_names(nodes)
     stats = score_paths(nodes)
     least = share * max((s.score for s in stats.values()), default=0.0)
     blocks: dict[int, list[str]] = {}

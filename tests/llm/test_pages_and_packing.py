@@ -68,6 +68,27 @@ def test_many_short_nodes_stay_with_their_article(n):
         assert got[0] == "Title" and len(got) == 4 + n and got[4:] == items
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "comments-open", "ad-free", "category-social"])
+@pytest.mark.parametrize(
+    "holder", ["<article {}>{}</article>", "<main {}>{}</main>", "<div {}><article>{}</article></div>",
+               "<div {}>{}</div>", "<main><article {}>{}</article></main>", "<main><div {}>{}</div></main>"],
+)
+def test_a_name_does_not_drop_the_page_text(name, holder):
+    text = [f"Sentence {i} goes on, and on, for a good while longer." for i in range(5)]
+    story = holder.format(f'class="post {name}"', "".join(f"<p>{x}</p>" for x in text))
+    page = f'<body><nav>menu</nav><div class="sidebar"><p>See this, too.</p></div>{story}<footer>x</footer></body>'
+    assert html_paths.main_text(page).split("\n") == text
+
+
+def test_a_name_is_one_factor_among_others():
+    text = "".join(f"<p>Sentence {i} goes on, and on, for a good while longer.</p>" for i in range(5))
+    apart = '<section id="{}"><p>This part is as long, and as full of words, as others.</p></section>'
+    page = f"<article>{text}{apart}</article>"
+    assert "This part" in html_paths.main_text(page.format("discussion"))
+    assert "This part" in html_paths.main_text(page.format("no-comments"))
+    assert "This part" not in html_paths.main_text(page.format("comments"))
+
+
 def test_extract(spark):
     rows = [(1, None, None, "x"), (2, "u", PAGE, None), (2, "u", PAGE, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
