@@ -127,6 +127,38 @@ def test_decontamination_refuses_inconsistent_slots(spark):
     assert decontamination.find(docs, bench, least_windows=whole).count() == 0
 
 
+def found_items(spark, texts, items, **kw):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r for r in decontamination.find(docs, bench, **kw).collect()}
+
+
+def test_decontamination_counts_the_largest_consistent_part(spark):
+    far = "Every morning the tall baker sells 12 loaves near the old stone bridge by the quiet river "
+    item = far + "and every evening the same baker counts what is left of the 12 loaves on the big table"
+    texts = [item, item[::-1].replace("21", "7", 1)[::-1], item.replace("12", "7"), "no words of it"]
+    assert texts[1].count("12") == 1
+    got = found_items(spark, texts, [item])
+    assert set(got) == {(0, 0), (1, 0), (2, 0)}
+    whole, part, renamed = (got[i, 0] for i in range(3))
+    # left out are the windows that hold the changed number, which has 5 tokens behind it
+    assert whole["n_windows"] == renamed["n_windows"] == part["n_windows"] + 6
+    assert part["exact"] and not renamed["exact"]
+
+
+def test_decontamination_finds_short_items(spark):
+    items = [
+        "why do some birds fly south before winter",  # 8 tokens, one window
+        "why do some fish swim upstream every single spring",  # 9 tokens
+        "name the largest moon of saturn",  # 6 tokens
+        "12 + 7 - 3 + 9 - 4 + 6 + 8 sums to",  # no window with 5 plain words
+        "too short",
+    ]
+    texts = [f"Some text before, {x}, and some text behind" for x in items]
+    texts.append("Before, 13 + 7 - 3 + 9 - 4 + 6 + 8 sums to")
+    assert set(found_items(spark, texts, items)) == {(i, i) for i in range(4)}
+
+
 def test_licenses_base_places(spark):
     texts = [
         *TEXTS,
