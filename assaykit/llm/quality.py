@@ -2,7 +2,9 @@
 
 Defined results: a null or empty text has no words, all counts are 0 and the base rule fails it.
 Repeated rows are judged one by one. Columns of the input other than the id and the text are not
-read, so extra or clashing names do not matter. An empty table gives an empty table.
+read, so extra or clashing names do not matter. An empty table gives an empty table. stop_ratio is
+null, and so fails no threshold, for a text in other letters than those of the stop words' languages;
+mean_word_chars is null for a text in a script without spaces between words.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ STOP_WORDS = (
     "der die und den von das ist zu mit ein eine im dem nicht auf sich als auch für "
     "el los y del las se por con para su al lo como en no"
 ).split()
+#: Letters that these languages do not use, and a share of them that speaks for another language.
+OTHER_LETTER = r"[\p{L}&&[^A-Za-zÀ-ÂÄÆ-ÏÑ-ÔÖÙ-Üß-âäæ-ïñ-ôöù-üÿŒœŸªº]]"
+OTHER_SHARE = 0.01
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+UNSPACED_SHARE = 0.2
 
 
 @dataclass(frozen=True)
@@ -86,11 +93,13 @@ def repeated_words(windows: Column) -> Column:
 
 
 def measure(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_rows: bool = False,
+    any_case: bool = False,
 ) -> DataFrame:
     """One row per document: id, base counts and the ratios that thresholds refer to.
 
-    With ``keep_rows`` the input row comes along as the struct ``row``.
+    With ``keep_rows`` the input row comes along as the struct ``row``. With ``any_case`` stop words
+    count however they are written, otherwise in lower case or capitalised.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     row = [F.struct(*documents.columns).alias("row")] if keep_rows else []
@@ -100,13 +109,18 @@ def measure(
     df = with_computed(
         df,
         {
-            "facts": let(word_list(F.col("text")), _word_facts),
+            "facts": let(word_list(F.col("text")), lambda words: _word_facts(words, any_case)),
             "n_symbols": F.regexp_count("text", F.lit(SYMBOLS)).cast("long"),
             "n_shouts": F.regexp_count("text", F.lit(SHOUTS)).cast("long"),
+            "n_other": F.regexp_count("text", F.lit(OTHER_LETTER)),
             "lines": lines,
         },
     )
-    df = df.select("doc_id", *row, "facts.*", "n_symbols", "n_shouts", "lines")
+    # scripts without spaces have none of the letters above
+    unspaced = F.when(F.col("n_other") > 0, F.regexp_count("text", F.lit(UNSPACED))).otherwise(0)
+    df = df.select(
+        "doc_id", *row, "facts.*", "n_symbols", "n_shouts", "lines", "n_other", unspaced.alias("n_unspaced")
+    )
     df = df.select(
         "doc_id",
         *row,
@@ -118,13 +132,15 @@ def measure(
         F.size("lines").cast("long").alias("n_lines"),
         "n_shouts",
         "n_stop",
+        (F.col("n_other") > OTHER_SHARE * F.col("word_chars")).alias("other"),
+        (F.col("n_unspaced") > UNSPACED_SHARE * F.col("word_chars")).alias("unspaced"),
     )
     return df.select(
-        *df.columns,
-        _ratio("word_chars", "n_words").alias("mean_word_chars"),
+        *[c for c in df.columns if c not in ("other", "unspaced")],
+        F.when(~F.col("unspaced"), _ratio("word_chars", "n_words")).alias("mean_word_chars"),
         _ratio("n_symbols", "word_chars").alias("symbol_ratio"),
         _ratio("n_shouts", "word_chars").alias("shout_ratio"),
-        _ratio("n_stop", "n_words").alias("stop_ratio"),
+        F.when(~F.col("other"), _ratio("n_stop", "n_words")).alias("stop_ratio"),
         _ratio("n_dup_lines", "n_lines").alias("dup_line_ratio"),
     )
 
@@ -142,18 +158,21 @@ def judge(measured: DataFrame, thresholds=THRESHOLDS, least_words: int = 50) ->
 
 def keep(documents: DataFrame, thresholds=THRESHOLDS, least_words: int = 50) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    judged = judge(measure(documents, keep_rows=True), thresholds, least_words)
+    judged = judge(measure(documents, keep_rows=True, any_case=True), thresholds, least_words)
     return judged.where("kept").select("row.*")
 
 
-def _word_facts(words: Column) -> Column:
+def _word_facts(words: Column, any_case: bool) -> Column:
+    def is_stop(w: Column) -> Column:
+        return F.lower(w).isin(STOP_WORDS) if any_case else w.isin(_STOP_FORMS)
+
     windows = F.transform(
         words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))
     )
     return F.struct(
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        F.size(F.filter(words, lambda w: w.isin(_STOP_FORMS))).cast("long").alias("n_stop"),
+        F.size(F.filter(words, is_stop)).cast("long").alias("n_stop"),
         F.slice(windows, 1, F.greatest(F.size(words) - 2, F.lit(0))).alias("windows"),
     )
 

@@ -81,6 +81,21 @@ def test_quality_keep_returns_the_rows(spark):
     assert quality.keep(docs.limit(0)).count() == 0
 
 
+def test_quality_keeps_clean_text_of_other_languages_and_in_capitals(spark):
+    pairs = [(a, b) for a in "bdfgklmnprst" for b in ("ale", "ork", "ink", "umt", "epf")]
+    latin = " ".join(f"{a}{b} {b}{a}" for a, b in pairs)
+    russian = " ".join(f"мы{chr(0x430 + i % 32)}ш{chr(0x430 + i // 2)} идёт" for i in range(40))
+    polish = " ".join(f"{a}ał{b} {b}ę{a}" for a, b in pairs)
+    turkish = " ".join(f"{a}ı{b} {b}ş{a}" for a, b in pairs)
+    shouted = " ".join(f"THE {a}{b} WAS {b}{a}".upper() for a, b in pairs)
+    chinese = " ".join("".join(chr(0x4E00 + 31 * i + k) for k in range(25)) for i in range(60))
+    docs = frame(spark, [russian, polish, None, turkish, shouted, chinese, latin])
+    assert sorted(r["doc_id"] for r in quality.keep(docs).collect()) == [0, 1, 3, 4, 5]
+    judged = {r["doc_id"]: r for r in quality.judge(quality.measure(docs)).collect()}
+    assert [i for i, r in judged.items() if i is not None and r["kept"]] == [0, 1, 3, 5]
+    assert judged[6]["failed_rules"] == "stop_ratio"
+
+
 ITEM = "If Anna buys 12 red apples for 30 dollars then how many apples does Anna get for 45 dollars today"
 
 
