@@ -2,8 +2,8 @@
 
 A notice with up to k edits, cut into k + 1 pieces, holds one piece unchanged (pigeonhole). The
 pieces of all notices are searched exactly; each hit nominates a stretch of text around it, where
-the regex library looks for the notice with at most k insertions, deletions or substitutions and
-reports what it found. Of overlapping finds the one with the fewest edits, then the longest, stays.
+the regex library looks for the notice with at most k insertions, deletions or substitutions. It
+reports the closest one, after which the stretch before and the one behind are looked at alike. Of overlapping finds the one with the fewest edits, then the longest, stays.
 
 Texts are read as lower-case words (ASCII letters, digits and all characters beyond ASCII) joined
 by single spaces, so line breaks and punctuation do not matter. Spans are counted in words.
@@ -54,6 +54,16 @@ class Notice:
         notice = regex.escape(self.text, literal_spaces=True)
         return regex.compile(rf"(?b)\b(?:{notice}){{e<={self.edits}}}\b")
 
+    def matches(self, joined: str, begin: int, end: int) -> Iterator:
+        """The best match of the stretch, then those of what is left on its two sides."""
+        least, left = max(1, len(self.text) - self.edits), [(begin, end)]
+        while left:
+            begin, end = left.pop()
+            match = self.pattern.search(joined, begin, end) if end - begin >= least else None
+            if match:
+                yield match
+                left += [(begin, match.start()), (match.end(), end)]
+
 
 #: Short notices of this operator's own; one edit for about ten characters.
 NOTICES = (
@@ -129,7 +139,7 @@ class Scanner:
         for n, each in stretches.items():
             notice = self.notices[n]
             for begin, end in each:
-                for match in notice.pattern.finditer(joined, begin, min(end, len(joined))):
+                for match in notice.matches(joined, begin, min(end, len(joined))):
                     found.append(
                         Found(notice.label, *match.span(), sum(match.fuzzy_counts), notice.text)
                     )

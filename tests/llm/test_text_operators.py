@@ -220,6 +220,20 @@ def test_license_pieces_cover_every_bounded_edit():
             assert any(f.edits <= notice.edits for f in found), (notice.text, text)
 
 
+def test_adjacent_license_notices_are_all_found():
+    scanner = licenses.Scanner()
+    spans = [(f.start, f.end, f.edits) for f in scanner.fuzzy("the mit licence the mit license")]
+    assert spans == [(0, 15, 1), (16, 31, 0)]
+    rng = np.random.default_rng(7)
+    notice = licenses.Notice("redistribution and use in source and binary forms", "bsd", 4)
+    scanner = licenses.Scanner({}, (notice,))
+    for _ in range(30):
+        edits = rng.integers(0, 4, 6).tolist()
+        copies = [notice.text.replace("u", "q", n) if n < 3 else notice.text.replace("i", "q", n) for n in edits]
+        found = scanner.fuzzy(" ".join(copies))
+        assert len(found) == 6 and [f.start for f in found] == [50 * i for i in range(6)]
+
+
 def test_suffix_automaton_parses_like_a_search():
     rng = np.random.default_rng(5)
     text = rng.integers(0, 3, 300).astype(np.uint8)
