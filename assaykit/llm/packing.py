@@ -1,8 +1,8 @@
 """Lexical retrieval packing into sequences of a fixed number of tokens.
 
 Documents are tokenised and collected into shards of bounded size. A shard has an inverted index
-with BM25 weights over token ids. The document that opens a sequence is its seed; its best unused
-neighbours by BM25 fill the sequence one after another. A document is cut where the sequence is
+with BM25 weights over token ids. The document that opens a sequence is its seed; its unused
+neighbours by BM25, all of them if need be, fill the sequence one after another, the best first. A document is cut where the sequence is
 full, and its rest opens the next one. When a seed has no neighbours left, the next unused document
 follows. The tokens left at a shard's end go into sequences whose sizes are powers of two, which
 need no padding.
@@ -92,12 +92,16 @@ def _bytes_by_sign() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+#: Terms in more than this share of a shard's documents are rows of a matrix instead of postings.
+DENSE = 0.1
+
+
 class Index:
-    """Postings of a shard: for every term that two documents share, documents and BM25 weights."""
+    """Weights of a shard: for every term that two documents share, documents and BM25 weights."""
 
     def __init__(
         self, documents: list[np.ndarray], k1: float = 1.2, b: float = 0.75,
-        most_common: float = 0.2, query_terms: int = 24,
+        most_common: float = 1.0, query_terms: int | None = None,
     ):
         n = len(documents)
         counted = [np.unique(d, return_counts=True) for d in documents]
@@ -106,34 +110,43 @@ class Index:
         count = np.concatenate([c for _, c in counted]).astype(np.float64)
         owner = np.repeat(np.arange(n), sizes)
         frequency = np.bincount(term)
-        # terms of one document retrieve nothing, and those of very many documents tell nothing
+        # terms of one document retrieve nothing
         useful = (frequency[term] > 1) & (frequency[term] <= max(2, most_common * n))
         term, count, owner = term[useful], count[useful], owner[useful]
         lengths = np.array([len(d) for d in documents], dtype=np.float64)
         norm = k1 * (1 - b + b * lengths / lengths.mean())
         rarity = np.log(1 + (n - frequency[term] + 0.5) / (frequency[term] + 0.5))
         weight = rarity * count * (k1 + 1) / (count + norm[owner])
-        order = np.argsort(term, kind="stable")
-        self.owner, self.weight = owner[order], weight[order].astype(np.float32)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(frequency)))])
-        # per document its heaviest terms, which are its query
+        dense = frequency > DENSE * n
+        row_of = np.cumsum(dense) - 1
+        self.dense_row = np.where(dense, row_of, -1)
+        self.common = np.zeros((int(dense.sum()), n), dtype=np.float32)
+        often = dense[term]
+        self.common[row_of[term[often]], owner[often]] = weight[often]
+        order = np.argsort(term[~often], kind="stable")
+        self.owner, self.weight = owner[~often][order], weight[~often][order]
+        postings = np.bincount(term[~often], minlength=len(frequency))
+        self.first = np.concatenate([[0], np.cumsum(postings)])
+        # per document its terms, which are its query
         self.term, self.term_weight = term, weight
         self.own = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
         self.query_terms, self.n = query_terms, n
 
-    def neighbours(self, seed: int, used: np.ndarray, most: int = 32) -> list[int]:
+    def neighbours(self, seed: int, used: np.ndarray, most: int | None = None) -> list[int]:
         """Unused documents with a common query term, the best first; ties by position."""
         own = slice(self.own[seed], self.own[seed + 1])
         terms, weights = self.term[own], self.term_weight[own]
-        if len(terms) > self.query_terms:
+        if self.query_terms is not None and len(terms) > self.query_terms:
             terms = terms[np.argsort(-weights, kind="stable")[: self.query_terms]]
-        scores = np.zeros(self.n, dtype=np.float32)
-        for t in terms.tolist():
-            a, b = self.first[t], self.first[t + 1]
-            scores[self.owner[a:b]] += self.weight[a:b]
+        rows = self.dense_row[terms]
+        starts, sizes = self.first[terms], self.first[terms + 1] - self.first[terms]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+        scores = np.bincount(self.owner[places], self.weight[places], minlength=self.n).astype(float)
+        scores += self.common[rows[rows >= 0]].sum(axis=0)
         scores[used] = 0.0
         found = np.flatnonzero(scores)
-        if len(found) > most:
+        if most is not None and len(found) > most:
             found = found[np.argpartition(-scores[found], most)[:most]]
         return found[np.lexsort((found, -scores[found]))].tolist()
 
@@ -144,31 +157,26 @@ def pack_shard(documents: list[np.ndarray], window: int) -> list[tuple[int, int,
     used = np.zeros(n, dtype=bool)
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence = filled = 0
-    queue: list[int] = []
-    seed, refills, next_free = -1, 0, 0
+    queue: Iterator[int] | None = iter(())  # neighbours of the seed, None until they are wanted
+    seed = next_free = 0
 
     def choose() -> int:
-        nonlocal queue, refills, next_free
-        while True:
-            while queue:
-                found = queue.pop(0)
-                if not used[found]:
-                    return found
-            if seed >= 0 and refills:
-                refills -= 1
-                queue = index.neighbours(seed, used)
-                if queue:
-                    continue
-            while used[next_free]:
-                next_free += 1
-            return next_free
+        nonlocal queue, next_free
+        if queue is None:
+            queue = iter(index.neighbours(seed, used))
+        for found in queue:
+            if not used[found]:
+                return found
+        while used[next_free]:
+            next_free += 1
+        return next_free
 
     for _ in range(n):
         current = choose()
         used[current] = True
         start, size = 0, len(documents[current])
         if filled == 0:
-            seed, queue, refills = current, [], 2
+            seed, queue = current, None
         while start < size:
             length = min(window - filled, size - start)
             pieces.append((current, start, length, sequence, filled))
@@ -176,7 +184,7 @@ def pack_shard(documents: list[np.ndarray], window: int) -> list[tuple[int, int,
             if filled == window:
                 sequence, filled = sequence + 1, 0
                 if start < size:
-                    seed, queue, refills = current, [], 2
+                    seed, queue = current, None
     return _split_last(pieces, sequence, filled) if filled else pieces
 
 

@@ -208,3 +208,34 @@ def test_neighbours_equal_a_full_ranking():
         assert sorted((round(scores[g], 3) for g in got), reverse=True) == [
             round(x, 3) for x in sorted(scores.values(), reverse=True)[:5]
         ]
+
+
+def test_default_neighbours_are_all_that_share_a_term():
+    rng = np.random.default_rng(4)
+    docs = [np.append(rng.integers(1, 900, rng.integers(20, 90)), 0).astype("<u4") for _ in range(150)]
+    docs = [np.append(d, [901, 902]).astype("<u4") if i % 3 == 0 else d for i, d in enumerate(docs)]
+    n, sizes = len(docs), np.array([len(d) for d in docs])
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=903)
+    index, used = packing.Index(docs), np.zeros(n, dtype=bool)
+    used[[5, 9]] = True
+    for seed in (0, 3, 70):
+        scores = np.zeros(n)
+        for d in range(n):
+            for t in set(docs[seed].tolist()) & set(docs[d].tolist()):
+                tf = (docs[d] == t).sum()
+                idf = np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
+                scores[d] += (df[t] > 1) * idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * sizes[d] / sizes.mean()))
+        got = index.neighbours(seed, used)
+        assert sorted(got) == [d for d in range(n) if d not in (5, 9)]  # all share the end-of-text id
+        assert (np.diff(scores[got]) < 1e-5).all()
+
+
+def test_a_window_takes_related_documents_first():
+    # a third of the documents share two terms, and more than 64 fit in a window
+    docs = [
+        np.array([1, 2, 1000 + i, 0] if i % 3 == 0 else [5000 + i, 9000 + i, 20000 + i, 0], dtype="<u4")
+        for i in range(450)
+    ]
+    pieces = packing.pack_shard(docs, 512)
+    first = [p[0] for p in pieces if p[3] == 0]
+    assert len(first) == 128 and all(d % 3 == 0 for d in first)
