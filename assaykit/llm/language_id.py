@@ -4,8 +4,9 @@ For each language a suffix automaton of labelled text holds all its substrings.
 into phrases, each the longest match in the automaton; the language that needs the fewest phrases
 per letter, normalised by the size of its training text, wins.
 
-Automata are kept as transition tables over a small alphabet, so that many stretches of text are
-parsed at once with array steps. A text is cut into stretches of ``STRETCH`` symbols; all of them
+Each automaton has the alphabet of its language, every letter of the training text. Many stretches
+of text are parsed at once with array steps: through whole transition tables while these are small
+together, else through sorted lists of the transitions that exist. A text is cut into stretches of ``STRETCH`` symbols; all of them
 count, and each starts a phrase.
 
 The training text is a bounded sample (``sample_chars`` per language) of the labelled documents in
@@ -27,8 +28,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assaykit.session import durable, small_side
+
 STRETCH = 512
-MOST_LANGUAGES = 256
+#: Bytes of all whole tables together.
+MOST_TABLE_BYTES = 256 << 20
 UNKNOWN = "und"
 
 
@@ -36,43 +40,74 @@ UNKNOWN = "und"
 class Model:
     languages: list[str]
     symbols: np.ndarray  # code point -> symbol; 0 is the gap between words
-    tables: list[np.ndarray]  # per language: [state, symbol] -> next state, or -1
+    alphabets: list[np.ndarray]  # per language: symbol -> symbol of its automaton
+    tables: list[np.ndarray | Sparse]  # per language
     phrase_bits: list[float]
 
 
-def suffix_automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
-    """Transitions of the smallest automaton that reads exactly the substrings of ``text``.
+@dataclass
+class Sparse:
+    """Transitions in the order of state * width + symbol, without those that lead nowhere."""
 
-    A last row without transitions stands behind it, for a symbol that no phrase can hold.
-    """
-    most = 2 * len(text) + 3
-    table = np.full((most, n_symbols), -1, dtype=np.int32)
-    link, longest = [-1] * most, [0] * most
-    last, size = 0, 1
+    keys: np.ndarray
+    targets: np.ndarray
+    states: int
+    width: int
+
+    def __len__(self) -> int:
+        return self.states
+
+    def step(self, key: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.targets[at], -1)
+
+
+def sparse_automaton(text: np.ndarray, n_symbols: int) -> Sparse:
+    """The smallest automaton that reads exactly the substrings of ``text``, and a dead last state."""
+    steps: list[dict[int, int]] = [{}]
+    link, longest, last = [-1], [0], 0
     for symbol in text.tolist():
-        new, size = size, size + 1
-        longest[new] = longest[last] + 1
+        new = len(steps)
+        steps.append({})
+        longest.append(longest[last] + 1)
+        link.append(0)
         at = last
-        while at >= 0 and table[at, symbol] < 0:
-            table[at, symbol] = new
+        while at >= 0 and symbol not in steps[at]:
+            steps[at][symbol] = new
             at = link[at]
-        if at < 0:
-            link[new] = 0
-        else:
-            old = int(table[at, symbol])
+        if at >= 0:
+            old = steps[at][symbol]
             if longest[old] == longest[at] + 1:
                 link[new] = old
             else:
-                copy, size = size, size + 1
-                longest[copy], link[copy] = longest[at] + 1, link[old]
-                table[copy] = table[old]
-                while at >= 0 and table[at, symbol] == old:
-                    table[at, symbol] = copy
+                copy = len(steps)
+                steps.append(dict(steps[old]))
+                longest.append(longest[at] + 1)
+                link.append(link[old])
+                while at >= 0 and steps[at].get(symbol) == old:
+                    steps[at][symbol] = copy
                     at = link[at]
                 link[old] = link[new] = copy
         last = new
-    table[size] = -1
-    return table[: size + 1].copy()
+    ordered = [sorted(each.items()) for each in steps]
+    sizes = np.array([len(each) for each in ordered], dtype=np.int64)
+    pairs = np.array([pair for each in ordered for pair in each], dtype=np.int64).reshape(-1, 2)
+    keys = np.repeat(np.arange(len(steps)), sizes) * n_symbols + pairs[:, 0]
+    return Sparse(keys, pairs[:, 1].astype(np.int32), len(steps) + 1, n_symbols)
+
+
+def whole_table(sparse: Sparse) -> np.ndarray:
+    table = np.full((sparse.states, sparse.width), -1, dtype=np.int32)
+    table.ravel()[sparse.keys] = sparse.targets
+    return table
+
+
+def suffix_automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
+    """Transitions of the smallest automaton that reads exactly the substrings of ``text``.
+
+    A last row without transitions stands behind it, for a symbol that no phrase can hold.
+    """
+    return whole_table(sparse_automaton(text, n_symbols))
 
 
 def code_points(text: str) -> np.ndarray:
@@ -87,30 +122,31 @@ def normalised(text: str, symbols: np.ndarray) -> np.ndarray:
     return each[keep]
 
 
-def fit(texts: dict[str, list[str]], sample_chars: int, most_symbols: int = 96) -> Model:
+def fit(texts: dict[str, list[str]], sample_chars: int, most_bytes: int = MOST_TABLE_BYTES) -> Model:
     """Automata of the first ``sample_chars`` characters per language."""
     joined = {name: " ".join(each)[:sample_chars] for name, each in sorted(texts.items())}
-    counts: dict[str, int] = {}
-    for text in joined.values():
-        for char in text.lower():
-            counts[char] = counts.get(char, 0) + 1
-    letters = sorted((c for c in counts if unicodedata.category(c)[0] == "L"), key=lambda c: (-counts[c], c))
-    letters = letters[: most_symbols - 2]
+    held = {c for text in joined.values() for c in text.lower() if unicodedata.category(c)[0] == "L"}
+    letters = sorted(held)
     # letters that no sample holds share the last symbol, which starts a phrase everywhere
-    symbols = np.zeros(0x110000, dtype=np.uint8)
-    symbols[_LETTERS] = len(letters) + 1
-    for n, letter in enumerate(letters):
-        symbols[ord(letter)] = n + 1
-    languages, tables, bits = [], [], []
+    n_symbols = len(letters) + 2
+    symbols = np.zeros(0x110000, dtype=np.uint16 if n_symbols <= 1 << 16 else np.uint32)
+    symbols[_LETTERS] = n_symbols - 1
+    symbols[[ord(c) for c in letters]] = np.arange(1, n_symbols - 1)
+    languages, alphabets, tables, bits = [], [], [], []
     for name, text in joined.items():
         parsed = normalised(text, symbols)
         if not parsed.any():
             continue
-        parsed = parsed[parsed != len(letters) + 1]
+        own = np.unique(parsed[parsed != 0])
+        alphabet = np.full(n_symbols, len(own) + 1, dtype=symbols.dtype)
+        alphabet[0], alphabet[own] = 0, np.arange(1, len(own) + 1)
         languages.append(name)
-        tables.append(suffix_automaton(parsed, len(letters) + 2))
+        alphabets.append(alphabet)
+        tables.append(sparse_automaton(alphabet[parsed], len(own) + 2))
         bits.append(float(np.log2(len(parsed) + 1)))
-    return Model(languages, symbols, tables, bits)
+    if sum(4 * table.states * table.width for table in tables) <= most_bytes:
+        tables = [whole_table(table) for table in tables]
+    return Model(languages, symbols, alphabets, tables, bits)
 
 
 def _all_letters() -> np.ndarray:
@@ -120,22 +156,28 @@ def _all_letters() -> np.ndarray:
 _LETTERS = _all_letters()
 
 
-def phrases(stretches: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
+def phrases(
+    stretches: np.ndarray, lengths: np.ndarray, table: np.ndarray | Sparse,
+    alphabet: np.ndarray | None = None,
+) -> np.ndarray:
     """Phrases per stretch (a row, filled up at the end; longest stretches first)."""
     state = np.zeros(len(stretches), dtype=np.int64)
     count = (lengths > 0).astype(np.int64)
-    width, flat = table.shape[1], table.ravel()
+    if isinstance(table, Sparse):
+        width, steps = table.width, table.step
+    else:
+        width, steps = table.shape[1], table.ravel().__getitem__
     alive, nowhere = len(stretches), len(table) - 1
     for at in range(stretches.shape[1]):
         while alive and lengths[alive - 1] <= at:
             alive -= 1
         if not alive:
             break
-        symbol = stretches[:alive, at]
-        step = flat[state[:alive] * width + symbol]
+        symbol = stretches[:alive, at] if alphabet is None else alphabet[stretches[:alive, at]]
+        step = steps(state[:alive] * width + symbol)
         ended = step < 0
         if ended.any():
-            again = flat[symbol[ended]]  # a new phrase starts with this symbol
+            again = steps(symbol[ended])  # a new phrase starts with this symbol
             count[:alive][ended] += at > 0
             step[ended] = np.where(again < 0, nowhere, again)
         state[:alive] = step
@@ -149,11 +191,11 @@ def costs(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     lettered = np.array([bool(x.any()) for x in each], dtype=bool)
     pieces = -(-sizes // STRETCH)
     owner = np.repeat(np.arange(len(texts)), pieces)
-    rows = np.zeros((len(owner), STRETCH), dtype=np.uint8)
+    rows = np.zeros((len(owner), STRETCH), dtype=model.symbols.dtype)
     lengths = np.zeros(len(owner), dtype=np.int64)
     row = 0
     for x, n in zip(each, pieces.tolist(), strict=True):
-        padded = np.zeros(n * STRETCH, dtype=np.uint8)
+        padded = np.zeros(n * STRETCH, dtype=model.symbols.dtype)
         padded[: len(x)] = x
         rows[row : row + n] = padded.reshape(n, STRETCH)
         lengths[row : row + n] = STRETCH
@@ -163,8 +205,8 @@ def costs(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(-lengths, kind="stable")
     rows, lengths, owner = rows[order], lengths[order], owner[order]
     result = np.zeros((len(texts), len(model.languages)))
-    for k, table in enumerate(model.tables):
-        count = np.bincount(owner, phrases(rows, lengths, table), minlength=len(texts))
+    for k, (table, alphabet) in enumerate(zip(model.tables, model.alphabets, strict=True)):
+        count = np.bincount(owner, phrases(rows, lengths, table, alphabet), minlength=len(texts))
         result[:, k] = count * model.phrase_bits[k] / np.maximum(sizes, 1)
     return result, lettered
 
@@ -209,13 +251,12 @@ def train(
         & F.col(text_col).isNotNull()
         & ~F.coalesce(held_out(F.col(id_col)), F.lit(False))
     )
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    counts = {row["lang"]: row["count"] for row in counts.limit(MOST_LANGUAGES).collect()}
-    bound = F.lit(None).cast("long")
-    for lang, count in counts.items():
-        most_place = (1 << 40) * min(1.0, 2 * sample_rows / count)
-        bound = F.when(F.col("lang") == lang, F.lit(int(most_place))).otherwise(bound)
-    chosen = labelled.where(F.col("place") < bound).select(
+    bounds = labelled.groupBy("lang").count().select(
+        "lang",
+        (F.lit(float(1 << 40)) * F.least(F.lit(1.0), 2 * sample_rows / F.col("count")))
+        .cast("long").alias("bound"),
+    )
+    chosen = labelled.join(small_side(durable(bounds)), "lang").where("place < bound").select(
         "lang", "place", F.substring("text", 1, most).alias("start")
     )
     texts: dict[str, list[str]] = {}

@@ -253,6 +253,37 @@ def test_suffix_automaton_parses_like_a_search():
         assert language_id.phrases(row, np.array([len(query)]), table).tolist() == [count]
 
 
+def many_scripts():
+    """Two languages each of four scripts; the two differ in the order of the same letters."""
+    rng = np.random.default_rng(11)
+    texts = {}
+    for first, size in ((0x61, 26), (0x430, 32), (0x4E00, 1500), (0xAC00, 1200)):
+        for k in (0, 1):
+            words = ["".join(chr(first + c) for c in rng.integers(0, size, 4)) for _ in range(300)]
+            texts[f"{first:x}-{k}"] = [" ".join(rng.choice(words, 60)) for _ in range(40)]
+    return texts
+
+
+@pytest.mark.parametrize("most_bytes", [0, 1 << 40])
+def test_languages_of_large_alphabets_are_told_apart(most_bytes):
+    texts = many_scripts()
+    model = language_id.fit({k: t[:30] for k, t in texts.items()}, 9000, most_bytes)
+    assert all(isinstance(t, np.ndarray) == (most_bytes > 0) for t in model.tables)
+    for name, each in texts.items():
+        found = language_id.predict(each[30:], model)
+        assert {lang for lang, _ in found} == {name} and min(score for _, score in found) > 0.3
+
+
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for n in range(300):
+        words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(12)]
+        rows += [(i, " ".join(words), f"l{n:03}") for i in (1, 2, 3, 4) for _ in range(1 + (n < 256))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(language_id.train(docs).languages) == 300
+
+
 def test_language_is_learned_and_held_out(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language_id.train(table)
