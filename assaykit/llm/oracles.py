@@ -236,3 +236,56 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM f"""
+
+
+def source_divergence() -> str:
+    """Dense: every kept term for every source and pair of sources."""
+    return r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), t AS (
+  SELECT rid, lang, source,
+    unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS lang_count FROM t GROUP BY lang, term
+  HAVING count(DISTINCT rid) >= 3
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term)
+  GROUP BY lang, source, term
+), by_lang AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(lang_count)::HUGEINT AS total FROM kept GROUP BY lang
+), by_group AS (
+  SELECT lang, source, sum(n)::HUGEINT AS total FROM counted GROUP BY lang, source
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(b.total, 0) + l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.lang_count + 1)) // (l.total + l.v) AS lang_p
+  FROM groups g JOIN kept k USING (lang) JOIN by_lang l USING (lang)
+  LEFT JOIN by_group b USING (lang, source) LEFT JOIN counted c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+    sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), every_pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(pairs.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+), rows AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM every_pair
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - lang_p) * (p - lang_p) // lang_p
+  FROM p WHERE n > 0 AND p > lang_p
+), ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item) AS "rank"
+  FROM rows
+)
+SELECT lang, source, part, item, value::BIGINT AS value, "rank"::INTEGER AS "rank"
+FROM ranked WHERE part = 'pair' OR "rank" <= 200
+"""

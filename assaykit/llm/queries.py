@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaykit.llm import (
     decontamination,
+    divergence,
     html_paths,
     language_id,
     licenses,
@@ -126,6 +127,10 @@ def op10_warc(spark, folder):
     )
 
 
+def op13_source_divergence(spark, folder):
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -139,6 +144,7 @@ QUERIES = {
         op8_url_filters,
         op9_secret_scan,
         op10_warc,
+        op13_source_divergence,
     )
 }
 ORACLES = {
@@ -148,4 +154,5 @@ ORACLES = {
     "op8_url_filters": oracles.url_filters(URL_LISTS),
     "op9_secret_scan": oracles.secrets(),
     "op10_warc": oracles.archived(),
+    "op13_source_divergence": oracles.source_divergence(),
 }
