@@ -289,3 +289,63 @@ WITH d AS (
 SELECT lang, source, part, item, value::BIGINT AS value, "rank"::INTEGER AS "rank"
 FROM ranked WHERE part = 'pair' OR "rank" <= 200
 """
+
+
+def periodic_runs() -> str:
+    """Pairs of equal words at most a quarter of the text apart, joined to stretches per distance.
+
+    The table of the checksum is built in SQL, as DuckDB has no CRC-32.
+    """
+    return r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, i::UBIGINT AS c, 0 AS turn FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END, turn + 1
+  FROM bits WHERE turn < 8
+), crc AS (
+  SELECT list(c ORDER BY byte) AS step FROM bits WHERE turn = 8
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, doc_id::VARCHAR AS name,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), sums AS (
+  SELECT rid, doc_id, words, xor(4294967295::UBIGINT, list_reduce(
+    list_transform(string_split(name, ''), lambda x: ord(x)::UBIGINT),
+    lambda c, b: xor(step[(xor(c, b) & 255)::BIGINT + 1], c >> 8), 4294967295::UBIGINT)) AS h
+  FROM d, crc
+), chosen AS (
+  SELECT rid, doc_id, words, len(words) AS n, h % 10 = 0 AS repeats, (h // 10)::BIGINT AS g FROM sums
+), cut AS (
+  SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM chosen WHERE n > 0
+), made AS (
+  SELECT rid, n, CASE WHEN coalesce(repeats, false) THEN list_transform(range(n),
+    lambda i: CASE WHEN i < a THEN words[i + 1] ELSE words[a + (i - a) % p + 1] END) ELSE words END AS words
+  FROM cut
+), w AS (
+  SELECT rid, n, unnest(range(n)) AS i, unnest(words) AS word FROM made
+), same AS (
+  SELECT x.rid, y.i - x.i AS q, x.i AS i
+  FROM w x JOIN w y ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM same
+), stretches AS (
+  SELECT rid, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY rid, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT rid, start, length, min(q) AS period FROM stretches GROUP BY rid, start, length
+), listed AS (
+  SELECT rid, count(*) AS n_runs,
+    string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS listing,
+    first({'s': start, 'l': length, 'p': period} ORDER BY length DESC, start, period) AS best
+  FROM runs GROUP BY rid
+), dropped AS (
+  SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS collapsed FROM w ANTI JOIN dropped USING (rid, i)
+  GROUP BY rid
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+  1000 * best.l // best.p AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256,
+  sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (rid) LEFT JOIN kept USING (rid)
+"""

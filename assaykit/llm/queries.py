@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assaykit.functions.stages import with_computed
 from assaykit.llm import (
     decontamination,
     divergence,
@@ -14,6 +15,7 @@ from assaykit.llm import (
     minhash,
     oracles,
     packing,
+    periodic,
     quality,
     secret_scan,
     url_filters,
@@ -127,6 +129,41 @@ def op10_warc(spark, folder):
     )
 
 
+def _with_repetition(documents: DataFrame) -> DataFrame:
+    """doc_id and text; one document in ten, by its id, repeats a stretch of words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), h.alias("h"))
+    chosen = F.col("h") % 10 == 0
+    words = F.filter(F.split("text", periodic.BETWEEN), lambda w: w != "")
+    rows = with_computed(rows, {"words": F.when(chosen, words)})
+    rows = rows.withColumns({"n": F.size("words"), "g": F.expr("h div 10")})
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    repeated = F.expr(
+        "array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), "
+        "CAST((n - a - 1) div p + 1 AS INT))), 1, n - a)), ' ')"
+    )
+    return rows.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, folder):
+    found = periodic.find(_with_repetition(_table(spark, folder, "documents")))
+    best = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS start, -r.period AS period)))")
+    listed = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_source_divergence(spark, folder):
     return divergence.audit(_table(spark, folder, "documents"))
 
@@ -144,6 +181,7 @@ QUERIES = {
         op8_url_filters,
         op9_secret_scan,
         op10_warc,
+        op11_periodic_runs,
         op13_source_divergence,
     )
 }
@@ -154,5 +192,6 @@ ORACLES = {
     "op8_url_filters": oracles.url_filters(URL_LISTS),
     "op9_secret_scan": oracles.secrets(),
     "op10_warc": oracles.archived(),
+    "op11_periodic_runs": oracles.periodic_runs(),
     "op13_source_divergence": oracles.source_divergence(),
 }
