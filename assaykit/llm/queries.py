@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaykit.functions.stages import with_computed
 from assaykit.llm import (
+    bin_slack,
     decontamination,
     divergence,
     html_paths,
@@ -164,6 +165,13 @@ def op11_periodic_runs(spark, folder):
     )
 
 
+def op12_bin_slack(spark, folder):
+    pieces = bin_slack.pack(_table(spark, folder, "documents"), vocabulary())
+    return pieces.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 def op13_source_divergence(spark, folder):
     return divergence.audit(_table(spark, folder, "documents"))
 
@@ -182,6 +190,7 @@ QUERIES = {
         op9_secret_scan,
         op10_warc,
         op11_periodic_runs,
+        op12_bin_slack,
         op13_source_divergence,
     )
 }

@@ -146,14 +146,51 @@ def test_empty_archive(spark, tmp_path):
 
 
 def test_tokens_equal_the_library():
-    tokens = packing.Tokens(vocabulary())
+    from tokenizers import Tokenizer
+
+    tokens, library = packing.Tokens(vocabulary()), Tokenizer.from_file(vocabulary())
     texts = [
         "", None, "a b  c\u2003d\u3000e", "x\x1cy z\x85q", "it's don't\n\n  foo\t\tbar  ", "<|endoftext|>",
-        "“q” 12,5 é́", " " * 5000 + "end", "x" * 20000,
+        "“q” 12,5 é́", " " * 5000 + "end", "x" * 20000, "hello <|endoftext|> world", "<|endoftext|>" * 3,
+        # too long a run for the faster encoder
+        " " * 1_000_500, "\n" * 2_000_000, "x" + "\t \n" * 400_000 + "y", "\u3000" * 1_100_000 + "z",
+        "a" * 300_000, "7" * 100_000, "日本" * 50_000,
     ]
     for text in texts:
-        assert np.array_equal(tokens(text), tokens._slow(text or "")), text
-    assert tokens.fast is not None
+        want = library.encode(text or "", add_special_tokens=False).ids
+        assert tokens.ids(text).tolist() == want, (text or "")[:20]
+        assert tokens(text).tolist() == [*want, packing.END]
+    assert tokens.ids("hello <|endoftext|> world").tolist() == [31373, 220, 50256, 995]
+
+
+def test_ids_do_not_depend_on_earlier_texts():
+    fresh, used = packing.Tokens(vocabulary()), packing.Tokens(vocabulary())
+    for _ in range(40):
+        used("ordinary words <|endoftext|>")
+    for text in ("late <|endoftext|> mark", " " * 1_000_500 + "late", "plain é\u2003text"):
+        assert np.array_equal(used(text), fresh(text))
+        assert np.array_equal(used.ids(text), used._slow(text))
+
+
+def test_a_text_that_the_encoder_refuses_goes_to_the_library(monkeypatch):
+    class PanicException(BaseException):
+        pass
+
+    class Broken:
+        def __init__(self, error):
+            self.error = error
+
+        def encode_ordinary(self, text):
+            raise self.error
+
+    tokens = packing.Tokens(vocabulary())
+    want = tokens.ids("some text").tolist()
+    for error in (PanicException(), ValueError()):
+        monkeypatch.setattr(tokens, "fast", Broken(error))
+        assert tokens.ids("some text").tolist() == want
+    monkeypatch.setattr(tokens, "fast", Broken(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        tokens.ids("some text")
 
 
 def test_packing_keeps_every_token_once(spark):
