@@ -1,15 +1,16 @@
 """How far the sources of a language differ in their use of words, in whole numbers.
 
-A CountVectorizer with a minimum document frequency and the largest integer as vocabulary size
-turns documents into exact sparse count vectors. Tokens carry their language, so frequencies and
-vocabulary are per language. The vectors are summed by language and source, and sources are
+Per language a CountVectorizer with a minimum document frequency and the largest integer as
+vocabulary size turns documents into exact sparse count vectors. Each task adds the vectors up by
+source, as Summarizer does for one group, and the sums of the tasks are added by Spark. Sources are
 compared from the sparse sums: a term that one of two sources lacks needs only the count of the
-other and a constant, so histograms of the counts do; terms that both have are paired within
-blocks of terms.
+other and a constant, so histograms of the counts do; terms that both have are paired within blocks
+of terms.
 
-The vocabulary of a CountVectorizer passes the driver. It is therefore cut by a hash of the token
-into units of about ``UNIT_TERMS`` distinct tokens each, with a vectorizer of its own; tokens are
-dealt to their unit when they are written. No result depends on the number of units.
+The vocabulary of a CountVectorizer passes the driver and lies in every executor. A language with
+more than ``UNIT_BYTES`` of text is therefore cut by a hash of the term into units with a vectorizer
+of their own, to which the terms of every document are dealt once. No result depends on the number
+of units.
 
 For a term with ``count`` in a group whose kept terms occur ``N`` times, of a language with ``V``
 kept terms: p = 1 + floor(scale * (count + 1) / (N + V)). The divergence of p from q is
@@ -24,8 +25,10 @@ empty table. Only the named columns are read. A long text is one row of the vect
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -41,57 +44,40 @@ from assaykit.session import durable
 
 SCALE = 10**9
 MOST_TERMS = 2**31 - 1
-#: Distinct tokens, before the minimum document frequency, of one vectorizer.
-UNIT_TERMS = 1_000_000
+#: Text of one vectorizer. Its vocabulary grows more slowly; 8 GB of prose keep about a million terms.
+UNIT_BYTES = 8 << 30
+#: Numbers that a task adds up before it passes them on (8 bytes each).
+SUMS = 1 << 24
+#: Languages that are filtered from the table; for more the table is first cut by language.
+MOST_SCANS = 8
 #: Entries (term, source) compared in one block.
 BLOCK = 100_000
 #: Fixed value: characters between terms.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-MARK = "\0"  # between a token's language and its term, which cannot hold it
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _terms(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All terms of all texts and the row each belongs to."""
-    parts = pc.split_pattern_regex(pc.ascii_lower(text), BETWEEN)
-    owner = pc.list_parent_indices(parts)
-    parts = parts.flatten()
-    filled = pc.not_equal(parts, "")
-    return parts.filter(filled), owner.filter(filled).to_numpy().astype(np.int64)
+def terms_of(text: Column) -> Column:
+    """The terms of a text; of its letters only A to Z are lower-cased.
 
-
-def tokens(documents: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:
-    """(lang, source, tokens) per document, a token being its language, MARK and its term."""
-
-    def named(column: str, name: str) -> Column:
-        return F.coalesce(F.col(column).cast("string"), F.lit("")).alias(name)
-
-    rows = documents.select(
-        named(lang_col, "lang"), named(source_col, "source"), named(text_col, "text")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lang = batch.column("lang")
-            found, owner = _terms(batch.column("text"))
-            prefix = pc.binary_join_element_wise(lang, "", MARK).take(pa.array(owner))
-            found = pc.binary_join_element_wise(prefix, found, "")
-            ends = np.searchsorted(owner, np.arange(len(lang) + 1))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
-            yield pa.RecordBatch.from_arrays(
-                [lang, batch.column("source"), lists], ["lang", "source", "tokens"]
-            )
-
-    return rows.mapInArrow(run, "lang string, source string, tokens array<string>")
+    ``lower`` does that as long as no other character has a lower case; it is much faster than
+    replacing letter by letter.
+    """
+    ascii_only = F.octet_length(text) == F.length(text)
+    plain = ascii_only | ~text.rlike(r"[[\p{IsUppercase}\p{Lt}]&&[^\x00-\x7F]]")
+    lowered = F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+    return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
 def dealt(rows: DataFrame, units: int) -> DataFrame:
-    """One row per document and unit that has tokens of it."""
+    """(source, tokens, unit): one row per document and unit that has tokens of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("tokens")
             owner = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
-            coded = lists.flatten().dictionary_encode()
+            flat = lists.flatten()
+            coded = flat.dictionary_encode()
             unit_of = np.array(
                 [zlib.crc32(t.encode()) % units for t in coded.dictionary.to_pylist()], dtype=np.int64
             )
@@ -102,45 +88,107 @@ def dealt(rows: DataFrame, units: int) -> DataFrame:
             new[1:] = (owner[1:] != owner[:-1]) | (unit[1:] != unit[:-1])
             first = np.flatnonzero(new)
             ends = pa.array(np.append(first, len(owner)), pa.int32())
-            of = pa.array(owner[first])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("lang").take(of),
-                    batch.column("source").take(of),
-                    pa.ListArray.from_arrays(ends, lists.flatten().take(pa.array(order))),
+                    batch.column("source").take(pa.array(owner[first])),
+                    pa.ListArray.from_arrays(ends, flat.take(pa.array(order))),
                     pa.array(unit[first].astype(np.int32)),
                 ],
-                ["lang", "source", "tokens", "unit"],
+                ["source", "tokens", "unit"],
+            )
+
+    return rows.mapInArrow(run, "source string, tokens array<string>, unit int")
+
+
+def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of sparse vectors by source, (source, at, n), held in at most ``SUMS`` numbers."""
+    slots: dict[str, int] = {}
+    sums = np.empty((0, 0), dtype=np.int64)
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for source, slot in slots.items():
+            at = np.flatnonzero(sums[slot])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([source] * len(at), pa.string()), pa.array(at), pa.array(sums[slot, at])],
+                ["source", "at", "n"],
             )
 
-    return rows.mapInArrow(run, "lang string, source string, tokens array<string>, unit int")
+    for batch in batches:
+        size = pc.max(batch.column("size")).as_py()
+        if not size:
+            continue
+        coded = batch.column("source").dictionary_encode()
+        names, kind = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        indices, values = batch.column("indices"), batch.column("values")
+        owner = kind[pc.list_parent_indices(indices).to_numpy()]
+        at = indices.flatten().to_numpy()
+        n = values.flatten().to_numpy().astype(np.int64)
+        most = max(1, SUMS // size)
+        for low in range(0, len(names), most):
+            some = names[low : low + most]
+            if len(slots.keys() | some) > most:
+                yield from out()
+                slots, sums = {}, np.empty((0, 0), dtype=np.int64)
+            for name in some:
+                slots.setdefault(name, len(slots))
+            if len(slots) > len(sums):
+                grown = np.zeros((min(most, max(len(slots), 2 * len(sums))), size), dtype=np.int64)
+                if len(sums):
+                    grown[: len(sums)] = sums
+                sums = grown
+            place = np.full(len(names), -1, dtype=np.int64)
+            place[low : low + most] = [slots[name] for name in some]
+            row = place[owner]
+            mine = row >= 0
+            np.add.at(sums.reshape(-1), row[mine] * size + at[mine], n[mine])
+    yield from out()
 
 
 def group_sums(rows: DataFrame, least: int) -> DataFrame:
-    """(lang, source, term, count) of the kept terms of one unit, counts above 0."""
+    """(source, term, count) of the kept terms of (source, tokens), counts above 0."""
     spark = rows.sparkSession
     vectorizer = CountVectorizer(
         inputCol="tokens", outputCol="counts", minDF=float(least), vocabSize=MOST_TERMS
     )
-    model = vectorizer.fit(rows)
+    # which terms are kept depends on the documents that hold them, not on how often
+    model = vectorizer.fit(rows.select(F.array_distinct("tokens").alias("tokens")))
     folder = new_folder(spark, "vocabulary")
     model.write().save(folder)
-    stored = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "token"))
-    vectors = model.transform(rows).select("lang", "source", F.unwrap_udt("counts").alias("v"))
-    entries = vectors.select(
-        "lang", "source", F.inline(F.arrays_zip(F.col("v.indices"), F.col("v.values")))
-    ).toDF("lang", "source", "at", "n")
-    # a hot source is summed up before the shuffle
-    sums = entries.groupBy("lang", "source", "at").agg(F.sum(F.col("n").cast("long")).alias("count"))
-    term = F.substr("token", F.length("lang") + 2)
-    return sums.join(stored, "at").select("lang", "source", term.alias("term"), "count")
+    stored = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "term"))
+    vectors = model.transform(rows).select("source", F.unwrap_udt("counts").alias("v"))
+    vectors = vectors.select("source", "v.size", "v.indices", "v.values")
+    parts = vectors.mapInArrow(_added_up, "source string, at long, n long")
+    sums = parts.groupBy("source", "at").agg(F.sum("n").alias("count"))
+    return sums.join(stored, "at").select("source", "term", "count")
+
+
+def all_sums(documents: DataFrame, sizes: dict[str, int], least: int, unit_bytes: int) -> DataFrame:
+    """(lang, source, term, count) of (lang, source, text), language by language."""
+    parts, code = [], F.sha2("lang", 256)
+    cut = len(sizes) > MOST_SCANS
+    if cut:
+        documents = written(documents.withColumn("code", code), "by-language", ["code"])
+    for lang, size in sorted(sizes.items()):
+        rows = documents.where(F.col("lang") == lang)
+        if cut:
+            rows = rows.where(F.col("code") == hashlib.sha256(lang.encode()).hexdigest())
+        rows = rows.select("source", terms_of(F.col("text")).alias("tokens"))
+        units = -(-size // unit_bytes)
+        if units <= 1:
+            found = [group_sums(rows, least)]
+        else:
+            rows = written(dealt(rows, units), "terms-by-unit", ["unit"])
+            found = [group_sums(rows.where(F.col("unit") == unit), least) for unit in range(units)]
+        parts += [one.select(F.lit(lang).alias("lang"), "*") for one in found]
+    empty = documents.sparkSession.createDataFrame([], "lang string, source string, term string, count long")
+    return reduce(DataFrame.union, parts, empty)
 
 
 def _share(count: str) -> Column:
-    """p of a count, from the columns total and kept."""
-    return F.expr(
-        f"1 + (CAST({SCALE} AS DECIMAL(10,0)) * (CAST({count} AS DECIMAL(20,0)) + 1)) div (total + kept)"
-    )
+    """p of a count, from the columns total and kept; with decimals where 64 bits do not do."""
+    exact = f"(CAST({SCALE} AS DECIMAL(10,0)) * (CAST({count} AS DECIMAL(20,0)) + 1)) div (total + kept)"
+    fits = 2**63 // SCALE - 2
+    return F.expr(f"1 + IF({count} <= {fits}, {SCALE}L * ({count} + 1) div (total + kept), {exact})")
 
 
 def _apart(p: str, q: str) -> Column:
@@ -217,7 +265,7 @@ def _pairs(entries: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def audit(
     documents: DataFrame, least: int = 3, most_ranks: int = 200, lang_col: str = "lang",
-    source_col: str = "source", text_col: str = "text", unit_terms: int = UNIT_TERMS,
+    source_col: str = "source", text_col: str = "text", unit_bytes: int = UNIT_BYTES,
 ) -> DataFrame:
     """lang, source, part (pair or term), item, value, rank.
 
@@ -225,25 +273,21 @@ def audit(
     the ``most_ranks`` terms that the group uses more than its language does. Terms of fewer than
     ``least`` documents of a language are not kept.
     """
-    rows = written(tokens(documents, lang_col, source_col, text_col), "tokens")
-    distinct = F.approx_count_distinct(F.xxhash64("token"))
-    guess = rows.select(F.explode("tokens").alias("token")).agg(distinct).first()[0]
-    units = -(-guess // unit_terms)
-    if units <= 1:
-        entries = group_sums(rows, least)
-    else:
-        parts = written(dealt(rows, units), "tokens-by-unit", ["unit"])
-        entries = group_sums(parts.where("unit = 0"), least)
-        for unit in range(1, units):
-            entries = entries.union(group_sums(parts.where(F.col("unit") == unit), least))
-    entries = written(entries, "sums")
+    columns = {"lang": lang_col, "source": source_col, "text": text_col}
+    rows = documents.select(
+        *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for name, c in columns.items())
+    )
+    groups = durable(rows.groupBy("lang", "source").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")))
+    # one row per language
+    text_sizes = {r["lang"]: r["bytes"] for r in groups.groupBy("lang").agg(F.sum("bytes").alias("bytes")).collect()}
+    entries = written(all_sums(rows, text_sizes, least, unit_bytes), "sums")
 
     totals = entries.groupBy("lang", "source").agg(
         F.sum("count").alias("total"), F.count("*").alias("nonzero")
     )
-    by_term = durable(entries.groupBy("lang", "term").agg(F.sum("count").alias("count")))
+    by_term = written(entries.groupBy("lang", "term").agg(F.sum("count").alias("count")), "terms")
     by_lang = by_term.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("count").alias("lang_total"))
-    sizes = rows.select("lang", "source").distinct()
+    sizes = groups.select("lang", "source")
     sizes = sizes.join(totals, ["lang", "source"], "left").join(by_lang, "lang", "left")
     sizes = sizes.na.fill(0, ["total", "nonzero", "kept", "lang_total"])
     sizes = durable(sizes.withColumn("p0", F.when(F.col("kept") > 0, _share("0"))))

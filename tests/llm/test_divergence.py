@@ -66,18 +66,34 @@ def corpus(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("unit_terms", [10**6, 20])
-def test_equals_dense_computation(spark, monkeypatch, unit_terms):
+@pytest.mark.parametrize("unit_bytes, sums", [(10**9, 1 << 24), (4000, 100)])
+def test_equals_dense_computation(spark, monkeypatch, unit_bytes, sums):
     rows = corpus(3, 300)
     docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA).repartition(5)
     monkeypatch.setattr(divergence, "BLOCK", 10)
-    found = divergence.audit(docs, most_ranks=5, unit_terms=unit_terms)
+    monkeypatch.setattr(divergence, "SUMS", sums)
+    monkeypatch.setattr(divergence, "MOST_SCANS", 8 if sums > 100 else 1)
+    found = divergence.audit(docs, most_ranks=5, unit_bytes=unit_bytes)
     assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
     got = [tuple(r) for r in found.collect()]
     assert len(got) == len(set(got))
     assert set(got) == plain(rows, ranks=5)
 
 
+def test_only_latin_capitals_are_lowered(spark):
+    texts = ["ABC xyZ", "ÀB É ß ẞ", "ΑΣ ΟΔΟΣ Σ", "İI ıi", "Ⅳ ⅳ Ⓐ", "ǅ Ǆ ǆ", "АБ аб", "K Å Ω", "𐐀a", "", "é à Ü"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    for r in rows.select("text", divergence.terms_of(rows["text"]).alias("t")).collect():
+        assert r["t"] == re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", r["text"].translate(lower))
+
+
+def test_large_counts_stay_exact(spark):
+    rows = spark.createDataFrame([(c, 10**12, 7) for c in (0, 9 * 10**9, 10**10, 10**12)], "count long, total long, kept long")
+    for r in rows.select("count", divergence._share("count").alias("p")).collect():
+        assert r["p"] == 1 + 10**9 * (r["count"] + 1) // (10**12 + 7)
+
+
 def test_long_text_and_one_group(spark):
     rows = [("en", "a", "word Other thing " * 30_000), ("en", "a", "word"), ("en", "b", "word other")]
     docs = spark.createDataFrame(rows, "lang string, source string, text string")
