@@ -39,6 +39,8 @@ from assaykit.session import durable
 
 #: Counts of tasks and lengths up to this size are sent to all executors.
 COUNTS_MB = 128
+#: Ids that a task hands over at once.
+OUT_BYTES = 4 << 20
 
 
 def cut(size: int, window: int) -> list[tuple[int, int]]:
@@ -135,27 +137,35 @@ def pieces(
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
 
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
+
+    def made(keys: pa.Array, owner: list[int], found: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*found, strict=True)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays(
+            [
+                keys.take(pa.array(owner, pa.int64())),
+                *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
+            ],
+            ["doc_id", "piece", "start", "length", "ids", "task", "seen"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, task = Tokens(vocabulary), TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in batches:
-            owner, found = [], []
+            owner, found, size = [], [], 0
             for row, text in enumerate(batch.column("text")):
-                ids = np.append(tokens.ids(text.as_py()), np.uint32(end))
+                ids = np.append(tokens.ids(text.as_py()), np.uint32(end)).astype("<u4")
                 for piece, (start, length) in enumerate(cut(len(ids), window)):
                     owner.append(row)
-                    data = ids[start : start + length].astype("<u4").tobytes()
+                    data = ids[start : start + length].tobytes()
                     found.append((piece, start, length, data, task, seen[length]))
                     seen[length] += 1
-            columns = list(zip(*found, strict=True)) or [()] * 6
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(owner, pa.int64())),
-                    *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
-                ],
-                ["doc_id", "piece", "start", "length", "ids", "task", "seen"],
-            )
+                size += ids.nbytes
+                if size > OUT_BYTES:
+                    yield made(batch.column("doc_id"), owner, found)
+                    owner, found, size = [], [], 0
+            yield made(batch.column("doc_id"), owner, found)
 
     return rows.mapInArrow(
         run, f"doc_id {kind}, piece int, start long, length long, ids binary, task int, seen long"
