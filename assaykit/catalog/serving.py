@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assaykit import fixed_values as fv
 from assaykit.catalog import derived as d
 from assaykit.operators import serving
 from assaykit.operators.percentiles import exact_percentiles
-from assaykit.streaming import feed
+from assaykit.streaming import closing, feed
 from assaykit.streaming import serving as stream
 from assaykit.tables import read_table
 
@@ -114,25 +115,53 @@ def _timed_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Closed windows of the streamed load summary."""
+    """The streamed load summary of a feed that has ended, all windows."""
+    feed = closing.Closable(spark, _timed_events(spark, folder), "ts")
     failed = F.col("event_type") == "error"
-    outcomes = _timed_events(spark, folder).select(
+    outcomes = feed.rows.select(
         "ts",
         F.when(failed, 500).otherwise(200).alias("status"),
         F.col("value").alias("latency_ms"),
         (~failed).alias("schema_valid"),
         (F.col("user_id") % 20 != 0).alias("request_id"),
     )
-    rows = stream.run_to_table(stream.windowed_load(outcomes, "1 hour", "2 minutes"), spark)
+    windows = stream.windowed_load(outcomes, "1 hour", "2 minutes")
+    rows = closing.run_to_table(windows, spark, close=feed.close)
     return _text_times(rows.select("start", "requests", "successes", "request_ids_received"), ["start"])
 
 
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    samples = _timed_events(spark, folder).select(
+    """Alerts of runs of high values per user, from a feed that has ended; a pause of a day ends a run."""
+    feed = closing.Closable(spark, _timed_events(spark, folder), "ts")
+    samples = feed.rows.select(F.col("user_id").cast("string").alias("series"), "ts", "value")
+    fired = stream.sustained_stream(samples, ">", HIGH_VALUE, 600.0, max_gap_seconds=86400.0)
+    rows = closing.run_to_table(fired, spark, close=feed.close)
+    return _text_times(rows, ["start", "fired"])
+
+
+def stream_summed_alert(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule on the sum of a metric's series, from a feed of samples that has ended."""
+    feed = closing.Closable(spark, _timed_events(spark, folder), "ts")
+    bucket = F.col("user_id") % 3
+    samples = feed.rows.select(
+        F.when(F.col("ts") < F.lit(closing.END_OF_TIME).cast("timestamp"), F.concat(
+            F.lit('metric_storage_bytes{shard="'), bucket.cast("string"), F.lit('"}'))).alias("series"),
+        F.date_trunc("hour", "ts").alias("ts"),
+        (F.col("value") * 20_000_000).cast("long").alias("value"),
+    )
+    rule = next(r for r in fv.ALERT_RULES if r[5])
+    fired = stream.rule_stream(samples, rule, "2 hours")
+    rows = closing.run_to_table(fired, spark, close=feed.close)
+    return _text_times(rows.select("rule", "start", "fired"), ["start", "fired"])
+
+
+def paused_alert(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of high values per user that no pause of more than a day interrupts."""
+    events = read_table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("series"), "ts", "value"
     )
-    rows = stream.run_to_table(stream.sustained_stream(samples, ">", HIGH_VALUE, 600.0), spark)
-    return _text_times(rows, ["start", "fired"])
+    rows = serving.sustained_alerts(events, ">", HIGH_VALUE, 600.0, max_gap_seconds=86400.0)
+    return _text_times(rows, ["start", "end"])
 
 
 def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,7 +170,7 @@ def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
         "ts", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000)
     )
     seen = feed.first_in_feed(docs, F.col("text"), "ts", "365 days")
-    return stream.run_to_table(seen.select("fingerprint", "ts"), spark).select("fingerprint")
+    return closing.run_to_table(seen.select("fingerprint", "ts"), spark).select("fingerprint")
 
 
 QUERIES = {
@@ -156,6 +185,8 @@ QUERIES = {
     "alert_rules": alert_rules,
     "stream_load": stream_load,
     "stream_alerts": stream_alerts,
+    "stream_summed_alert": stream_summed_alert,
+    "paused_alert": paused_alert,
     "stream_first_seen": stream_first_seen,
 }
 
@@ -175,12 +206,20 @@ SELECT {key}requests, successes, schema_valid_responses, request_ids_received,
   AND request_ids_received / requests >= {ids} AND latency_p95_ms <= {p95} AS passed FROM a"""
 
 
-def _islands(table: str, bad: str) -> str:
-    return f"""marked AS (SELECT series, ts, {bad} AS bad FROM {table}),
-flagged AS (SELECT *, CASE WHEN bad IS DISTINCT FROM lag(bad) OVER (PARTITION BY series ORDER BY ts)
-  THEN 1 ELSE 0 END AS c FROM marked),
-grouped AS (SELECT *, sum(c) OVER (PARTITION BY series ORDER BY ts) AS g FROM flagged),
-episodes AS (SELECT series, bad, min(ts) AS s, max(ts) AS e, count(*) AS samples FROM grouped GROUP BY series, g, bad)"""
+def _islands(table: str, bad: str, gap: int | None = None) -> str:
+    paused = "" if gap is None else f"OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > {gap}000000"
+    return f"""marked AS (SELECT series, ts, coalesce({bad}, false) AS bad, count(*) AS n FROM {table} GROUP BY ALL),
+flagged AS (SELECT *, CASE WHEN bad IS DISTINCT FROM lag(bad) OVER w {paused} THEN 1 ELSE 0 END AS c FROM marked
+  WINDOW w AS (PARTITION BY series ORDER BY ts, bad)),
+grouped AS (SELECT *, sum(c) OVER (PARTITION BY series ORDER BY ts, bad) AS g FROM flagged),
+episodes AS (SELECT series, bad, min(ts) AS s, max(ts) AS e, sum(n) AS samples FROM grouped GROUP BY series, g, bad)"""
+
+
+def _fired(hold: int) -> str:
+    """The first sample of every breach that lies ``hold`` seconds behind its start."""
+    return f"""starts AS (SELECT series, g, min(ts) AS s FROM grouped WHERE bad GROUP BY 1, 2),
+fired AS (SELECT g.series, s, min(ts) AS fired FROM grouped g JOIN starts USING (series, g)
+  WHERE epoch_us(ts) - epoch_us(s) >= {hold}000000 GROUP BY g.series, g.g, s)"""
 
 
 _FMT = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -227,13 +266,17 @@ WHERE bad AND epoch_us(e) - epoch_us(s) >= 600000000""",
     "stream_load": f"""
 WITH w AS (SELECT date_trunc('hour', ts) AS s, count(*) AS requests, count(*) FILTER (event_type <> 'error') AS successes,
   count(*) FILTER (user_id % 20 <> 0) AS request_ids_received FROM events GROUP BY 1)
-SELECT strftime(s, {_FMT}) AS start, requests, successes, request_ids_received FROM w
-WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 MINUTE FROM events)""",
+SELECT strftime(s, {_FMT}) AS start, requests, successes, request_ids_received FROM w""",
     "stream_alerts": f"""WITH ev AS (SELECT CAST(user_id AS VARCHAR) AS series, ts, value FROM events),
-{_islands('ev', f'value > {HIGH_VALUE}')},
-starts AS (SELECT g.series, g.g, min(ts) AS s FROM grouped g WHERE bad GROUP BY 1, 2)
-SELECT g.series, strftime(s, {_FMT}) AS start, strftime(min(ts), {_FMT}) AS fired
-FROM grouped g JOIN starts ON g.series = starts.series AND g.g = starts.g
-WHERE epoch_us(ts) - epoch_us(s) >= 600000000 GROUP BY g.series, s""",
+{_islands('ev', f'value > {HIGH_VALUE}', 86400)}, {_fired(600)}
+SELECT series, strftime(s, {_FMT}) AS start, strftime(fired, {_FMT}) AS fired FROM fired""",
+    "stream_summed_alert": f"""WITH ev AS (SELECT 'metric_storage_bytes' AS series, date_trunc('hour', ts) AS ts,
+  sum(CAST(trunc(value * 20000000) AS BIGINT)) AS value FROM events GROUP BY 2),
+{_islands('ev', 'value > 4294967296')}, {_fired(600)}
+SELECT 'metric_storage_capacity' AS rule, strftime(s, {_FMT}) AS start, strftime(fired, {_FMT}) AS fired FROM fired""",
+    "paused_alert": f"""WITH ev AS (SELECT CAST(user_id AS VARCHAR) AS series, ts, value FROM events),
+{_islands('ev', f'value > {HIGH_VALUE}', 86400)}
+SELECT series, strftime(s, {_FMT}) AS start, strftime(e, {_FMT}) AS "end", samples FROM episodes
+WHERE bad AND epoch_us(e) - epoch_us(s) >= 600000000""",
     "stream_first_seen": f"SELECT DISTINCT {d.sql_fingerprint('text')} AS fingerprint FROM documents",
 }

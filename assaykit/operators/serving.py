@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assaykit import fixed_values as fv
 from assaykit.operators.percentiles import exact_percentiles
+from assaykit.session import durable
 
 
 def load_counts(outcomes: DataFrame, group: Sequence[str | Column] = ()) -> DataFrame:
@@ -97,60 +98,87 @@ def breaches(value: Column, operator: str, limit: float) -> Column:
     }[operator]
 
 
+#: Distinct (series, time, condition) records of one piece, and pieces joined up in one step.
+PIECE_ROWS = 1_000_000
+FAN_IN = 1_000
+
+
 def sustained_alerts(
     samples: DataFrame,
     operator: str,
     limit: float,
     hold_seconds: float,
     series: str = "series",
-    chunk: str = "1 day",
+    max_gap_seconds: float | None = None,
+    piece_rows: int = PIECE_ROWS,
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Episodes in which a condition held at every sample for at least ``hold_seconds``.
 
-    Runs of breaching samples are first found inside (series, time chunk) pieces, which bounds
-    the rows of any window. Runs inside a piece are complete; the first and last run of each
-    piece, two records per piece, are then joined up along the series.
+    A sample whose value is null does not breach. Of samples of one series and time those that do
+    not breach come first. With ``max_gap_seconds`` a longer pause ends an episode.
+
+    Samples are laid out in the order of series and time and cut into even pieces, so one series
+    may hold all of them. Runs inside a piece are complete. The first and last run of a piece can
+    go on in its neighbours: they are joined up ``fan_in`` pieces at a time, then as many of those,
+    until one step covers all. Each step keeps at most two open runs per series and part, so no
+    window holds more than a piece, or two records for each of ``fan_in`` parts.
     """
+    bad = F.coalesce(breaches(F.col("value"), operator, limit), F.lit(False))
     marked = samples.select(
-        series, F.col("ts").cast("timestamp").alias("ts"), breaches(F.col("value"), operator, limit).alias("bad"),
-        F.window("ts", chunk)["start"].alias("chunk"),
+        F.col(series).alias("series"), F.col("ts").cast("timestamp").alias("ts"), bad.alias("bad")
     )
-    piece = Window.partitionBy(series, "chunk").orderBy("ts")
-    changed = F.when(
-        F.coalesce(F.lag("bad").over(piece) != F.col("bad"), F.lit(True)), 1
-    ).otherwise(0)
-    runs = (
-        marked.withColumn("__changed", changed)
-        .withColumn("__run", F.sum("__changed").over(piece))
-        .groupBy(series, "chunk", "__run")
-        .agg(
-            F.first("bad").alias("bad"),
-            F.min("ts").alias("start"),
-            F.max("ts").alias("end"),
-            F.count(F.lit(1)).alias("samples"),
-        )
-    )
-    runs = runs.withColumn("__runs", F.max("__run").over(Window.partitionBy(series, "chunk")))
-    inner = (F.col("__run") > 1) & (F.col("__run") < F.col("__runs"))
-    complete = runs.where(inner).select(series, "bad", "start", "end", "samples")
-    along = Window.partitionBy(series).orderBy("start")
-    goes_on = (F.col("__run") == 1) & (F.lag("bad").over(along) == F.col("bad"))
-    edges = (
-        runs.where(~inner)
-        .withColumn("__fresh", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
-        .withColumn("__episode", F.sum("__fresh").over(along))
-        .groupBy(series, "__episode")
-        .agg(
-            F.first("bad").alias("bad"),
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-            F.sum("samples").alias("samples"),
-        )
-        .drop("__episode")
+    points = durable(marked.groupBy("series", "ts", "bad").agg(F.count(F.lit(1)).alias("samples")))
+    pieces = -(-points.count() // piece_rows)
+    order = ["series", "ts", "bad"]
+    if pieces > 1:
+        cut = points.repartitionByRange(pieces, *order).withColumn("piece", F.spark_partition_id())
+        points = durable(cut)
+    else:
+        points = points.withColumn("piece", F.lit(0))
+    runs = _chained(
+        points.select(
+            "series", "piece", "bad", "samples", F.col("ts").alias("start"), F.col("ts").alias("end"),
+            F.lit(True).alias("opens"), F.lit(True).alias("closes"),
+        ),
+        max_gap_seconds,
     )
-    joined = complete.unionByName(edges)
+    complete = []
+    while pieces > 1:
+        runs = durable(runs)
+        complete.append(runs.where("NOT opens AND NOT closes"))
+        pieces = -(-pieces // fan_in)
+        whole = F.floor(F.col("piece") / fan_in).cast("int") if pieces > 1 else F.lit(0)
+        runs = _chained(runs.where("opens OR closes").withColumn("piece", whole), max_gap_seconds)
+    for part in complete:
+        runs = runs.unionByName(part)
     held = F.unix_micros("end") - F.unix_micros("start")
-    return joined.where("bad").where(held >= int(hold_seconds * 1_000_000)).drop("bad")
+    found = runs.where("bad").where(held >= int(hold_seconds * 1_000_000))
+    return found.select(F.col("series").alias(series), "start", "end", "samples")
+
+
+def _chained(runs: DataFrame, max_gap_seconds: float | None) -> DataFrame:
+    """Join neighbouring runs of the same condition within (series, piece).
+
+    ``opens`` and ``closes`` say whether a run is the first and the last of its part; only runs
+    that face each other there are joined. Afterwards they speak of the larger part.
+    """
+    along = Window.partitionBy("series", "piece").orderBy("start", "bad")
+    joined = F.col("opens") & F.lag("closes").over(along) & (F.lag("bad").over(along) == F.col("bad"))
+    if max_gap_seconds is not None:
+        gap = F.unix_micros("start") - F.unix_micros(F.lag("end").over(along))
+        joined = joined & (gap <= int(max_gap_seconds * 1_000_000))
+    fresh = (~F.coalesce(joined, F.lit(False))).cast("int")
+    numbered = runs.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(along))
+    merged = numbered.groupBy("series", "piece", "run").agg(
+        F.first("bad").alias("bad"), F.sum("samples").alias("samples"),
+        F.min("start").alias("start"), F.max("end").alias("end"),
+    )
+    last = F.max("run").over(Window.partitionBy("series", "piece"))
+    return merged.select(
+        "series", "piece", "bad", "samples", "start", "end",
+        (F.col("run") == 1).alias("opens"), (F.col("run") == last).alias("closes"),
+    )
 
 
 def alert_rules(samples: DataFrame, rules=fv.ALERT_RULES) -> DataFrame:

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from assaykit.operators.serving import breaches, load_counts, with_rates
-from assaykit.session import ensure_checkpoint_dir
+from assaykit.streaming.closing import END_OF_TIME
 
 
 def windowed_load(outcomes: DataFrame, width: str = "1 minute", delay: str = "2 minutes") -> DataFrame:
@@ -40,74 +39,137 @@ def windowed_load_batch(outcomes: DataFrame, width: str = "1 minute") -> DataFra
     return with_rates(load_counts(keyed, ["start"]))
 
 
+class SustainedAlerts(StatefulProcessor):
+    """Follows one series in event-time order.
+
+    Samples wait in a buffer until the watermark has passed them, so a sample that is late by less
+    than the delay takes its place among the others. What is kept beyond the buffer is one record:
+    the start of the running breach, its last sample, and whether it has fired. A series without a
+    breach and without waiting samples keeps nothing; nor does a breach that has paused for longer
+    than ``max_gap``.
+    """
+
+    def __init__(self, hold_us: int, max_gap_us: int | None):
+        self.hold, self.max_gap = hold_us, max_gap_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # per time: whether any sample did not breach, and whether any did
+        self.waiting = handle.getMapState("waiting", "ts long", "good boolean, bad boolean")
+        self.run = handle.getValueState("run", "since long, last long, fired boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if key[0] is None:
+            return
+        first = None
+        for frame in rows:
+            for ts, bad in zip(_micros(frame["ts"]), frame["bad"].tolist(), strict=True):
+                good, breach = False, False
+                if self.waiting.containsKey((ts,)):
+                    good, breach = self.waiting.getValue((ts,))
+                self.waiting.updateValue((ts,), (good or not bad, breach or bad))
+                first = ts if first is None else min(first, ts)
+        if first is not None:
+            self.handle.registerTimer(_due(first))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        known = {at[0]: kinds for at, kinds in self.waiting.iterator()}
+        since, last, fired = self.run.get() if self.run.exists() else (None, None, False)
+        found = []
+        for ts in sorted(t for t in known if t <= passed):
+            good, bad = known[ts]
+            self.waiting.removeKey((ts,))
+            if since is not None and (good or self.max_gap is not None and ts - last > self.max_gap):
+                since, fired = None, False
+            if bad:
+                since, last = ts if since is None else since, ts
+                if not fired and ts - since >= self.hold:
+                    fired = True
+                    found.append((key[0], since, ts))
+        left = [t for t in known if t > passed]
+        if left:
+            self.handle.registerTimer(_due(min(left)))
+        if since is not None and self.max_gap is not None:
+            if last + self.max_gap < passed:  # whatever comes is later than the longest pause
+                since = None
+            elif not left:
+                self.handle.registerTimer(_due(last + self.max_gap + 1))
+        if since is None:
+            self.run.clear()
+        else:
+            self.run.update((since, last, fired))
+        if found:
+            frame = pd.DataFrame(found, columns=["series", "start", "fired"])
+            for name in ("start", "fired"):
+                frame[name] = pd.to_datetime(frame[name], unit="us").astype("datetime64[us]")
+            yield frame
+
+    def close(self) -> None:
+        pass
+
+
+def _micros(times: pd.Series) -> list[int]:
+    return times.astype("datetime64[us]").astype("int64").tolist()
+
+
+def _due(ts_us: int) -> int:
+    """The watermark, in milliseconds, that has passed a time."""
+    return -(-ts_us // 1000)
+
+
 def sustained_stream(
-    samples: DataFrame, operator: str, limit: float, hold_seconds: float, delay: str = "1 minute"
+    samples: DataFrame, operator: str, limit: float, hold_seconds: float, delay: str | None = "1 minute",
+    max_gap_seconds: float | None = None,
 ) -> DataFrame:
     """(series, start, fired) the first time a condition has held for ``hold_seconds``.
 
-    State per series is the start of the running breach, whether it fired, and the last sample
-    seen; a good sample resets it. Samples older than the last one seen are ignored. One call
-    gets the samples of one trigger, so limit the source's rate per trigger.
+    Gives what ``sustained_alerts`` gives on the finished table: samples count in the order of
+    their event times (at equal times those that do not breach first), in whatever order they come
+    within ``delay``. ``delay`` None is for samples that have a watermark. An alert comes out when
+    the watermark has passed the sample that fires it. Samples later than the delay, and samples
+    without a series, are left out. Without ``max_gap_seconds`` a series that ends in a breach keeps
+    one record.
     """
-    marked = samples.withWatermark("ts", delay).select(
-        "series", "ts", breaches(F.col("value"), operator, limit).alias("bad")
-    )
-    hold = pd.Timedelta(seconds=hold_seconds)
-
-    def follow(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        since, fired, last = state.get if state.exists else (None, False, None)
-        since = None if since is None else pd.Timestamp(since, unit="us")
-        last = None if last is None else pd.Timestamp(last, unit="us")
-        rows = pd.concat(list(batches)).sort_values("ts", kind="stable")
-        out = []
-        for ts, bad in zip(rows["ts"], rows["bad"], strict=True):
-            if last is not None and ts < last:
-                continue
-            last = ts
-            if not bad:
-                since, fired = None, False
-                continue
-            since = ts if since is None else since
-            if not fired and ts - since >= hold:
-                fired = True
-                out.append((key[0], since, ts))
-        state.update(
-            (
-                None if since is None else since.value // 1000,
-                fired,
-                None if last is None else last.value // 1000,
-            )
-        )
-        yield pd.DataFrame(out, columns=["series", "start", "fired"]).astype(
-            {"start": "datetime64[us]", "fired": "datetime64[us]"}
+    if delay is not None:
+        samples = samples.withWatermark("ts", delay)
+    bad = F.coalesce(breaches(F.col("value"), operator, limit), F.lit(False))
+    gap = None if max_gap_seconds is None else int(max_gap_seconds * 1_000_000)
+    return (
+        samples.select("series", "ts", bad.alias("bad"))
+        .groupBy("series")
+        .transformWithStateInPandas(
+            SustainedAlerts(int(hold_seconds * 1_000_000), gap),
+            "series string, start timestamp, fired timestamp",
+            "append",
+            "eventTime",
         )
-
-    return marked.groupBy("series").applyInPandasWithState(
-        follow,
-        "series string, start timestamp, fired timestamp",
-        "since long, fired boolean, last long",
-        "append",
-        GroupStateTimeout.NoTimeout,
     )
 
 
-def run_to_table(stream: DataFrame, spark: SparkSession, mode: str = "append") -> DataFrame:
-    """Drain a stream's available input into a parquet folder and read it back.
+def summed_stream(samples: DataFrame, metric: str, delay: str = "1 minute") -> DataFrame:
+    """The sum over all series of a metric per sample time, as one series; has a watermark.
 
-    The folder and the stream's own checkpoint lie under the session's shared checkpoint folder.
+    A sum comes out when the watermark has passed its time, so it holds every sample in time.
     """
-    ensure_checkpoint_dir(spark)
-    shared = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    base = f"{shared}/stream-{uuid.uuid4().hex}"
-    query = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/state")
-        .option("path", f"{base}/rows")
-        .outputMode(mode)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/rows")
+    chosen = samples.withWatermark("ts", delay).where(_of_metric(metric))
+    sums = chosen.groupBy("ts").agg(F.sum("value").alias("value"))
+    return sums.select(F.lit(metric).alias("series"), "ts", "value")
+
+
+def _of_metric(metric: str):
+    """Rows of a metric; the end of a closed stream passes too, to move the watermark."""
+    ends = F.col("ts") >= F.lit(END_OF_TIME).cast("timestamp")
+    return ends | (F.col("series") == metric) | F.startswith("series", F.lit(metric + "{"))
+
+
+def rule_stream(samples: DataFrame, rule, delay: str = "1 minute", max_gap_seconds: float | None = None) -> DataFrame:
+    """Alerts of one rule of the rule table, with its name."""
+    name, metric, operator, limit, seconds, summed = rule
+    if summed:
+        chosen = summed_stream(samples, metric, delay)
+    else:
+        chosen = samples.withWatermark("ts", delay).where(_of_metric(metric))
+    fired = sustained_stream(chosen, operator, limit, seconds, None, max_gap_seconds)
+    return fired.withColumn("rule", F.lit(name))

@@ -13,8 +13,7 @@ from assaykit.functions.digests import tree_digest
 from assaykit.operators import audits, distributions, rules
 from assaykit.plans import corpus, evaluation
 from assaykit.sources import documents, grid, inventory, jsonl, sinks
-from assaykit.streaming import feed
-from assaykit.streaming import serving as stream
+from assaykit.streaming import closing, feed
 
 TEXTS = grid.GridTexts()
 
@@ -162,26 +161,11 @@ def test_documents_and_inventory(spark, tmp_path):
     assert [r["reader"] for r in documents.review_version(versions, "t").collect()] == ["legacy", "current", "unsupported"]
 
 
-def test_streams_follow_state_over_several_files(spark, tmp_path):
-    source = tmp_path / "in"
-    rows = [("s", 15 * i, 1.0 if 10 <= i < 40 or i >= 60 else 0.0) for i in range(80)]
-    for part in range(4):
-        batch = rows[20 * part: 20 * (part + 1)]
-        spark.createDataFrame(batch, "series string, t long, value double").select(
-            "series", F.timestamp_seconds("t").alias("ts"), "value").coalesce(1).write.parquet(str(source / f"f{part}"))
-    samples = (
-        spark.readStream.schema("series string, ts timestamp, value double").option("maxFilesPerTrigger", 1)
-        .option("recursiveFileLookup", "true").parquet(str(source)))
-    fired = stream.run_to_table(stream.sustained_stream(samples, "==", 1.0, 120), spark)
-    got = sorted((r["a"], r["b"]) for r in fired.select(F.unix_seconds("start").alias("a"), F.unix_seconds("fired").alias("b")).collect())
-    assert got == [(150, 270), (900, 1020)]
-
-
 def test_feed_drops_repeated_content(spark, tmp_path):
     spark.createDataFrame([("Hello  World", 1), ("hello, world!", 2), ("other", 3)], "t string, s long").select(
         "t", F.timestamp_seconds("s").alias("ts")).write.parquet(str(tmp_path / "in"))
     records = spark.readStream.schema("t string, ts timestamp").parquet(str(tmp_path / "in"))
-    seen = stream.run_to_table(feed.first_in_feed(records, F.col("t"), "ts", "1 day"), spark)
+    seen = closing.run_to_table(feed.first_in_feed(records, F.col("t"), "ts", "1 day"), spark)
     assert seen.count() == 2
 
 
