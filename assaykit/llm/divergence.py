@@ -48,8 +48,8 @@ MOST_TERMS = 2**31 - 1
 UNIT_BYTES = 8 << 30
 #: Numbers that a task adds up before it passes them on (8 bytes each).
 SUMS = 1 << 24
-#: Languages that are filtered from the table; for more the table is first cut by language.
-MOST_SCANS = 8
+#: Vocabulary places of one chunk of a vector of sums.
+CHUNK = 1 << 14
 #: Entries (term, source) compared in one block.
 BLOCK = 100_000
 #: Fixed value: characters between terms.
@@ -58,7 +58,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def terms_of(text: Column) -> Column:
-    """The terms of a text; of its letters only A to Z are lower-cased.
+    """The terms of a text, and perhaps '' at its ends; of its letters only A to Z are lower-cased.
 
     ``lower`` does that as long as no other character has a lower case; it is much faster than
     replacing letter by letter.
@@ -66,7 +66,7 @@ def terms_of(text: Column) -> Column:
     ascii_only = F.octet_length(text) == F.length(text)
     plain = ascii_only | ~text.rlike(r"[[\p{IsUppercase}\p{Lt}]&&[^\x00-\x7F]]")
     lowered = F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
-    return F.array_remove(F.split(lowered, BETWEEN), "")
+    return F.split(lowered, BETWEEN)
 
 
 def dealt(rows: DataFrame, units: int) -> DataFrame:
@@ -100,52 +100,88 @@ def dealt(rows: DataFrame, units: int) -> DataFrame:
     return rows.mapInArrow(run, "source string, tokens array<string>, unit int")
 
 
-def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of sparse vectors by source, (source, at, n), held in at most ``SUMS`` numbers."""
-    slots: dict[str, int] = {}
-    sums = np.empty((0, 0), dtype=np.int64)
+class _Sums:
+    """Sums of sparse vectors by key, chunk by chunk of their places, at most ``SUMS`` numbers."""
+
+    def __init__(self):
+        self.chunks: dict[tuple, np.ndarray] = {}
+
+    def add(self, key, places: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Add to the vector of a key; places in ascending order, maybe repeated."""
+        if not len(places):
+            return
+        chunk = places // CHUNK
+        names, starts = np.unique(chunk, return_index=True)
+        for name, low, high in zip(
+            names.tolist(), starts.tolist(), [*starts[1:].tolist(), len(places)], strict=True
+        ):
+            if (key, name) not in self.chunks:
+                if (len(self.chunks) + 1) * CHUNK > SUMS and self.chunks:
+                    yield from self.out()
+                self.chunks[key, name] = np.zeros(CHUNK, dtype=np.int64)
+            np.add.at(self.chunks[key, name], places[low:high] - name * CHUNK, values[low:high])
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        """Hand over everything as (source, chunk, places, values), the last two as bytes."""
+        found = []
+        for (source, chunk), sums in self.chunks.items():
+            at = np.flatnonzero(sums)
+            found.append((source, chunk, (at + chunk * CHUNK).tobytes(), sums[at].tobytes()))
+        self.chunks.clear()
+        columns = list(zip(*found, strict=True)) or [()] * 4
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            ["source", "chunk", "places", "values"],
+        )
 
-    def out() -> Iterator[pa.RecordBatch]:
-        for source, slot in slots.items():
-            at = np.flatnonzero(sums[slot])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([source] * len(at), pa.string()), pa.array(at), pa.array(sums[slot, at])],
-                ["source", "at", "n"],
-            )
 
+SUMMED = "source string, chunk long, places binary, values binary"
+
+
+def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a task's document vectors by source."""
+    sums = _Sums()
     for batch in batches:
-        size = pc.max(batch.column("size")).as_py()
-        if not size:
-            continue
         coded = batch.column("source").dictionary_encode()
-        names, kind = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        kind = coded.indices.to_numpy()
         indices, values = batch.column("indices"), batch.column("values")
-        owner = kind[pc.list_parent_indices(indices).to_numpy()]
-        at = indices.flatten().to_numpy()
-        n = values.flatten().to_numpy().astype(np.int64)
-        most = max(1, SUMS // size)
-        for low in range(0, len(names), most):
-            some = names[low : low + most]
-            if len(slots.keys() | some) > most:
-                yield from out()
-                slots, sums = {}, np.empty((0, 0), dtype=np.int64)
-            for name in some:
-                slots.setdefault(name, len(slots))
-            if len(slots) > len(sums):
-                grown = np.zeros((min(most, max(len(slots), 2 * len(sums))), size), dtype=np.int64)
-                if len(sums):
-                    grown[: len(sums)] = sums
-                sums = grown
-            place = np.full(len(names), -1, dtype=np.int64)
-            place[low : low + most] = [slots[name] for name in some]
-            row = place[owner]
-            mine = row >= 0
-            np.add.at(sums.reshape(-1), row[mine] * size + at[mine], n[mine])
-    yield from out()
-
-
-def group_sums(rows: DataFrame, least: int) -> DataFrame:
-    """(source, term, count) of the kept terms of (source, tokens), counts above 0."""
+        owner = kind[pc.list_parent_indices(indices).to_numpy()].astype(np.int64)
+        places = indices.flatten().to_numpy().astype(np.int64)
+        order = np.argsort(owner << 32 | places)
+        places, n = places[order], values.flatten().to_numpy().astype(np.int64)[order]
+        ends = np.searchsorted(owner[order], np.arange(len(coded.dictionary) + 1))
+        for at, source in enumerate(coded.dictionary.to_pylist()):
+            mine = slice(ends[at], ends[at + 1])
+            yield from sums.add(source, places[mine], n[mine])
+    yield from sums.out()
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of several tasks, as (source, chunk, at, n)."""
+
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for source, chunk, places, values in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                at, n = np.frombuffer(places, dtype=np.int64), np.frombuffer(values, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([source] * len(at), pa.string()), pa.array([chunk] * len(at), pa.int64()),
+                     pa.array(at), pa.array(n)],
+                    ["source", "chunk", "at", "n"],
+                )
+
+    sums = _Sums()
+    for batch in batches:
+        for source, places, values in zip(
+            *(batch.column(c).to_pylist() for c in ("source", "places", "values")), strict=True
+        ):
+            at, n = np.frombuffer(places, dtype=np.int64), np.frombuffer(values, dtype=np.int64)
+            yield from rows(sums.add(source, at, n))
+    yield from rows(sums.out())
+
+
+def group_sums(rows: DataFrame, least: int) -> tuple[DataFrame, int]:
+    """(source, term, count) of the kept terms of (source, tokens), counts above 0; how many terms."""
     spark = rows.sparkSession
     vectorizer = CountVectorizer(
         inputCol="tokens", outputCol="counts", minDF=float(least), vocabSize=MOST_TERMS
@@ -155,33 +191,37 @@ def group_sums(rows: DataFrame, least: int) -> DataFrame:
     folder = new_folder(spark, "vocabulary")
     model.write().save(folder)
     stored = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "term"))
+    stored = stored.where("term <> ''")
     vectors = model.transform(rows).select("source", F.unwrap_udt("counts").alias("v"))
-    vectors = vectors.select("source", "v.size", "v.indices", "v.values")
-    parts = vectors.mapInArrow(_added_up, "source string, at long, n long")
+    parts = vectors.select("source", "v.indices", "v.values").mapInArrow(_added_up, SUMMED)
+    parts = parts.repartition("source", "chunk").mapInArrow(
+        _merged, "source string, chunk long, at long, n long"
+    )
     sums = parts.groupBy("source", "at").agg(F.sum("n").alias("count"))
-    return sums.join(stored, "at").select("source", "term", "count")
+    return sums.join(stored, "at").select("source", "term", "count"), stored.count()
 
 
-def all_sums(documents: DataFrame, sizes: dict[str, int], least: int, unit_bytes: int) -> DataFrame:
-    """(lang, source, term, count) of (lang, source, text), language by language."""
-    parts, code = [], F.sha2("lang", 256)
-    cut = len(sizes) > MOST_SCANS
-    if cut:
-        documents = written(documents.withColumn("code", code), "by-language", ["code"])
+def all_sums(
+    documents: DataFrame, sizes: dict[str, int], least: int, unit_bytes: int
+) -> tuple[DataFrame, dict[str, int]]:
+    """(lang, source, term, count) of (lang, source, text), and the kept terms of each language."""
+    spark, parts, kept = documents.sparkSession, [], dict.fromkeys(sizes, 0)
+    if len(sizes) > 1:  # each language is read twice, the whole table only once
+        documents = written(documents.withColumn("code", F.sha2("lang", 256)), "by-language", ["code"])
     for lang, size in sorted(sizes.items()):
         rows = documents.where(F.col("lang") == lang)
-        if cut:
+        if len(sizes) > 1:
             rows = rows.where(F.col("code") == hashlib.sha256(lang.encode()).hexdigest())
         rows = rows.select("source", terms_of(F.col("text")).alias("tokens"))
         units = -(-size // unit_bytes)
-        if units <= 1:
-            found = [group_sums(rows, least)]
-        else:
+        if units > 1:
             rows = written(dealt(rows, units), "terms-by-unit", ["unit"])
-            found = [group_sums(rows.where(F.col("unit") == unit), least) for unit in range(units)]
-        parts += [one.select(F.lit(lang).alias("lang"), "*") for one in found]
-    empty = documents.sparkSession.createDataFrame([], "lang string, source string, term string, count long")
-    return reduce(DataFrame.union, parts, empty)
+        for unit in range(max(units, 1)):
+            found, n = group_sums(rows.where(F.col("unit") == unit) if units > 1 else rows, least)
+            parts.append(found.select(F.lit(lang).alias("lang"), "*"))
+            kept[lang] += n
+    empty = spark.createDataFrame([], "lang string, source string, term string, count long")
+    return reduce(DataFrame.union, parts, empty), kept
 
 
 def _share(count: str) -> Column:
@@ -195,23 +235,26 @@ def _apart(p: str, q: str) -> Column:
     return F.expr(f"(({p}) - ({q})) * (({p}) - ({q})) div ({q})")
 
 
-def _both_have(entries: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(lang, source, item, value, terms): what terms of both sources change, per block.
+def _by_blocks(entries: DataFrame, sizes: DataFrame, most_ranks: int) -> DataFrame:
+    """(lang, source, part, item, value, terms): what needs all sources of a term, by blocks of terms.
 
-    ``value`` is the divergence at those terms less what the two histograms say of them.
+    ``pair``: what terms that both sources have change, that is the divergence at those terms less
+    what the two histograms say of them, and how many there are. ``term``: the first ``most_ranks``
+    terms of a source in the block and those that tie with the last.
     """
     blocks = sizes.groupBy("lang").agg(F.ceil(F.sum("nonzero") / BLOCK).alias("blocks"))
     rows = entries.join(blocks, "lang").select(
-        "lang", "source", "term", "p", "p0", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block")
+        "lang", "source", "term", "count", "p", "p0", "lang_total", "kept",
+        F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block"),
     )
 
     def run(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         source, names = pd.factorize(frame["source"])
-        term = pd.factorize(frame["term"])[0]
+        term, words = pd.factorize(frame["term"])
         order = np.argsort(term, kind="stable")
         source, term = source[order].astype(np.int64), term[order]
-        p, p0 = (frame[c].to_numpy()[order] for c in ("p", "p0"))
-        codes, values = [], []
+        p, p0, count = (frame[c].to_numpy()[order] for c in ("p", "p0", "count"))
+        codes, values = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
         for lag in range(1, int(np.bincount(term).max())):
             a = np.flatnonzero(term[lag:] == term[:-lag])
             b = a + lag
@@ -221,23 +264,44 @@ def _both_have(entries: DataFrame, sizes: DataFrame) -> DataFrame:
                 value -= (p0[one] - p[other]) ** 2 // p[other]
                 codes.append(source[one] * len(names) + source[other])
                 values.append(value)
-        code = np.concatenate(codes) if codes else np.empty(0, dtype=np.int64)
-        pairs, at = np.unique(code, return_inverse=True)
+        pairs, at = np.unique(np.concatenate(codes), return_inverse=True)
         total = np.zeros(len(pairs), dtype=np.int64)
-        np.add.at(total, at, np.concatenate(values) if values else np.empty(0, dtype=np.int64))
-        return pd.DataFrame(
-            {
-                "lang": key[0], "source": names[pairs // len(names)], "item": names[pairs % len(names)],
-                "value": total, "terms": np.bincount(at, minlength=len(pairs)),
-            }
-        )
+        np.add.at(total, at, np.concatenate(values))
+        parts = [
+            pd.DataFrame(
+                {"source": names[pairs // len(names)], "part": "pair", "item": names[pairs % len(names)],
+                 "value": total, "terms": np.bincount(at, minlength=len(pairs))}
+            )
+        ]
+        in_lang = np.zeros(len(words), dtype=np.int64)
+        np.add.at(in_lang, term, count)
+        below = int(frame["lang_total"].iat[0]) + int(frame["kept"].iat[0])
+        if int(in_lang.max()) > 2**63 // SCALE - 2:  # Python's integers, as 64 bits do not do
+            in_lang = in_lang.astype(object)
+        q = (1 + SCALE * (in_lang + 1) // below).astype(np.int64)[term]
+        more = np.flatnonzero(p > q)
+        value = (p[more] - q[more]) ** 2 // q[more]
+        for name in np.unique(source[more]):
+            mine = np.flatnonzero(source[more] == name)
+            if len(mine) > most_ranks:
+                least = np.partition(value[mine], len(mine) - most_ranks)[len(mine) - most_ranks]
+                mine = mine[value[mine] >= least]
+            parts.append(
+                pd.DataFrame(
+                    {"source": names[name], "part": "term", "item": words[term[more[mine]]],
+                     "value": value[mine], "terms": 0}
+                )
+            )
+        out = pd.concat(parts, ignore_index=True)
+        out.insert(0, "lang", key[0])
+        return out
 
     return rows.groupBy("lang", "block").applyInPandas(
-        run, "lang string, source string, item string, value long, terms long"
+        run, "lang string, source string, part string, item string, value long, terms long"
     )
 
 
-def _pairs(entries: DataFrame, sizes: DataFrame) -> DataFrame:
+def _pairs(entries: DataFrame, sizes: DataFrame, both: DataFrame) -> DataFrame:
     """(lang, source, item, value) for all ordered pairs of sources of a language."""
     other = sizes.select(
         "lang", F.col("source").alias("item"), F.col("p0").alias("item_p0"),
@@ -251,9 +315,8 @@ def _pairs(entries: DataFrame, sizes: DataFrame) -> DataFrame:
         (F.col("n") * _apart("item_p0", "p")).alias("value"),
     )
     one_has = here.union(there).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
-    both = _both_have(entries, sizes).groupBy("lang", "source", "item")
-    both = both.agg(F.sum("value").alias("both_value"), F.sum("terms").alias("terms"))
     keys = ["lang", "source", "item"]
+    both = both.groupBy(*keys).agg(F.sum("value").alias("both_value"), F.sum("terms").alias("terms"))
     rows = sizes.join(other, "lang").where("source <> item").join(one_has, keys, "left")
     rows = rows.join(both, keys, "left").na.fill(0, ["value", "both_value", "terms"])
     neither = (F.col("kept") - F.col("nonzero") - F.col("item_nonzero") + F.col("terms")) * _apart(
@@ -280,30 +343,24 @@ def audit(
     groups = durable(rows.groupBy("lang", "source").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")))
     # one row per language
     text_sizes = {r["lang"]: r["bytes"] for r in groups.groupBy("lang").agg(F.sum("bytes").alias("bytes")).collect()}
-    entries = written(all_sums(rows, text_sizes, least, unit_bytes), "sums")
+    sums, kept = all_sums(rows, text_sizes, least, unit_bytes)
+    entries = written(sums, "sums")
 
     totals = entries.groupBy("lang", "source").agg(
         F.sum("count").alias("total"), F.count("*").alias("nonzero")
     )
-    by_term = written(entries.groupBy("lang", "term").agg(F.sum("count").alias("count")), "terms")
-    by_lang = by_term.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("count").alias("lang_total"))
-    sizes = groups.select("lang", "source")
-    sizes = sizes.join(totals, ["lang", "source"], "left").join(by_lang, "lang", "left")
-    sizes = sizes.na.fill(0, ["total", "nonzero", "kept", "lang_total"])
-    sizes = durable(sizes.withColumn("p0", F.when(F.col("kept") > 0, _share("0"))))
-
-    entries = entries.join(sizes.drop("nonzero", "lang_total"), ["lang", "source"])
-    entries = entries.withColumn("p", _share("count")).drop("total", "kept")
-    pairs = _pairs(entries, sizes).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
-
-    lang_p = by_term.join(by_lang.withColumnRenamed("lang_total", "total"), "lang").select(
-        "lang", "term", _share("count").alias("q")
-    )
-    terms = entries.join(lang_p, ["lang", "term"]).where("p > q")
-    terms = terms.select(
-        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
-        _apart("p", "q").alias("value"),
-    )
+    sizes = groups.select("lang", "source").join(totals, ["lang", "source"], "left")
+    sizes = sizes.join(documents.sparkSession.createDataFrame(list(kept.items()), "lang string, kept long"), "lang")
+    sizes = durable(sizes.na.fill(0, ["total", "nonzero"]))
+    in_lang = sizes.groupBy("lang").agg(F.sum("total").alias("lang_total"))
+    sizes = durable(sizes.join(in_lang, "lang").withColumn("p0", F.when(F.col("kept") > 0, _share("0"))))
+
+    entries = entries.join(sizes.drop("nonzero"), ["lang", "source"])
+    entries = entries.withColumn("p", _share("count")).drop("total")
+    found = written(_by_blocks(entries, sizes, most_ranks), "blocks")
+    pairs = _pairs(entries, sizes, found.where("part = 'pair'"))
+    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
+    terms = found.where("part = 'term'").drop("terms")
     rank = F.row_number().over(
         Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     )

@@ -72,7 +72,7 @@ def test_equals_dense_computation(spark, monkeypatch, unit_bytes, sums):
     docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA).repartition(5)
     monkeypatch.setattr(divergence, "BLOCK", 10)
     monkeypatch.setattr(divergence, "SUMS", sums)
-    monkeypatch.setattr(divergence, "MOST_SCANS", 8 if sums > 100 else 1)
+    monkeypatch.setattr(divergence, "CHUNK", 1 << 14 if sums > 100 else 10)
     found = divergence.audit(docs, most_ranks=5, unit_bytes=unit_bytes)
     assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
     got = [tuple(r) for r in found.collect()]
@@ -85,7 +85,7 @@ def test_only_latin_capitals_are_lowered(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
     lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
     for r in rows.select("text", divergence.terms_of(rows["text"]).alias("t")).collect():
-        assert r["t"] == re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", r["text"].translate(lower))
+        assert [t for t in r["t"] if t] == re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", r["text"].translate(lower))
 
 
 def test_large_counts_stay_exact(spark):
