@@ -1,9 +1,11 @@
 """License scans: exact phrases, and short notices with a bounded number of edits.
 
 A notice with up to k edits, cut into k + 1 pieces, holds one piece unchanged (pigeonhole). The
-pieces of all notices are searched exactly; each hit nominates a stretch of text around it, where
-the regex library looks for the notice with at most k insertions, deletions or substitutions. It
-reports the closest one, after which the stretch before and the one behind are looked at alike. Of overlapping finds the one with the fewest edits, then the longest, stays.
+pieces of all notices are searched exactly; each hit nominates a stretch around it, as long as the
+notice and its edits, where the regex library looks for the notice with at most k insertions,
+deletions or substitutions. It reports the closest one, after which the stretch before and the one
+behind are looked at alike. Stretches are looked at once and are short, so the work grows with the
+hits. Of overlapping finds the one with the fewest edits, then the longest, stays.
 
 Texts are read as lower-case words (ASCII letters, digits and all characters beyond ASCII) joined
 by single spaces, so line breaks and punctuation do not matter. Spans are counted in words.
@@ -14,10 +16,11 @@ scanned one by one; an empty table gives an empty table. Only the named columns
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import accumulate
 
 import ahocorasick
 import pandas as pd
@@ -49,6 +52,10 @@ class Notice:
         cuts = [n * k // parts for k in range(parts + 1)]
         return [(a, self.text[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
+    @cached_property
+    def framed(self) -> str:
+        return f" {self.text} "
+
     @cached_property
     def pattern(self):
         notice = regex.escape(self.text, literal_spaces=True)
@@ -123,30 +130,24 @@ class Scanner:
         return found
 
     def fuzzy(self, joined: str) -> list[Found]:
-        """Verified notices: seeds nominate stretches, which are merged before the look."""
-        stretches: dict[int, list[list[int]]] = {}
-        for last, (size, places) in self.seeds.iter(joined):
-            for n, at in places:
-                notice = self.notices[n]
-                begin = max(0, last + 1 - size - at - notice.edits - 1)
-                end = last + 1 - size - at + len(notice.text) + notice.edits + 1
-                kept = stretches.setdefault(n, [])
-                if kept and begin <= kept[-1][1]:
-                    kept[-1][0], kept[-1][1] = min(begin, kept[-1][0]), max(end, kept[-1][1])
-                else:
-                    kept.append([begin, end])
-        found = []
-        for n, each in stretches.items():
+        """Verified notices: seeds nominate stretches, each of which is looked at once."""
+        places = {
+            (n, last + 1 - size - at) for last, (size, each) in self.seeds.iter(joined) for n, at in each
+        }
+        found, framed = set(), f" {joined} "
+        for n, start in places:
             notice = self.notices[n]
-            for begin, end in each:
-                for match in notice.matches(joined, begin, min(end, len(joined))):
-                    found.append(
-                        Found(notice.label, *match.span(), sum(match.fuzzy_counts), notice.text)
-                    )
+            end = start + len(notice.text)
+            if start >= 0 and framed.startswith(notice.framed, start):  # nothing to verify
+                found.add(Found(notice.label, start, end, 0, notice.text))
+                continue
+            begin, end = max(0, start - notice.edits - 1), min(end + notice.edits + 1, len(joined))
+            for match in notice.matches(joined, begin, end):
+                found.add(Found(notice.label, *match.span(), sum(match.fuzzy_counts), notice.text))
         return _apart(found)
 
 
-def _apart(found: list[Found]) -> list[Found]:
+def _apart(found: Iterable[Found]) -> list[Found]:
     """Finds without overlaps, in order of place; closer and longer ones go first."""
     kept: list[Found] = []  # in order of place
     for f in sorted(found, key=lambda f: (f.edits, f.start - f.end, f.start, f.notice)):
@@ -192,15 +193,21 @@ def _row(scanner: Scanner, text: str | None) -> tuple:
     words = [w for w in words if w]
     joined = " ".join(words)
     exact, fuzzy = scanner.exact(joined), scanner.fuzzy(joined)
-    starts = [joined.count(" ", 0, at) for _, at in exact]
+    ends = list(accumulate(len(w) + 1 for w in words)) if exact or fuzzy else []
+
+    def word(at: int) -> int:
+        """The number of spaces before a character."""
+        return bisect_right(ends, at)
+
+    starts = [word(at) for _, at in exact]
     base = sorted({label for label, _ in exact})
     labels = sorted({*base, *(f.label for f in fuzzy)})
     score = 1.0 if exact else max((f.score for f in fuzzy), default=0.0)
     spans = [
         {
             "label": f.label,
-            "first": joined.count(" ", 0, f.start),
-            "last": joined.count(" ", 0, f.end),
+            "first": word(f.start),
+            "last": word(f.end),
             "edits": f.edits,
             "notice": f.notice,
         }

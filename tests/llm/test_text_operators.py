@@ -408,3 +408,14 @@ def test_redaction(spark):
 )
 def test_trigram_queries(pattern, query):
     assert secret_scan.trigram_query(pattern) == query
+
+
+def test_license_scan_is_linear_in_repeated_notices():
+    scanner = licenses.Scanner()
+    for text, label in (("released under the mit license", "mit"), ("released under teh mit license", "mit")):
+        words = len(text.split())
+        for copies in (1, 3, 2000):
+            row = licenses._row(scanner, " ".join([text] * copies))
+            spans = [(s["first"], s["last"]) for s in row[-1] if s["notice"] == "released under the mit license"]
+            assert spans == [(i * words, i * words + words - 1) for i in range(copies)]
+            assert row[0] == words * copies and label in row[5].split(",")
