@@ -284,7 +284,74 @@ turned AS (SELECT *, (i - v % m + m) % m AS round,
   sha256('42:validation:' || stratum || ':bounded:' || mode || ':' || v || ':' || bucket) AS bucket_key FROM seated),
 drawn AS (SELECT *, row_number() OVER (PARTITION BY stratum, mode, v ORDER BY round, bucket_key) AS k FROM turned)"""
 
+def _sql_holdout(split: str, rows: str) -> str:
+    """CTEs ``<split>_base``..``<split>_held``: the holdout chosen stratum by stratum.
+
+    Every candidate is drawn row by row, and ties are decided by the whole list of digests. For
+    strata of more than 128 subsets, as all of these tables are; that the choice keeps all labels
+    is checked at the end (else another search would follow).
+    """
+    x, first, second = split, len(fv.PRIORITIES), len(fv.SENTIMENTS)
+    strata = sorted(fv.CATEGORIES)
+
+    def counts(column: str, n: int) -> str:
+        return "[" + ", ".join(f"count(*) FILTER ({column} = {i})" for i in range(n)) + "]"
+
+    steps = []
+    for step, stratum in enumerate(strata, 1):
+        steps.append(f"""
+{x}_{step} AS (SELECT candidate, f, s FROM (SELECT c.candidate, tie,
+    list_transform(range(1, {first + 1}), lambda i: g.f[i] + c.f[i]) AS f,
+    list_transform(range(1, {second + 1}), lambda i: g.s[i] + c.s[i]) AS s
+  FROM {x}_{step - 1} g, {x}_cand c WHERE stratum = '{stratum}')
+  ORDER BY len(list_filter(s, lambda n: n = 0)), len(list_filter(f, lambda n: n = 0)), list_max(f) - list_min(f),
+    list_sum(list_transform(f, lambda n: n * n)), list_max(s) - list_min(s), tie, candidate LIMIT 1)""")
+    chosen = " UNION ALL ".join(
+        f"SELECT '{stratum}' AS stratum, candidate FROM {x}_{step}" for step, stratum in enumerate(strata, 1)
+    )
+    last = f"{x}_{len(strata)}"
+    return f"""
+{x}_base AS (SELECT *, row_number() OVER (PARTITION BY stratum
+  ORDER BY sha256('42:{split}:' || stratum || ':' || id)) AS idx FROM {rows}),
+{x}_crossed AS (SELECT b.*, mi, mode, v, CASE mode WHEN 'joint' THEN p || ':' || s WHEN 'priority' THEN p || ''
+  ELSE s || '' END AS bucket FROM {x}_base b, modes),
+{x}_seated AS (SELECT *, row_number() OVER (PARTITION BY stratum, mode, v, bucket ORDER BY idx) - 1 AS i,
+  count(*) OVER (PARTITION BY stratum, mode, v, bucket) AS m FROM {x}_crossed),
+{x}_turned AS (SELECT *, (i - v % m + m) % m AS round,
+  sha256('42:{split}:' || stratum || ':bounded:' || mode || ':' || v || ':' || bucket) AS bucket_key FROM {x}_seated),
+{x}_drawn AS (SELECT *, row_number() OVER (PARTITION BY stratum, mode, v ORDER BY round, bucket_key) AS k
+  FROM {x}_turned),
+{x}_picked AS (SELECT stratum, 1 + mi * 32 + v AS candidate, id, idx, p, s FROM {x}_drawn JOIN counts USING (stratum)
+  WHERE k <= {split}
+  UNION ALL SELECT stratum, 0, id, idx, p, s FROM {x}_base JOIN counts USING (stratum) WHERE idx <= {split}),
+{x}_slots AS (SELECT *, row_number() OVER (PARTITION BY stratum, candidate ORDER BY idx) - 1 AS slot FROM {x}_picked),
+{x}_cand AS (SELECT stratum, candidate, {counts("p", first)} AS f, {counts("s", second)} AS s,
+  list(sha256('42:{split}:' || stratum || ':choice:' || slot || ':' || id) ORDER BY slot) AS tie
+  FROM {x}_slots GROUP BY 1, 2),
+{x}_0 AS (SELECT list_transform(range({first}), lambda i: 0) AS f, list_transform(range({second}), lambda i: 0) AS s),
+{",".join(steps)},
+{x}_sure AS (SELECT CASE WHEN list_min(f) > 0 AND list_min(s) > 0 AND list_max(f) - list_min(f) <= 1 THEN true
+  ELSE error('the choice of {split} loses a label') END AS ok FROM {last}),
+{x}_held AS (SELECT id FROM {x}_picked JOIN ({chosen}) USING (stratum, candidate), {x}_sure WHERE ok)"""
+
+
+_BALANCED = f"""
+{d.SQL_TICKETS},
+{sql_counts('tickets', 'category')},
+modes AS (SELECT * FROM (VALUES (0, 'joint'), (1, 'priority'), (2, 'sentiment')) m(mi, mode), range(32) r(v)),
+source_rows AS (SELECT CAST(doc_id AS VARCHAR) AS id, category AS stratum,
+  list_position({d.SQL_LABELS['priority']}, priority) - 1 AS p,
+  list_position({d.SQL_LABELS['sentiment']}, sentiment) - 1 AS s FROM tickets),
+{_sql_holdout('validation', 'source_rows')},
+left_rows AS (SELECT * FROM source_rows ANTI JOIN validation_held USING (id)),
+{_sql_holdout('test', 'left_rows')},
+balanced AS (SELECT id, stratum, CASE WHEN id IN (SELECT id FROM validation_held) THEN 'validation'
+  WHEN id IN (SELECT id FROM test_held) THEN 'test' ELSE 'train' END AS split FROM source_rows)"""
+
 ORACLES = {
+    "split_balanced": f"""WITH {_BALANCED}
+SELECT id, split, row_number() OVER (PARTITION BY split ORDER BY sha256('42:split:' || split || ':' || id)) - 1 AS position
+FROM balanced""",
     "label_distribution": """
 WITH j AS (SELECT * FROM documents JOIN labels USING (doc_id))
 SELECT source, 'lang' AS dimension, lang AS label, count(*) AS rows FROM j GROUP BY 1, 3

@@ -3,22 +3,29 @@
 For every stratum a fixed family of candidate holdouts is compared: the first k rows in seeded
 order, and round-robin draws through label buckets (joint, first label, second label) with 32
 rotations each. A round-robin draw through buckets takes, from each bucket, one circular run of
-the bucket's rows. The run's length follows from the bucket sizes alone. So a candidate is a
-small table of (bucket, start, size, length), a row's membership is one comparison, and the rows
-themselves stay on the executors: they are ranked once and only counted.
+the bucket's rows. The run's length follows from the bucket sizes alone.
 
-The driver sees label counts per candidate, at most 97 candidates per stratum, and for strata
-with at most 128 possible subsets their few rows. Its work does not grow with the rows.
+So all candidates are described by where their runs begin and end. A bucket's circle is cut at
+these places (and the seeded order at k); rows between cuts are in the same candidates. The ranks
+of a row in its label pair, labels and stratum rise together, so a label pair has no more segments
+than cuts, about 200 whatever its size. Rows are counted once per segment, one record a row, and
+everything else about a candidate is a sum over segments: its label counts, whether it equals
+another, and the first row in which candidates differ.
+
+The driver sees segments, at most 97 candidates per stratum, and for strata with at most 128
+possible subsets their few rows. Its work does not grow with the rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +47,8 @@ _SPEC = {
     "quota": pa.int64(),
 }
 _ROWS = ("id", "stratum", "p", "s")
+#: The rank that decides membership, by the mode of a candidate.
+_RANKS = {"first": "idx", "joint": "i_joint", "priority": "i_priority", "sentiment": "i_sentiment"}
 
 
 @dataclass(frozen=True)
@@ -61,9 +70,31 @@ class _Candidate:
     first: list[int] = field(default_factory=list)
     second: list[int] = field(default_factory=list)
     members: tuple[int, ...] | None = None
+    held: np.ndarray | None = None
     tie: tuple = ()
 
 
+@dataclass
+class _Segments:
+    """The segments of a stratum: rows that are in the same round-robin candidates."""
+
+    place: dict[tuple, int]
+    n: np.ndarray
+    p: np.ndarray
+    s: np.ndarray
+    ranks: dict[str, np.ndarray]  # of the first row of each segment, by mode
+
+    def holds(self, spec: list[tuple]) -> np.ndarray:
+        """Which segments a candidate takes."""
+        start, size, quota = np.zeros((3, self.p.max() + 1, self.s.max() + 1), dtype=np.int64)
+        for _, p, s, _, _, first, length, many in spec:
+            start[p, s], size[p, s], quota[p, s] = first, length, many
+        mode, at = spec[0][4], (self.p, self.s)
+        if mode == "first":
+            return self.ranks[mode] < quota[at]
+        return (self.ranks[mode] - start[at]) % size[at] < quota[at]
+
+
 def stratified_split(
     df: DataFrame,
     record_id: str,
@@ -156,12 +187,14 @@ def candidate_label_counts(
     wanted = {r["stratum"]: r[split] for r in split_counts(rows, "stratum", fractions).collect()}
     search = _HoldoutSearch(rows, split, seed, balance, modes, variants, 3)
     search.build(wanted)
-    spec = [row for found in search.candidates.values() for c in found for row in c.spec]
-    return (
-        search.members(spec)
-        .groupBy("stratum", "candidate", "p", "s")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    counted = [
+        (c.stratum, c.number, p, s, n)
+        for found in search.candidates.values() for c in found if c.spec
+        for (p, s), n in search.cells_of(c).items()
+    ]
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    names = ("stratum", "candidate", "p", "s", "rows")
+    return search.table(counted, dict(zip(names, kinds, strict=True)))
 
 
 def _label_index(label: Column, labels: Sequence[str]) -> Column:
@@ -219,6 +252,7 @@ class _HoldoutSearch:
         self.spark = rows.sparkSession
         self.cells = _label_counts(self.rows)
         self.candidates: dict[str, list[_Candidate]] = {}
+        self.segments: dict[str, _Segments] = {}
         self.ordered = False
 
     # Candidates -------------------------------------------------------------------------
@@ -239,7 +273,11 @@ class _HoldoutSearch:
             else:
                 self.candidates[stratum] = self._round_robin(stratum, k)
         self._enumerate(few, required)
-        self._count_labels()
+        self._cut()
+        for found in self.candidates.values():
+            for candidate in found:
+                if candidate.members is None:
+                    candidate.first, candidate.second = self._vectors(self.cells_of(candidate))
 
     def _pairs(self, stratum: str) -> list[tuple[int, int]]:
         return [(p, s) for (name, p, s) in self.cells if name == stratum]
@@ -307,47 +345,66 @@ class _HoldoutSearch:
             second[s] += n
         return first, second
 
-    def _count_labels(self) -> None:
-        """Label counts of all round-robin candidates in one pass with map-side combining."""
-        spec, counted = [], defaultdict(dict)
-        for found in self.candidates.values():
-            for candidate in found:
-                for row in candidate.spec:
-                    if row[4] == "joint":  # one bucket per label pair: its run length is the count
-                        counted[candidate.stratum, candidate.number][row[1], row[2]] = row[7]
-                    else:
-                        spec.append(row)
-        if spec:
-            grouped = (
-                self.members(spec)
-                .groupBy("stratum", "candidate", "p", "s")
-                .agg(F.count(F.lit(1)).alias("n"))
-            )
-            for r in grouped.collect():
-                counted[r["stratum"], r["candidate"]][r["p"], r["s"]] = r["n"]
-        for found in self.candidates.values():
-            for candidate in found:
-                if candidate.members is None:
-                    candidate.first, candidate.second = self._vectors(
-                        counted[candidate.stratum, candidate.number]
-                    )
+    # Segments ---------------------------------------------------------------------------
 
-    def _table(self, rows: list[tuple], types: dict[str, pa.DataType]) -> DataFrame:
+    def _cut(self) -> None:
+        """Cut the strata that have several round-robin candidates, and count their segments."""
+        cuts = []
+        for stratum, found in self.candidates.items():
+            if len(found) < 2 or found[0].members is not None:
+                continue
+            ends: dict[tuple, set[int]] = defaultdict(set)
+            for candidate in found[1:]:
+                for _, p, s, _, mode, start, size, quota in candidate.spec:
+                    ends[mode, p, s] |= {start, (start + quota) % size}
+            k = found[0].spec[0][7]
+            for p, s in self._pairs(stratum):
+                each = [sorted(ends[mode, p, s]) for mode in fv.MODES]
+                cuts.append((stratum, p, s, [k], *each))
+        names = [f"cut_{mode}" for mode in ("first", *fv.MODES)]
+        types = {"stratum": pa.string(), "p": pa.int32(), "s": pa.int32()}
+        if not cuts:
+            return
+        table = self.table(cuts, types | dict.fromkeys(names, pa.list_(pa.int64())))
+        parts = [_passed(name, rank) for name, rank in zip(names, _RANKS.values(), strict=True)]
+        joined = self.rows.join(table, ["stratum", "p", "s"])
+        self.cut_rows = joined.select(*_ROWS, *_RANKS.values(), F.struct(*parts).alias("segment"))
+        ranks = F.min(F.struct(*_RANKS.values())).alias("ranks")
+        grouped = self.cut_rows.groupBy("stratum", "p", "s", "segment").agg(
+            F.count(F.lit(1)).alias("n"), ranks
+        )
+        by_stratum = defaultdict(list)
+        for row in grouped.collect():
+            by_stratum[row["stratum"]].append(row)
+        for stratum, rows in by_stratum.items():
+            self.segments[stratum] = _Segments(
+                {(r["p"], r["s"], *r["segment"]): i for i, r in enumerate(rows)},
+                *(np.array([r[name] for r in rows], dtype=np.int64) for name in ("n", "p", "s")),
+                {
+                    mode: np.array([r["ranks"][rank] for r in rows], dtype=np.int64)
+                    for mode, rank in _RANKS.items()
+                },
+            )
+            for candidate in self.candidates[stratum]:
+                candidate.held = self.segments[stratum].holds(candidate.spec)
+
+    def cells_of(self, candidate: _Candidate) -> dict[tuple[int, int], int]:
+        """Rows of a candidate per label pair."""
+        if candidate.held is None:  # all rows of the stratum or none
+            return {
+                (p, s): self.cells[candidate.stratum, p, s]
+                for _, p, s, _, _, _, _, quota in candidate.spec if quota
+            }
+        segments, counts = self.segments[candidate.stratum], Counter()
+        for i in np.flatnonzero(candidate.held):
+            counts[int(segments.p[i]), int(segments.s[i])] += int(segments.n[i])
+        return dict(counts)
+
+    def table(self, rows: list[tuple], types: dict[str, pa.DataType]) -> DataFrame:
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
         arrays = [pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)]
         return self.spark.createDataFrame(pa.Table.from_arrays(arrays, names=list(types)))
 
-    # Rows of candidates -----------------------------------------------------------------
-
-    def members(self, spec: list[tuple]) -> DataFrame:
-        """Rows of the given candidates.
-
-        ``spec`` has one record per label pair and candidate. Spark knows its size and broadcasts
-        it for a usual label set; with very many strata the join shuffles instead.
-        """
-        table = self._table(spec, _SPEC)
-        return self.rows.join(table, ["stratum", "p", "s"]).where(_is_member(F.col))
-
     # Ties -------------------------------------------------------------------------------
 
     def order_ties(self, sets: list[list[_Candidate]]) -> None:
@@ -355,8 +412,9 @@ class _HoldoutSearch:
 
         Ties are decided by comparing, slot by slot, seeded digests of the chosen rows. Two
         candidates agree on all slots before the first row that only one of them holds. So each
-        round finds that row per group of undecided candidates, takes the row every candidate
-        has in that slot, and splits the group by their digests. Rows are only scanned.
+        round finds that row per group of undecided candidates, from the segments, takes the row
+        every candidate has in that slot, and splits the group by their digests. Rows are only
+        scanned.
         """
         self.ordered = True
         groups = [found for found in sets if len(found) > 1]
@@ -364,14 +422,13 @@ class _HoldoutSearch:
             for candidate in found:
                 candidate.tie = ()
         while groups:
-            splits = self._first_difference(groups)
-            undecided = [g for i, g in enumerate(groups) if i in splits]
+            starts = [self._first_difference(group) for group in groups]
+            undecided = [(g, at) for g, at in zip(groups, starts, strict=True) if at is not None]
             if not undecided:
                 return
-            starts = [splits[i] for i in range(len(groups)) if i in splits]
-            slots = self._slot_rows(undecided, starts)
+            slots = self._slot_rows(undecided)
             groups = []
-            for group in undecided:
+            for group, _ in undecided:
                 parts = defaultdict(list)
                 for candidate in group:
                     slot, row_id = slots[candidate.stratum, candidate.number]
@@ -381,48 +438,50 @@ class _HoldoutSearch:
                     parts[digest].append(candidate)
                 groups += [part for part in parts.values() if len(part) > 1]
 
-    def _first_difference(self, groups: list[list[_Candidate]]) -> dict[int, int]:
-        spec = [(*row, i) for i, group in enumerate(groups) for c in group for row in c.spec]
-        table = (
-            self._table(spec, _SPEC | {"grp": pa.int32()})
-            .groupBy("stratum", "p", "s", "grp")
-            .agg(F.collect_list(F.struct("mode", "start", "size", "quota")).alias("specs"))
+    def _first_difference(self, group: list[_Candidate]) -> int | None:
+        """The first row, in seeded order, that some candidates of a group have and some lack."""
+        held = np.stack([c.held for c in group])
+        differs = held.any(axis=0) & ~held.all(axis=0)
+        first = self.segments[group[0].stratum].ranks["first"][differs]
+        return int(first.min()) if len(first) else None
+
+    def _slot_rows(self, undecided) -> dict[tuple[str, int], tuple[int, str]]:
+        """Per candidate the number of its rows before its group's place, and its next row."""
+        places = defaultdict(set)
+        for group, at in undecided:
+            places[group[0].stratum].add(at)
+        places = {stratum: sorted(found) for stratum, found in places.items()}
+        table = self.table(
+            list(places.items()), {"stratum": pa.string(), "places": pa.list_(pa.int64())}
         )
-        per_row = self.rows.join(table, ["stratum", "p", "s"])
-        held = F.size(F.filter("specs", lambda c: _is_member(lambda name: c[name]
-                      if name in ("mode", "start", "size", "quota") else F.col(name))))
-        differs = (held > 0) & (held < F.size("specs"))
-        found = per_row.where(differs).groupBy("grp").agg(F.min("idx").alias("idx")).collect()
-        return {r["grp"]: r["idx"] for r in found}
-
-    def _slot_rows(self, groups, starts) -> dict[tuple[str, int], tuple[int, str]]:
-        spec = [
-            (*row, at)
-            for group, at in zip(groups, starts, strict=True)
-            for c in group
-            for row in c.spec
-        ]
-        table = self._table(spec, _SPEC | {"at": pa.int64()})
-        found = (
-            self.rows.join(table, ["stratum", "p", "s"])
-            .where(_is_member(F.col))
-            .groupBy("stratum", "candidate")
-            .agg(
-                F.count_if(F.col("idx") < F.col("at")).alias("slot"),
-                F.min(F.when(F.col("idx") >= F.col("at"), F.struct("idx", "id"))).alias("row"),
-            )
+        before = F.size(F.filter("places", lambda at: at <= F.col("idx")))
+        counted = (
+            self.cut_rows.join(table, "stratum")
+            .groupBy("stratum", "p", "s", "segment", before.alias("before"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("idx", "id")).alias("row"))
         )
-        return {
-            (r["stratum"], r["candidate"]): (r["slot"], r["row"]["id"]) for r in found.collect()
-        }
+        by_stratum = defaultdict(list)
+        for r in counted.collect():
+            segment = self.segments[r["stratum"]].place[r["p"], r["s"], *r["segment"]]
+            by_stratum[r["stratum"]].append((segment, r["before"], r["n"], r["row"]))
+        slots = {}
+        for group, at in undecided:
+            stratum = group[0].stratum
+            found, passed = by_stratum[stratum], bisect_left(places[stratum], at)
+            for c in group:
+                mine = [x for x in found if c.held[x[0]]]
+                slot = sum(n for _, before, n, _ in mine if before <= passed)
+                _, row_id = min(tuple(row) for _, before, _, row in mine if before > passed)
+                slots[stratum, c.number] = (slot, row_id)
+        return slots
 
     # Choice -----------------------------------------------------------------------------
 
     def mark(self, required: dict[str, int], source: dict[tuple[str, int, int], int]) -> DataFrame:
         """Rows with a Boolean ``held``."""
         self.build(required)
-        large = any(len(c.spec) and len(found) > 1 for found in self.candidates.values()
-                    for c in found[:1])
+        self._merge_equal()
+        large = bool(self.segments)
         chosen = None
         if large and len(self.candidates) > 1:
             chosen = self._greedy()
@@ -432,6 +491,15 @@ class _HoldoutSearch:
             chosen = self._frontier()
         return self._held(chosen)
 
+    def _merge_equal(self) -> None:
+        """Of candidates with the same rows only the first is kept."""
+        for stratum, found in self.candidates.items():
+            if found[0].held is not None:
+                kept: dict[bytes, _Candidate] = {}
+                for candidate in found:
+                    kept.setdefault(candidate.held.tobytes(), candidate)
+                self.candidates[stratum] = list(kept.values())
+
     def _score(self, first: Sequence[int], second: Sequence[int]) -> tuple[int, ...]:
         return (
             list(second).count(0),
@@ -521,27 +589,28 @@ class _HoldoutSearch:
     def _held(self, chosen: list[_Candidate]) -> DataFrame:
         spec = [row for c in chosen for row in c.spec]
         picks = [(c.stratum, i) for c in chosen if c.members is not None for i in c.members]
-        table = self._table(spec, _SPEC)
-        small = self._table(picks, {"stratum": pa.string(), "idx": pa.int64()})
+        table = self.table(spec, _SPEC)
+        small = self.table(picks, {"stratum": pa.string(), "idx": pa.int64()})
         return (
             self.rows.join(table, ["stratum", "p", "s"], "left")
             .join(small.withColumn("picked", F.lit(True)), ["stratum", "idx"], "left")
             .withColumn(
                 "held",
-                F.coalesce(_is_member(F.col), F.lit(False)) | F.coalesce("picked", F.lit(False)),
+                F.coalesce(_is_member(), F.lit(False)) | F.coalesce("picked", F.lit(False)),
             )
             .select(*_ROWS, "held")
         )
 
 
-def _is_member(value) -> Column:
-    index = (
-        F.when(value("mode") == "joint", F.col("i_joint"))
-        .when(value("mode") == "priority", F.col("i_priority"))
-        .otherwise(F.col("i_sentiment"))
-    )
-    in_run = F.pmod(index - value("start"), value("size")) < value("quota")
-    return F.when(value("mode") == "first", F.col("idx") < value("quota")).otherwise(in_run)
+def _passed(cuts: str, rank: str) -> Column:
+    """How many cuts lie at or before a rank."""
+    return F.size(F.filter(cuts, lambda cut: cut <= F.col(rank))).alias(cuts)
+
+
+def _is_member() -> Column:
+    index = F.coalesce(*[F.when(F.col("mode") == m, F.col(rank)) for m, rank in _RANKS.items()])
+    in_run = F.pmod(index - F.col("start"), F.col("size")) < F.col("quota")
+    return F.when(F.col("mode") == "first", F.col("idx") < F.col("quota")).otherwise(in_run)
 
 
 def _add(left: Sequence[int], right: Sequence[int]) -> list[int]:
