@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from assaykit import fixed_values as fv
 from assaykit.catalog import derived as d
 from assaykit.catalog.splits import _SIMPLE, split_simple
 from assaykit.functions import text as tx
-from assaykit.operators import audits, reviews
+from assaykit.operators import audits, evidence, reviews
+from assaykit.session import durable
 from assaykit.sources import inventory, sinks
 from assaykit.tables import read_table
 
@@ -224,6 +227,72 @@ def lineage_checks(spark: SparkSession, folder: str) -> DataFrame:
     return audits.lineage_checks(edges).groupBy("passed").agg(F.count(F.lit(1)).alias("edges"))
 
 
+def evidence_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims between sources, splits, manifests, predictions and reports per language, with faults.
+
+    Planted: a manifest of another source (de), predictions that name two test splits (fr), a report
+    of predictions that are not there (es), predictions without a digest (en), two drafts that rest
+    on each other, and a note that claims nothing.
+    """
+    docs = read_table(spark, folder, "documents").select(
+        "lang", "doc_id", "text",
+        F.when(F.col("doc_id") % 10 == 0, "test").when(F.col("doc_id") % 10 == 1, "validation")
+        .otherwise("train").alias("split"),
+    )
+    tests = docs.where("split = 'test'").withColumn("line", F.concat_ws(":", "doc_id", F.length("text")))
+    sources = evidence.observed("source", docs, "doc_id", F.col("text"), ["lang"])
+    splits = evidence.observed("split", docs, "doc_id", F.col("text"), ["lang", "split"])
+    made = evidence.observed("predictions", tests, "doc_id", F.col("line"), ["lang"])
+    first = durable(sources.unionByName(splits).unionByName(made))
+    lang, kind = F.split_part("name", F.lit(":"), F.lit(2)), F.substring_index("name", ":", 1)
+    lines = first.where(kind != "predictions").select(
+        lang.alias("lang"), "name", "digest",
+        F.when(kind == "source", 0).when(F.endswith("name", F.lit("train")), 1)
+        .when(F.endswith("name", F.lit("validation")), 2).otherwise(3).alias("position"),
+    )
+    lines = lines.withColumn(
+        "digest",
+        F.when((F.col("lang") == "de") & (kind == "source"), F.sha2("digest", 256)).otherwise(F.col("digest")),
+    )
+    manifests = durable(evidence.observed("manifest", lines, "position", F.col("digest"), ["lang"]))
+    reports = made.select(F.replace("name", F.lit("predictions"), F.lit("report")).alias("name"), "digest")
+    extra = spark.createDataFrame(
+        [(name, "0" * 64) for name in ("draft:a", "draft:b", "note")], "name string, digest string"
+    )
+    nodes = first.unionByName(manifests).unionByName(reports).unionByName(extra)
+
+    of_manifest = evidence.claims(
+        lines, evidence.artifact("manifest", "lang"), {"content": (F.col("name"), F.col("digest"))}
+    ).withColumn("role", F.concat_ws(":", "role", "parent"))
+    held = tests.select("lang", "doc_id").join(
+        splits.where(F.endswith("name", F.lit(":test"))).select(lang.alias("lang"), F.col("digest").alias("test_digest")), "lang"
+    ).join(manifests.select(lang.alias("lang"), F.col("digest").alias("manifest_digest")), "lang")
+    other = F.when((F.col("lang") == "fr") & (F.col("doc_id") % 20 == 0), F.sha2("test_digest", 256))
+    missing = (F.col("lang") == "en") & (F.col("doc_id") % 20 == 0)
+    of_predictions = evidence.claims(
+        held, evidence.artifact("predictions", "lang"),
+        {
+            "split": (F.concat_ws(":", F.lit("split"), "lang", F.lit("test")), F.coalesce(other, "test_digest")),
+            "manifest": (evidence.artifact("manifest", "lang"), F.when(~missing, F.col("manifest_digest"))),
+        },
+    )
+    of_splits = evidence.claims(
+        splits.select("name", lang.alias("lang")).join(sources.select(lang.alias("lang"), "digest"), "lang"),
+        F.col("name"), {"source": (evidence.artifact("source", "lang"), F.col("digest"))},
+    )
+    old = F.when(lang == "es", F.lit("-old")).otherwise("")
+    of_reports = evidence.claims(
+        made.withColumn("lang", lang), evidence.artifact("report", "lang"),
+        {"predictions": (F.concat("name", old), F.col("digest"))},
+    )
+    of_drafts = evidence.claims(
+        extra.where("name <> 'note'"), F.col("name"),
+        {"draft": (F.when(F.col("name") == "draft:a", "draft:b").otherwise("draft:a"), F.col("digest"))},
+    )
+    edges = reduce(DataFrame.unionByName, (of_manifest, of_predictions, of_splits, of_reports, of_drafts))
+    return evidence.walk(nodes, edges, ["source"])
+
+
 def table_equality(spark: SparkSession, folder: str) -> DataFrame:
     """Rows missing from and added to a copy of the line items."""
     lines = read_table(spark, folder, "lineitem")
@@ -247,6 +316,7 @@ QUERIES = {
     "digest_maps": digest_maps,
     "header_mismatches": header_mismatches,
     "lineage_checks": lineage_checks,
+    "evidence_chain": evidence_chain,
     "table_equality": table_equality,
 }
 
@@ -377,3 +447,59 @@ FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""",
 SELECT count(*) FILTER (l_orderkey % 211 = 0 AND l_orderkey % 223 <> 0) AS missing,
   count(*) FILTER (l_orderkey % 223 = 0 AND l_orderkey % 211 <> 0) AS extra FROM lineitem""",
 }
+
+
+def _sql_tree(out: str, rows: str) -> str:
+    """CTEs up to ``out`` (name, digest) over ``rows`` (name, p, line): four levels of up to 4,096 digests."""
+    parts = [f"{out}0 AS (SELECT name, p, sha256(line) AS h FROM {rows})"]
+    for level in range(1, 5):
+        below = f"{out}{level - 1}"
+        parts.append(
+            f"{out}{level} AS (SELECT name, p // 4096 AS p, sha256(string_agg(h, chr(10) ORDER BY p)) AS h "
+            f"FROM {below} GROUP BY name, {below}.p // 4096)"
+        )
+    return ",\n".join([*parts, f"{out} AS (SELECT name, h AS digest FROM {out}4)"])
+
+
+ORACLES["evidence_chain"] = f"""
+WITH RECURSIVE docs AS (SELECT lang, doc_id, text, CASE doc_id % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'validation'
+  ELSE 'train' END AS split FROM documents),
+rows1 AS (SELECT 'source:' || lang AS name, doc_id AS p, text AS line FROM docs
+  UNION ALL SELECT 'split:' || lang || ':' || split, doc_id, text FROM docs
+  UNION ALL SELECT 'predictions:' || lang, doc_id, doc_id || ':' || length(text) FROM docs WHERE split = 'test'),
+{_sql_tree('made', 'rows1')},
+lines AS (SELECT split_part(name, ':', 2) AS lang, name, split_part(name, ':', 1) AS kind,
+  CASE WHEN name = 'source:de' THEN sha256(digest) ELSE digest END AS digest FROM made
+  WHERE split_part(name, ':', 1) <> 'predictions'),
+rows2 AS (SELECT 'manifest:' || lang AS name, CASE WHEN kind = 'source' THEN 0 WHEN name LIKE '%:train' THEN 1
+  WHEN name LIKE '%:validation' THEN 2 ELSE 3 END AS p, digest AS line FROM lines),
+{_sql_tree('man', 'rows2')},
+nodes AS (SELECT * FROM made UNION ALL SELECT * FROM man
+  UNION ALL SELECT replace(name, 'predictions', 'report'), digest FROM made WHERE name LIKE 'predictions:%'
+  UNION ALL SELECT unnest(['draft:a', 'draft:b', 'note']), repeat('0', 64)),
+held AS (SELECT lang, doc_id, t.digest AS test_digest, m.digest AS manifest_digest FROM docs
+  JOIN made t ON t.name = 'split:' || lang || ':test' JOIN man m ON m.name = 'manifest:' || lang WHERE split = 'test'),
+edges AS (
+  SELECT 'manifest:' || lang AS child, 'content:' || name AS role, name AS parent, digest AS declared FROM lines
+  UNION SELECT 'predictions:' || lang, 'split', 'split:' || lang || ':test',
+    CASE WHEN lang = 'fr' AND doc_id % 20 = 0 THEN sha256(test_digest) ELSE test_digest END FROM held
+  UNION SELECT 'predictions:' || lang, 'manifest', 'manifest:' || lang,
+    CASE WHEN lang = 'en' AND doc_id % 20 = 0 THEN NULL ELSE manifest_digest END FROM held
+  UNION SELECT s.name, 'source', o.name, o.digest FROM made s JOIN made o
+    ON s.name LIKE 'split:%' AND o.name = 'source:' || split_part(s.name, ':', 2)
+  UNION SELECT replace(name, 'predictions', 'report'), 'predictions',
+    name || CASE WHEN name = 'predictions:es' THEN '-old' ELSE '' END, digest FROM made WHERE name LIKE 'predictions:%'
+  UNION SELECT 'draft:a', 'draft', 'draft:b', repeat('0', 64) UNION SELECT 'draft:b', 'draft', 'draft:a', repeat('0', 64)),
+own AS (SELECT e.*, n.digest AS observed, CASE WHEN declared IS NULL THEN 'no digest' WHEN n.digest IS NULL THEN 'unknown parent'
+  WHEN declared <> n.digest THEN 'digest differs'
+  WHEN count(*) OVER (PARTITION BY child, role) > 1 THEN 'claims disagree' END AS own
+  FROM edges e LEFT JOIN nodes n ON n.name = e.parent),
+tainted AS (SELECT child AS name FROM own WHERE own IS NOT NULL
+  UNION SELECT o.child FROM own o JOIN tainted t ON o.parent = t.name),
+rooted AS (SELECT name FROM nodes WHERE name LIKE 'source:%'
+  UNION SELECT o.child FROM own o JOIN rooted r ON o.parent = r.name)
+SELECT child, role, parent, declared, observed, CASE WHEN own IS NOT NULL THEN own
+  WHEN parent IN (SELECT name FROM tainted) THEN 'rests on a fault'
+  WHEN parent NOT IN (SELECT name FROM rooted) THEN 'no root' END AS problem FROM own
+UNION ALL SELECT name, NULL, NULL, NULL, NULL, 'claims nothing' FROM nodes
+WHERE name NOT LIKE 'source:%' AND name NOT IN (SELECT child FROM edges)"""
