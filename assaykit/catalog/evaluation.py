@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from assaykit.catalog import derived as d
 from assaykit.functions import strict_json as sj
 from assaykit.functions import text as tx
 from assaykit.operators import audits, comparing, parity, rules, scoring
+from assaykit.plans import evaluation
 from assaykit.session import durable
 from assaykit.tables import read_table
 
@@ -112,6 +115,48 @@ def parity_gates(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(parity.parity_decisions(metrics), ["value"])
 
 
+def parity_guards(spark: SparkSession, folder: str) -> DataFrame:
+    """Why two prediction sets may not be compared: unusable rows, lost ids, absent lineage."""
+    adapter = d.predictions(spark, folder).select("id", "position", "expected").withColumns(
+        {"model_revision": F.lit("r1"), "problem": F.lit(None).cast("string")}
+    )
+    n = F.col("position")
+    merged = adapter.withColumns(
+        {
+            "problem": F.when(n % 31 == 0, "not an object"),
+            "id": F.when(n % 41 == 0, "").otherwise(F.col("id")),
+            "model_revision": F.when(n % 37 == 0, F.lit(None)).when(n % 43 == 0, "r2").otherwise("r1"),
+            "dataset_split_sha256": F.sha2(F.lit("test"), 256),
+        }
+    )
+    found = evaluation.parity_problems(adapter, merged)
+    return found.groupBy("problem").agg(F.count(F.lit(1)).alias("cases"), F.min("id").alias("first_id"))
+
+
+def heldout_binding(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions that are not bound to the held-out rows they should answer."""
+    rows = d.predictions(spark, folder).select("id", "position", "expected")
+    manifest, split = (F.sha2(F.lit(name), 256) for name in ("manifest", "test"))
+    n = F.col("position")
+    changed = F.col("expected").withField("category", F.lit("changed"))
+    made = rows.where(n % 53 != 0).withColumns(
+        {
+            "position": F.when(n % 47 == 0, n + 1).otherwise(n),
+            "expected": F.when(n % 59 == 0, changed).otherwise(F.col("expected")),
+            "dataset_manifest_sha256": F.when(n % 61 == 0, split).when(n % 67 != 0, manifest),
+            "dataset_split_sha256": F.when(n % 71 != 0, split),
+            "training_dataset_sha256": F.when(
+                n % 5 == 0, F.create_map(F.lit("test"), F.when(n % 73 == 0, manifest).otherwise(split))
+            ),
+        }
+    )
+    made = made.unionByName(made.where(n % 79 == 0).withColumn("id", F.concat(F.lit("NEW-"), "id")))
+    made = made.unionByName(made.where(n % 83 == 0))
+    known = {name: hashlib.sha256(name.encode()).hexdigest() for name in ("manifest", "test")}
+    found = comparing.heldout_problems(made, rows, known["manifest"], known["test"])
+    return found.groupBy("problem").agg(F.count(F.lit(1)).alias("cases"), F.min("id").alias("first_id"))
+
+
 def parity_mismatches(spark: SparkSession, folder: str) -> DataFrame:
     return parity.mismatches(_parity_pairs(spark, folder))
 
@@ -288,6 +333,8 @@ QUERIES = {
     "cohort_problems": cohort_problems,
     "parity_metrics": parity_metrics,
     "parity_gates": parity_gates,
+    "parity_guards": parity_guards,
+    "heldout_binding": heldout_binding,
     "parity_mismatches": parity_mismatches,
     "recompute_audit": recompute_audit,
     "summary_audit": summary_audit,
@@ -412,6 +459,42 @@ SELECT problem, count(*) AS cases, min(id) AS first_id FROM f GROUP BY 1""",
     "parity_gates": f"""WITH {_PAIRS}, g AS ({' UNION ALL '.join(
         f"SELECT '{m}' AS metric, avg({_PARITY[m]}::INT) AS value FROM pairs" for m in fv.PARITY_GATES)})
 SELECT metric, round(value, 9) AS value, 1.0::DOUBLE AS required, value = 1.0 AS passed FROM g""",
+    "parity_guards": """
+WITH a AS (SELECT doc_id AS n, printf('DOC-%08d', doc_id) AS id FROM documents),
+m AS (SELECT n, CASE WHEN n % 41 = 0 THEN '' ELSE id END AS id, n % 31 = 0 AS broken,
+  CASE WHEN n % 37 = 0 THEN NULL WHEN n % 43 = 0 THEN 'r2' ELSE 'r1' END AS revision FROM a),
+whole AS (SELECT * FROM m WHERE NOT broken),
+seen AS (SELECT id, min(n) AS n, count(*) AS copies FROM whole GROUP BY id),
+first AS (SELECT seen.id, whole.revision, copies, seen.n FROM seen JOIN whole ON seen.id = whole.id AND seen.n = whole.n),
+f AS (SELECT 'merged: not an object' AS problem, id FROM m WHERE broken
+  UNION ALL SELECT 'merged: id empty', id FROM m WHERE id = '' AND NOT broken
+  UNION ALL SELECT 'merged: id repeated', id FROM m GROUP BY id HAVING count(*) > 1
+  UNION ALL SELECT 'merged: model_revision absent', NULL WHERE EXISTS (SELECT 1 FROM m WHERE revision IS NULL)
+  UNION ALL SELECT 'adapter: dataset_split_sha256 absent', NULL WHERE EXISTS (SELECT 1 FROM a)
+  UNION ALL SELECT 'missing from candidate', id FROM a WHERE id NOT IN (SELECT id FROM first)
+  UNION ALL SELECT 'missing from baseline', id FROM first WHERE id = ''
+  UNION ALL SELECT 'repeated in candidate', id FROM first WHERE copies > 1
+  UNION ALL SELECT 'model_revision differs', id FROM first WHERE id <> '' AND revision IS DISTINCT FROM 'r1'
+  UNION ALL SELECT 'dataset_split_sha256 differs', id FROM first WHERE id <> '')
+SELECT problem, count(*) AS cases, min(id) AS first_id FROM f GROUP BY 1""",
+    "heldout_binding": """
+WITH h AS (SELECT doc_id AS n, printf('DOC-%08d', doc_id) AS id FROM documents),
+p0 AS (SELECT n, id, n % 47 = 0 AS moved, n % 59 = 0 AS changed, n % 61 = 0 OR n % 67 = 0 AS other_manifest,
+  n % 71 = 0 AS other_split, n % 5 = 0 AND n % 73 = 0 AS other_training FROM h WHERE n % 53 <> 0),
+p1 AS (SELECT * FROM p0 UNION ALL SELECT * REPLACE ('NEW-' || id AS id) FROM p0 WHERE CASE WHEN moved THEN n + 1 ELSE n END % 79 = 0),
+-- rows are moved before they are copied, so the places decide
+p AS (SELECT *, CASE WHEN moved THEN n + 1 ELSE n END AS place FROM p1),
+p2 AS (SELECT * FROM p UNION ALL SELECT * FROM p WHERE place % 83 = 0),
+one AS (SELECT id, any_value(moved) AS moved, any_value(changed) AS changed, count(*) AS copies FROM p2 GROUP BY id),
+f AS (SELECT 'missing from predictions' AS problem, id FROM h WHERE id NOT IN (SELECT id FROM one)
+  UNION ALL SELECT 'missing from held-out rows', id FROM one WHERE id LIKE 'NEW-%'
+  UNION ALL SELECT 'position differs', id FROM one WHERE moved AND id NOT LIKE 'NEW-%'
+  UNION ALL SELECT 'expected output differs', id FROM one WHERE changed AND id NOT LIKE 'NEW-%'
+  UNION ALL SELECT 'repeated in predictions', id FROM one WHERE copies > 1
+  UNION ALL SELECT 'manifest digest differs', id FROM p2 WHERE other_manifest
+  UNION ALL SELECT 'split digest differs', id FROM p2 WHERE other_split
+  UNION ALL SELECT 'training test digest differs', id FROM p2 WHERE other_training)
+SELECT problem, count(*) AS cases, min(id) AS first_id FROM f GROUP BY 1""",
     "parity_mismatches": f"""WITH {_PAIRS}
 {' UNION ALL '.join(f"SELECT '{k}' AS kind, id, position FROM pairs WHERE {c}" for k, c in _KINDS.items())}""",
     "recompute_audit": f"""WITH {_BASE}

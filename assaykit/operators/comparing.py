@@ -69,6 +69,35 @@ def cohort_problems(
     )
 
 
+def heldout_problems(
+    predictions: DataFrame, heldout: DataFrame, manifest_sha256: str, split_sha256: str
+) -> DataFrame:
+    """(problem, id): where predictions are not bound to the verified held-out rows; J5.
+
+    Both have id, position and expected. Every prediction has to name the manifest and the split,
+    and where it names the digests its model was trained with, the same test split. A column that
+    the predictions lack counts as a value they lack.
+    """
+    lineage = {
+        "dataset_manifest_sha256": "string", "dataset_split_sha256": "string",
+        "training_dataset_sha256": "map<string,string>",
+    }
+    lacking = {c: F.lit(None).cast(t) for c, t in lineage.items() if c not in predictions.columns}
+    rows = predictions.withColumns(lacking)
+    trained = F.col("training_dataset_sha256")
+    wrong = [
+        ("manifest digest differs", ~F.col("dataset_manifest_sha256").eqNullSafe(F.lit(manifest_sha256))),
+        ("split digest differs", ~F.col("dataset_split_sha256").eqNullSafe(F.lit(split_sha256))),
+        ("training test digest differs",
+         (F.size(trained) > 0) & ~F.element_at(trained, "test").eqNullSafe(F.lit(split_sha256))),
+    ]
+    named = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in wrong]))
+    own = rows.select(F.explode(named).alias("problem"), "id")
+    renamed = F.regexp_replace(F.regexp_replace("problem", "candidate", "predictions"), "baseline", "held-out rows")
+    both = cohort_problems(predictions, heldout, expected=["expected"])
+    return both.select(renamed.alias("problem"), "id").unionByName(own)
+
+
 def provenance_problems(
     candidate: DataFrame,
     baseline: DataFrame,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ class Parity:
     problems: DataFrame
 
 
-#: Columns in which both prediction sets have to agree where both carry them.
+#: Columns in which both prediction sets have to agree as soon as one of them carries them.
 COHORT_IDENTITY = (
     "model_name_or_path",
     "model_revision",
@@ -78,20 +79,49 @@ COHORT_IDENTITY = (
 )
 
 
+def parity_problems(adapter: DataFrame, merged: DataFrame) -> DataFrame:
+    """(problem, id): why two prediction sets may not be compared; no rows if they may.
+
+    Of each set: unusable lines, empty and repeated ids, no rows. Of both: ids missing on a side,
+    another position or expected output, and lineage that differs or that a side lacks, be it the
+    column or its value.
+    """
+    sides = {"adapter": adapter, "merged": merged}
+    lineage = [c for c in COHORT_IDENTITY if any(c in side.columns for side in sides.values())]
+    found, usable = [], {}
+    for name, side in sides.items():
+        own = prediction_problems(side)
+        found.append(own.select(F.concat(F.lit(f"{name}: "), "problem").alias("problem"), "id"))
+        lacking = [c for c in lineage if c not in side.columns]
+        side = side.withColumns({c: F.lit(None).cast("string") for c in lacking})
+        if lineage:
+            absent = side.agg(
+                *[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(c) for c in lineage]
+            ).unpivot([], lineage, "column", "absent")
+            problem = F.concat(F.lit(f"{name}: "), "column", F.lit(" absent")).alias("problem")
+            found.append(absent.where("absent").select(problem, F.lit(None).cast("string").alias("id")))
+        if "problem" in side.columns:
+            side = side.where(F.col("problem").isNull())
+        usable[name] = side
+    expected = [c for c in ("expected",) if all(c in side.columns for side in sides.values())]
+    found.append(
+        comparing.cohort_problems(usable["merged"], usable["adapter"], expected=expected, identity=lineage)
+    )
+    return reduce(DataFrame.unionByName, found)
+
+
 def parity(adapter: DataFrame, merged: DataFrame) -> Parity:
     """Compare two prediction sets of one ordered cohort.
 
-    ``problems`` lists ids that are missing on a side or repeated and rows whose position,
-    expected output or lineage differs. While there are any no gate is passed.
+    ``problems`` are those of ``parity_problems``. While there are any no gate is passed. Unusable
+    lines are not compared.
     """
-    shared = set(adapter.columns) & set(merged.columns)
-    problems = comparing.cohort_problems(
-        merged,
-        adapter,
-        expected=[c for c in ("expected",) if c in shared],
-        identity=[c for c in COHORT_IDENTITY if c in shared],
-    )
-    pairs = par.pair_predictions(adapter, merged)
+    problems = parity_problems(adapter, merged)
+    sides = [
+        side.where(F.col("problem").isNull()) if "problem" in side.columns else side
+        for side in (adapter, merged)
+    ]
+    pairs = par.pair_predictions(*sides)
     metrics = par.parity_metrics(pairs)
     decisions = _guarded(par.parity_decisions(metrics), problems)
     return Parity(metrics, par.mismatches(pairs), decisions, problems)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assaykit import fixed_values as fv
 from assaykit import schemas
 from assaykit.functions.digests import tree_digest
-from assaykit.operators import audits, distributions, rules
+from assaykit.operators import audits, comparing, distributions, rules
 from assaykit.plans import corpus, evaluation
 from assaykit.sources import documents, grid, inventory, jsonl, sinks
 from assaykit.streaming import closing, feed
@@ -260,3 +260,45 @@ def test_digest_has_one_root_above_the_level_count(spark):
     many = tree_digest(rows, ["g"], "p", line, fan_out=4, levels=5)
     assert few.count() == 2 and {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()}
     assert [r["lines"] for r in few.collect()] == [550, 550]
+
+
+def test_parity_refuses_unusable_rows_and_absent_lineage(spark):
+    adapter = predictions(spark, range(20)).withColumn("model_revision", F.lit("a"))
+    nothing = adapter.limit(0)
+    bad = adapter.withColumn("problem", F.when(F.col("id") == "3", "not an object"))
+    empty_id = adapter.withColumn("id", F.when(F.col("id") == "3", "").otherwise(F.col("id")))
+    null_revision = adapter.withColumn("model_revision", F.when(F.col("id") != "3", "a"))
+    for one, other, problem in (
+        (adapter, bad, "merged: not an object"),
+        (bad, adapter, "adapter: not an object"),
+        (adapter, empty_id, "merged: id empty"),
+        (nothing, nothing, "adapter: no rows"),
+        (adapter, adapter.drop("model_revision"), "merged: model_revision absent"),
+        (null_revision, null_revision, "adapter: model_revision absent"),
+    ):
+        done = evaluation.parity(one, other)
+        assert problem in {r["problem"] for r in done.problems.collect()}, problem
+        assert not any(r["passed"] for r in done.decisions.collect()), problem
+    done = evaluation.parity(adapter, adapter)
+    assert done.problems.count() == 0 and all(r["passed"] for r in done.decisions.collect())
+
+
+def test_predictions_are_bound_to_held_out_rows(spark):
+    rows = predictions(spark, range(10))
+    bound = rows.withColumns(
+        {"dataset_manifest_sha256": F.lit("m"), "dataset_split_sha256": F.lit("s"),
+         "training_dataset_sha256": F.create_map(F.lit("test"), F.lit("s"))}
+    )
+    assert comparing.heldout_problems(bound, rows, "m", "s").count() == 0
+    other = F.create_map(F.lit("test"), F.lit("x"))
+    for made, problem in (
+        (rows, "manifest digest differs"),
+        (bound.drop("dataset_split_sha256"), "split digest differs"),
+        (bound.withColumn("training_dataset_sha256", other), "training test digest differs"),
+        (bound.where("id <> '4'"), "missing from predictions"),
+        (bound.unionByName(bound.where("id = '4'")), "repeated in predictions"),
+        (bound.withColumn("position", F.col("position") + 1), "position differs"),
+    ):
+        assert problem in {r["problem"] for r in comparing.heldout_problems(made, rows, "m", "s").collect()}
+    no_training = bound.withColumn("training_dataset_sha256", F.lit(None).cast("map<string,string>"))
+    assert comparing.heldout_problems(no_training, rows, "m", "s").count() == 0
