@@ -182,7 +182,7 @@ def prepared_lines(spark: SparkSession, folder: str) -> DataFrame:
         "id",
         F.size("prompt").alias("prompt_messages"),
         F.size("completion").alias("completion_messages"),
-        F.sha2(F.regexp_replace(line, r"\\.", "?"), 256).alias("line_sha256"),
+        F.sha2(line, 256).alias("line_sha256"),
     )
 
 
@@ -461,7 +461,7 @@ r AS (SELECT printf('DOC-%08d', doc_id) AS id, text, '{d.SYSTEM_TEXT}' AS sys,
   || '","response":"We look into record ' || doc_id || ' and reply.","sentiment":"' || sentiment || '"}}' AS answer
   FROM tickets)
 SELECT id, 2 AS prompt_messages, 1 AS completion_messages,
-  sha256(regexp_replace({_json_text(_PREPARED_SQL)}, '\\.', '?', 'g')) AS line_sha256 FROM r""",
+  sha256({_json_text(_PREPARED_SQL)}) AS line_sha256 FROM r""",
     "length_budget": r"""
 WITH a AS (SELECT conv_id, max(turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
 w AS (SELECT c.conv_id, turn = answer AS done, len(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS n

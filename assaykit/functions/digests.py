@@ -10,10 +10,23 @@ from pyspark.sql import functions as F
 FAN_OUT = 4096
 
 
+def lower_escapes(json: Column) -> Column:
+    """JSON text with control characters written as \\u001f, as canonical bytes want them.
+
+    ``to_json`` writes \\u001F. A backslash that stands for itself is written twice; such pairs are
+    set aside first, as a character that JSON text cannot hold, so that what follows them stays.
+    """
+    aside = F.replace(json, F.lit("\\\\"), F.lit("\x01"))
+    for code in (0x0B, *range(0x0E, 0x10), *range(0x1A, 0x20)):
+        aside = F.replace(aside, F.lit(f"\\u{code:04X}"), F.lit(f"\\u{code:04x}"))
+    lowered = F.replace(aside, F.lit("\x01"), F.lit("\\\\"))
+    return F.when(F.contains(json, F.lit("\\u00")), lowered).otherwise(json)
+
+
 def canonical_json(fields: dict[str, Column]) -> Column:
     """Compact JSON object with sorted keys; nulls are kept, text is not escaped to ASCII."""
     ordered = [fields[name].alias(name) for name in sorted(fields)]
-    return F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})
+    return lower_escapes(F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"}))
 
 
 def canonical_digest(fields: dict[str, Column]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assaykit.functions.digests import lower_escapes
 from assaykit.functions.text import strip_field
 from assaykit.operators.duplicates import lookup_by_group
 
@@ -36,7 +37,7 @@ def prepared_json(row: dict[str, Column] | None = None) -> Column:
         )
 
     expected, provenance = column("expected"), column("provenance")
-    return F.to_json(
+    line = F.to_json(
         F.struct(
             messages("completion").alias("completion"),
             F.struct(
@@ -57,6 +58,7 @@ def prepared_json(row: dict[str, Column] | None = None) -> Column:
         ),
         {"ignoreNullFields": "false"},
     )
+    return lower_escapes(line)
 
 
 def conversation_shape(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on small frames, including skewed ones."""
 
+import json
 import math
 import random
 
@@ -136,6 +137,13 @@ def test_tree_digest_depends_on_content_and_order_only(spark):
     assert one == seven and one["lines"] == 500 and other["digest"] != one["digest"]
 
 
+def test_canonical_json_writes_control_characters_in_lower_case(spark):
+    texts = ["".join(map(chr, range(32))), "\\u000B", "\x0b\x0b\\\x1f", "\\\\u001F\x1f", "a\x7f/é\"\u2028", "\\", ""]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["j"] for r in frame.select(canonical_json({"t": F.col("t")}).alias("j")).collect()]
+    assert got == [json.dumps({"t": t}, ensure_ascii=False, separators=(",", ":")) for t in texts]
+
+
 def test_canonical_json_sorts_and_keeps_nulls(spark):
     row = spark.range(1).select(canonical_json({"b": F.lit("é/x"), "a": F.lit(None).cast("string")}).alias("j")).first()
     assert row["j"] == '{"a":null,"b":"é/x"}'
