@@ -10,9 +10,10 @@ No bucket of a band is expanded into all pairs. Documents with equal sets are on
 start. Then every bucket links its members to one pivot, components are contracted, and buckets
 that still hold several components get another pivot. After ``ROUNDS`` rounds the members of
 different components that are left are compared: small buckets pair by pair, large ones in blocks
-of full sets, from which only confirmed links come out. So each pair of a bucket is either in one
-component already or compared. The work of that last step grows with the members outside a
-bucket's largest component times its members; its output is links only.
+of full sets, from which only confirmed links come out; large buckets with common members are put
+together first where that saves work. So each pair of a bucket is either in one component already
+or compared. The work of that last step grows with the members outside the largest component times
+the members; its output is links only.
 
 Defined results: null or empty texts have an empty set and link with nothing; a text of fewer words
 than a shingle is one shingle; equal rows are one class; rows that share a doc_id are one document;
@@ -200,7 +201,7 @@ def _rest_small(live: DataFrame) -> DataFrame:
 
 
 def _rest_large(
-    live: DataFrame, documents: DataFrame, words: int, percent: int, least: float,
+    large: DataFrame, documents: DataFrame, words: int, percent: int, least: float,
     id_col: str, text_col: str,
 ) -> DataFrame:
     """Links (a, b) between different components of large buckets, block against block.
@@ -209,7 +210,6 @@ def _rest_large(
     so only confirmed links come out. Of two components at least one is not the block's largest, so
     the members of the others are held against all.
     """
-    large = live.where(F.col("members") > SMALL_BUCKET).select("band", "class_id", "component")
     needed = durable(large.select(F.col("class_id").alias("id")).distinct())
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(small_side(needed), "id", "left_semi")
@@ -221,16 +221,16 @@ def _rest_large(
             yield pd.DataFrame({"class_id": batch["id"], "shingles": found})
 
     found = durable(texts.mapInPandas(sets, "class_id long, shingles binary"))
-    sized = found.select("class_id", F.octet_length("shingles").alias("bytes"))
-    weights = large.join(sized, "class_id").groupBy("band").agg(F.sum("bytes").alias("bytes"))
-    blocks = F.ceil(F.col("bytes") / (8 * BLOCK)).cast("int")
-    large = large.join(weights.select("band", F.greatest(blocks, F.lit(1)).alias("blocks")), "band")
+    units = _units(large, found.select("class_id", F.octet_length("shingles").alias("bytes")))
+    weights = units.groupBy("unit").agg(F.sum("bytes").alias("all_bytes"))
+    blocks = F.greatest(F.ceil(F.col("all_bytes") / (8 * BLOCK)).cast("int"), F.lit(1))
+    units = units.join(weights.select("unit", blocks.alias("blocks")), "unit")
     own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
-    large = large.withColumn("own", own).withColumn(
+    units = units.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
-    large = large.select(
-        "band", "class_id", "component", "own",
+    units = units.select(
+        "unit", "class_id", "component", "own",
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
     ).join(found, "class_id")
 
@@ -242,7 +242,36 @@ def _rest_large(
             found.update(left.links(right, percent, least))
         return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
-    return large.groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    return units.groupBy("unit", "i", "j").applyInPandas(run, "a long, b long").distinct()
+
+
+def _units(large: DataFrame, sized: DataFrame) -> DataFrame:
+    """(unit, class_id, component, bytes): members to be compared with each other, each once.
+
+    Near copies meet in many bands, so their buckets overlap. Buckets that share members form a
+    cluster, and a cluster is compared once in place of its buckets if that holds fewer sets against
+    each other; else each bucket is a unit. Either way every pair of a bucket meets.
+    """
+    rows = durable(large.join(sized, "class_id"))
+    lows = rows.groupBy("band").agg(F.min("class_id").alias("a"), F.sum("bytes").alias("in_band"))
+    edges = rows.join(lows.select("band", "a"), "band").select("a", F.col("class_id").alias("b"))
+    clusters = attach(rows.withColumnRenamed("component", "c"), connect(edges), "class_id")
+    clusters = clusters.withColumnRenamed("component", "cluster")
+    once = clusters.select("cluster", "class_id", "c", "bytes").distinct()
+    work = clusters.select("band", "cluster").distinct().join(lows, "band").groupBy("cluster")
+    work = work.agg(F.sum(F.col("in_band").cast("double") ** 2).alias("apart"))
+    joint = once.groupBy("cluster").agg((F.sum("bytes").cast("double") ** 2).alias("joint"))
+    fused = durable(work.join(joint, "cluster").where("joint <= apart").select("cluster"))
+    whole = once.join(fused, "cluster").select(
+        F.col("cluster").alias("unit"), "class_id", F.col("c").alias("component"), "bytes"
+    )
+    parts = clusters.join(fused, "cluster", "left_anti").select(
+        F.col("band").alias("unit"), "class_id", F.col("c").alias("component"), "bytes"
+    )
+    # a cluster's id is a class's, a band's is a hash: they must not meet as one unit
+    named = F.struct(F.lit(True).alias("fused"), "unit")
+    whole = whole.withColumn("unit", named)
+    return whole.union(parts.withColumn("unit", F.struct(F.lit(False).alias("fused"), "unit")))
 
 
 class Block:
@@ -275,6 +304,8 @@ class Block:
         )
         for k in np.flatnonzero(self.components != names[counts.argmax()]):
             apart = other.components != self.components[k]
+            small, large = np.minimum(self.sizes[k], other.sizes), np.maximum(self.sizes[k], other.sizes)
+            apart &= 100 * small >= percent * large
             near = estimate(other.signatures, self.signatures[k]) >= least
             if not (apart & near).any():
                 continue
@@ -303,28 +334,48 @@ def near_duplicates(
     least = percent / 100 - MARGIN
     bands = reps.select(F.explode("bands").alias("band"), "class_id")
     sizes = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    shared = durable(bands.join(sizes, "band").distinct())
+    shared = durable(bands.join(sizes, "band").select("band", "class_id", "members").distinct())
     labels = None  # class_id, component: only of classes that have a link
     tested = None
 
-    def confirm(pairs: DataFrame) -> bool:
-        """Test pairs not tested before; extend the components by those confirmed."""
+    def confirm(pairs: DataFrame, nearest: bool) -> bool:
+        """Test pairs not tested before; extend the components by those confirmed.
+
+        With ``nearest`` the pair of every class with its smallest partner comes first: it joins
+        most near copies to their group, and pairs within a component need no test.
+        """
         nonlocal labels, tested
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = durable(_estimated(pairs, reps, least))
         if pairs.isEmpty():
             return False
-        links = _confirmed(pairs, documents, words, percent, id_col, text_col)
         tested = pairs if tested is None else durable(tested.union(pairs))
-        if not links.isEmpty():
-            labels = connect(links, labels)
+        waves = [pairs]
+        if nearest:
+            first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+            waves = [first, pairs.join(first, ["a", "b"], "left_anti")]
+        for number, wave in enumerate(waves):
+            if number:
+                ends = attach(attach(wave, labels, "a").withColumnRenamed("component", "ca"), labels, "b")
+                wave = durable(ends.where("ca <> component").select("a", "b"))
+                if wave.isEmpty():
+                    break
+            links = _confirmed(wave, documents, words, percent, id_col, text_col)
+            if not links.isEmpty():
+                labels = connect(links, labels)
         return True
 
     for turn in range(ROUNDS):
         live = attach(shared, labels, "class_id")
-        if turn:  # buckets of two were decided by their pivot
+        if turn:  # buckets of two were decided by their pivot, those of one component for good
             live = live.where("members > 2")
+            mixed = live.groupBy("band").agg(
+                F.min("component").alias("low"), F.max("component").alias("high")
+            )
+            live = live.join(mixed.where("low <> high").select("band"), "band", "left_semi")
+            shared = durable(live.select("band", "class_id", "members"))
+            live = attach(shared, labels, "class_id")
         place = F.xxhash64("class_id", F.lit(turn)) if turn else F.col("class_id")
         pivots = live.groupBy("band").agg(
             F.min_by("class_id", place).alias("pivot"),
@@ -337,16 +388,19 @@ def near_duplicates(
         pairs = pairs.select(
             F.least("pivot", "class_id").alias("a"), F.greatest("pivot", "class_id").alias("b")
         )
-        if not confirm(pairs.distinct()):
+        if not confirm(pairs.distinct(), turn == 0):
             break
     live = attach(shared, labels, "class_id").where("members > 2")
     mixed = live.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     live = durable(live.join(mixed.where("low <> high").select("band"), "band", "left_semi"))
+    large = live.where(F.col("members") > SMALL_BUCKET).select("band", "class_id", "component")
+    links = None
+    if not large.isEmpty():
+        links = durable(_rest_large(large, documents, words, percent, least, id_col, text_col))
     if not live.isEmpty():
-        links = durable(_rest_large(live, documents, words, percent, least, id_col, text_col))
-        confirm(_rest_small(live))
-        if not links.isEmpty():
-            labels = connect(links, labels)
+        confirm(_rest_small(live), False)
+    if links is not None and not links.isEmpty():
+        labels = connect(links, labels)
 
     result = every.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     result = attach(result, labels, "class_id")
