@@ -287,9 +287,9 @@ drawn AS (SELECT *, row_number() OVER (PARTITION BY stratum, mode, v ORDER BY ro
 def _sql_holdout(split: str, rows: str) -> str:
     """CTEs ``<split>_base``..``<split>_held``: the holdout chosen stratum by stratum.
 
-    Every candidate is drawn row by row, and ties are decided by the whole list of digests. For
-    strata of more than 128 subsets, as all of these tables are; that the choice keeps all labels
-    is checked at the end (else another search would follow).
+    Every candidate is drawn row by row, strata of at most 128 subsets have all of them, and ties
+    are decided by the whole list of digests. That the choice keeps all labels is checked at the
+    end (else another search would follow).
     """
     x, first, second = split, len(fv.PRIORITIES), len(fv.SENTIMENTS)
     strata = sorted(fv.CATEGORIES)
@@ -321,9 +321,19 @@ def _sql_holdout(split: str, rows: str) -> str:
   sha256('42:{split}:' || stratum || ':bounded:' || mode || ':' || v || ':' || bucket) AS bucket_key FROM {x}_seated),
 {x}_drawn AS (SELECT *, row_number() OVER (PARTITION BY stratum, mode, v ORDER BY round, bucket_key) AS k
   FROM {x}_turned),
+{x}_sizes AS (SELECT stratum, any_value({split}) AS k, count(*) AS n, least(any_value({split}), count(*) - any_value({split})) AS e
+  FROM {x}_base JOIN counts USING (stratum) GROUP BY stratum),
+{x}_few AS (SELECT * FROM {x}_sizes WHERE (e = 1 AND n <= 128) OR (e = 2 AND n <= 16) OR (e = 3 AND n <= 10) OR (e = 4 AND n <= 9)),
+{x}_subsets AS (SELECT stratum, k, CAST([] AS BIGINT[]) AS chosen, 0::BIGINT AS last FROM {x}_few
+  UNION ALL SELECT o.stratum, o.k, list_append(o.chosen, b.idx), b.idx FROM {x}_subsets o JOIN {x}_base b
+    ON b.stratum = o.stratum AND b.idx > o.last WHERE len(o.chosen) < o.k),
+{x}_numbered AS (SELECT stratum, row_number() OVER () AS candidate, chosen FROM {x}_subsets WHERE len(chosen) = k),
 {x}_picked AS (SELECT stratum, 1 + mi * 32 + v AS candidate, id, idx, p, s FROM {x}_drawn JOIN counts USING (stratum)
-  WHERE k <= {split}
-  UNION ALL SELECT stratum, 0, id, idx, p, s FROM {x}_base JOIN counts USING (stratum) WHERE idx <= {split}),
+  WHERE k <= {split} AND stratum NOT IN (SELECT stratum FROM {x}_few)
+  UNION ALL SELECT stratum, 0, id, idx, p, s FROM {x}_base JOIN counts USING (stratum)
+  WHERE idx <= {split} AND stratum NOT IN (SELECT stratum FROM {x}_few)
+  UNION ALL SELECT b.stratum, candidate, id, idx, p, s FROM {x}_numbered m JOIN {x}_base b
+    ON b.stratum = m.stratum AND list_contains(chosen, idx)),
 {x}_slots AS (SELECT *, row_number() OVER (PARTITION BY stratum, candidate ORDER BY idx) - 1 AS slot FROM {x}_picked),
 {x}_cand AS (SELECT stratum, candidate, {counts("p", first)} AS f, {counts("s", second)} AS s,
   list(sha256('42:{split}:' || stratum || ':choice:' || slot || ':' || id) ORDER BY slot) AS tie
@@ -349,7 +359,7 @@ balanced AS (SELECT id, stratum, CASE WHEN id IN (SELECT id FROM validation_held
   WHEN id IN (SELECT id FROM test_held) THEN 'test' ELSE 'train' END AS split FROM source_rows)"""
 
 ORACLES = {
-    "split_balanced": f"""WITH {_BALANCED}
+    "split_balanced": f"""WITH RECURSIVE {_BALANCED}
 SELECT id, split, row_number() OVER (PARTITION BY split ORDER BY sha256('42:split:' || split || ':' || id)) - 1 AS position
 FROM balanced""",
     "label_distribution": """
