@@ -1,8 +1,11 @@
 """How far the sources of a language differ in their use of words, in whole numbers.
 
+The texts are brought once into a plain form (lower-cased terms with a space between, documents of a
+source in a task run together), so that no regular expression is left to the passes that follow.
 Per language a CountVectorizer with a minimum document frequency and the largest integer as
-vocabulary size turns documents into exact sparse count vectors. Each task adds the vectors up by
-source, as Summarizer does for one group, and the sums of the tasks are added by Spark. Sources are
+vocabulary size is fitted on the documents and turns the joined texts into exact sparse count
+vectors. Each task adds the vectors up by source, as Summarizer does for one group, and the sums of
+the tasks are added by Spark. Sources are
 compared from the sparse sums: a term that one of two sources lacks needs only the count of the
 other and a constant, so histograms of the counts do; terms that both have are paired within blocks
 of terms.
@@ -40,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaykit.llm.tables import new_folder, written
-from assaykit.session import durable
+from assaykit.session import durable, small_batches
 
 SCALE = 10**9
 MOST_TERMS = 2**31 - 1
@@ -52,9 +55,15 @@ SUMS = 1 << 24
 CHUNK = 1 << 14
 #: Entries (term, source) compared in one block.
 BLOCK = 100_000
+#: Bytes of documents that are run together; a longer document stays as it is.
+JOINED = 1 << 16
 #: Fixed value: characters between terms.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The same on UTF-8, where all bytes of other characters are 0x80 or more.
+_PLAIN = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
+#: Stands between documents; no term holds a line feed.
+_END = b" \n "
 
 
 def terms_of(text: Column) -> Column:
@@ -69,6 +78,51 @@ def terms_of(text: Column) -> Column:
     return F.split(lowered, BETWEEN)
 
 
+def joined(documents: DataFrame) -> DataFrame:
+    """(lang, source, text) with the terms of every text, a space between them.
+
+    Documents of one group that a task meets are run together with a line feed between them, as
+    long as they have at most ``JOINED`` bytes; those without terms are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[tuple, list[bytes]] = {}
+        sizes: dict[tuple, int] = {}
+        held = 0
+
+        def out(keys: list[tuple]) -> pa.RecordBatch:
+            langs, sources = zip(*keys, strict=True)
+            texts = [_END.join(waiting.pop(key)) for key in keys]
+            for key in keys:
+                del sizes[key]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(texts, pa.binary())],
+                ["lang", "source", "text"],
+            )
+
+        for batch in batches:
+            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = text.translate(_PLAIN).split()
+                if not words:
+                    continue
+                key, plain = (lang, source), b" ".join(words)
+                waiting.setdefault(key, []).append(plain)
+                sizes[key] = sizes.get(key, 0) + len(plain)
+                held += len(plain)
+                if sizes[key] >= JOINED:
+                    held -= sizes[key]
+                    yield out([key])
+            if held >= 64 * JOINED:  # many groups with little text each
+                held = 0
+                yield out(list(waiting))
+        if waiting:
+            yield out(list(waiting))
+
+    rows = documents.select("lang", "source", F.col("text").cast("binary").alias("text"))
+    plain = rows.mapInArrow(run, "lang string, source string, text binary")
+    return plain.withColumn("text", F.col("text").cast("string"))
+
+
 def dealt(rows: DataFrame, units: int) -> DataFrame:
     """(source, tokens, unit): one row per document and unit that has tokens of it."""
 
@@ -180,14 +234,17 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows(sums.out())
 
 
-def group_sums(rows: DataFrame, least: int) -> tuple[DataFrame, int]:
-    """(source, term, count) of the kept terms of (source, tokens), counts above 0; how many terms."""
+def group_sums(rows: DataFrame, documents: DataFrame, least: int) -> tuple[DataFrame, int]:
+    """(source, term, count) of the kept terms of (source, tokens), counts above 0; how many terms.
+
+    ``documents`` has the tokens of one document in a row, ``rows`` those of any number of them.
+    """
     spark = rows.sparkSession
     vectorizer = CountVectorizer(
         inputCol="tokens", outputCol="counts", minDF=float(least), vocabSize=MOST_TERMS
     )
     # which terms are kept depends on the documents that hold them, not on how often
-    model = vectorizer.fit(rows.select(F.array_distinct("tokens").alias("tokens")))
+    model = vectorizer.fit(documents.select(F.array_distinct("tokens").alias("tokens")))
     folder = new_folder(spark, "vocabulary")
     model.write().save(folder)
     stored = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "term"))
@@ -206,18 +263,24 @@ def all_sums(
 ) -> tuple[DataFrame, dict[str, int]]:
     """(lang, source, term, count) of (lang, source, text), and the kept terms of each language."""
     spark, parts, kept = documents.sparkSession, [], dict.fromkeys(sizes, 0)
-    if len(sizes) > 1:  # each language is read twice, the whole table only once
-        documents = written(documents.withColumn("code", F.sha2("lang", 256)), "by-language", ["code"])
+    plain = joined(documents).withColumn("code", F.sha2("lang", 256))
+    # each language is read twice; a reader may hold a row group at once
+    plain = written(plain, "by-language", ["code"], {"parquet.block.size": 16 << 20})
     for lang, size in sorted(sizes.items()):
-        rows = documents.where(F.col("lang") == lang)
-        if len(sizes) > 1:
-            rows = rows.where(F.col("code") == hashlib.sha256(lang.encode()).hexdigest())
-        rows = rows.select("source", terms_of(F.col("text")).alias("tokens"))
+        mine = F.col("code") == hashlib.sha256(lang.encode()).hexdigest()
+        rows = plain.where(mine & (F.col("lang") == lang))
+        single = rows.select("source", F.explode(F.split("text", _END.decode())).alias("text"))
+        # the pattern of one character is no regular expression to Java
+        rows, single = (r.select("source", F.split("text", " ").alias("tokens")) for r in (rows, single))
         units = -(-size // unit_bytes)
         if units > 1:
-            rows = written(dealt(rows, units), "terms-by-unit", ["unit"])
+            rows = written(dealt(single, units), "terms-by-unit", ["unit"])
         for unit in range(max(units, 1)):
-            found, n = group_sums(rows.where(F.col("unit") == unit) if units > 1 else rows, least)
+            if units > 1:
+                one = rows.where(F.col("unit") == unit)
+                found, n = group_sums(one, one, least)
+            else:
+                found, n = group_sums(rows, single, least)
             parts.append(found.select(F.lit(lang).alias("lang"), "*"))
             kept[lang] += n
     empty = spark.createDataFrame([], "lang string, source string, term string, count long")
@@ -337,6 +400,7 @@ def audit(
     ``least`` documents of a language are not kept.
     """
     columns = {"lang": lang_col, "source": source_col, "text": text_col}
+    small_batches(documents.sparkSession)
     rows = documents.select(
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for name, c in columns.items())
     )

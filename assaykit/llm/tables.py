@@ -15,9 +15,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def written(
+    df: DataFrame, name: str, by: list[str] | None = None, options: dict[str, int] | None = None
+) -> DataFrame:
     """The rows as a compressed Parquet table; unlike a checkpoint it keeps wide rows small."""
     folder = new_folder(df.sparkSession, name)
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.option("compression", "zstd").options(**(options or {}))
     (writer.partitionBy(*by) if by else writer).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -88,6 +88,22 @@ def test_only_latin_capitals_are_lowered(spark):
         assert [t for t in r["t"] if t] == re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", r["text"].translate(lower))
 
 
+@pytest.mark.parametrize("most", [1 << 16, 40, 1])
+def test_documents_are_run_together_by_group(spark, monkeypatch, most):
+    """A task hands on few long rows, from which every document's terms can be told."""
+    monkeypatch.setattr(divergence, "JOINED", most)
+    lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    rows = [(a or "", b or "", c or "") for a, b, c in corpus(4, 200)]
+    rows += [("en", "s1", "a\nb \n c"), ("en", "s1", "\n \n"), ("de", "s1", "É ß ẞ\x00İI_Σ"), ("de", "s2", "\x7fÀB\x85x")]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    found = divergence.joined(docs).collect()
+    if most == 1 << 16:
+        assert len(found) <= len({r[:2] for r in rows})
+    got = sorted((r["lang"], r["source"], d) for r in found for d in r["text"].split(" \n "))
+    texts = [(a, b, re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", c.translate(lower))) for a, b, c in rows]
+    assert got == sorted((a, b, " ".join(words)) for a, b, words in texts if words)
+
+
 def test_large_counts_stay_exact(spark):
     rows = spark.createDataFrame([(c, 10**12, 7) for c in (0, 9 * 10**9, 10**10, 10**12)], "count long, total long, kept long")
     for r in rows.select("count", divergence._share("count").alias("p")).collect():
