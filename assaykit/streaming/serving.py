@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from assaykit.operators.serving import breaches, load_counts, with_rates
 from assaykit.streaming.closing import END_OF_TIME
 
+#: Samples of a series in one record of the state.
+PACKED = 10_000
+
 
 def windowed_load(outcomes: DataFrame, width: str = "1 minute", delay: str = "2 minutes") -> DataFrame:
     """Load counts, rates and approximate percentiles per tumbling window of ``ts``.
@@ -54,8 +58,8 @@ class SustainedAlerts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # per time: whether any sample did not breach, and whether any did
-        self.waiting = handle.getMapState("waiting", "ts long", "good boolean, bad boolean")
+        # samples packed by batch: one call to the state store for many, which a call for each is not
+        self.waiting = handle.getListState("waiting", "ts binary, bad binary")
         self.run = handle.getValueState("run", "since long, last long, fired boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -63,43 +67,53 @@ class SustainedAlerts(StatefulProcessor):
             return
         first = None
         for frame in rows:
-            for ts, bad in zip(_micros(frame["ts"]), frame["bad"].tolist(), strict=True):
-                good, breach = False, False
-                if self.waiting.containsKey((ts,)):
-                    good, breach = self.waiting.getValue((ts,))
-                self.waiting.updateValue((ts,), (good or not bad, breach or bad))
-                first = ts if first is None else min(first, ts)
+            ts = _micros(frame["ts"])
+            if len(ts):
+                self._wait(ts, frame["bad"].to_numpy(dtype=bool))
+                first = ts.min() if first is None else min(first, ts.min())
         if first is not None:
-            self.handle.registerTimer(_due(first))
+            self.handle.registerTimer(_due(int(first)))
         yield from ()
 
+    def _wait(self, ts: np.ndarray, bad: np.ndarray) -> None:
+        for at in range(0, len(ts), PACKED):
+            part = slice(at, at + PACKED)
+            self.waiting.appendValue((ts[part].astype("<i8").tobytes(), bad[part].tobytes()))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        known = {at[0]: kinds for at, kinds in self.waiting.iterator()}
-        since, last, fired = self.run.get() if self.run.exists() else (None, None, False)
+        parts = list(self.waiting.get())
+        ts = np.frombuffer(b"".join(part[0] for part in parts), dtype="<i8")
+        breach = np.frombuffer(b"".join(part[1] for part in parts), dtype=bool)
+        later = ts > passed
+        left = ts[later]
+        if len(left) < len(ts):
+            self.waiting.clear()
+            self._wait(left, breach[later])
+        ts, breach = ts[~later], breach[~later]
+        order = np.lexsort((breach, ts))  # at equal times those that do not breach first
+        known = self.run.get()
+        since, last, fired = known or (None, None, False)
         found = []
-        for ts in sorted(t for t in known if t <= passed):
-            good, bad = known[ts]
-            self.waiting.removeKey((ts,))
-            if since is not None and (good or self.max_gap is not None and ts - last > self.max_gap):
+        for at, bad in zip(ts[order].tolist(), breach[order].tolist(), strict=True):
+            if since is not None and (not bad or self.max_gap is not None and at - last > self.max_gap):
                 since, fired = None, False
             if bad:
-                since, last = ts if since is None else since, ts
-                if not fired and ts - since >= self.hold:
+                since, last = at if since is None else since, at
+                if not fired and at - since >= self.hold:
                     fired = True
-                    found.append((key[0], since, ts))
-        left = [t for t in known if t > passed]
-        if left:
-            self.handle.registerTimer(_due(min(left)))
+                    found.append((key[0], since, at))
+        if len(left):
+            self.handle.registerTimer(_due(int(left.min())))
         if since is not None and self.max_gap is not None:
             if last + self.max_gap < passed:  # whatever comes is later than the longest pause
                 since = None
-            elif not left:
+            elif not len(left):
                 self.handle.registerTimer(_due(last + self.max_gap + 1))
-        if since is None:
-            self.run.clear()
-        else:
+        if since is not None:
             self.run.update((since, last, fired))
+        elif known is not None:
+            self.run.clear()
         if found:
             frame = pd.DataFrame(found, columns=["series", "start", "fired"])
             for name in ("start", "fired"):
@@ -110,8 +124,8 @@ class SustainedAlerts(StatefulProcessor):
         pass
 
 
-def _micros(times: pd.Series) -> list[int]:
-    return times.astype("datetime64[us]").astype("int64").tolist()
+def _micros(times: pd.Series) -> np.ndarray:
+    return times.to_numpy().astype("datetime64[us]").astype("int64")
 
 
 def _due(ts_us: int) -> int:

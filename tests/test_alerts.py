@@ -3,6 +3,7 @@
 import os
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +148,52 @@ def test_idle_series_leave_no_state(spark, tmp_path):
         assert kept(query) == most, gap
 
 
+def test_calls_to_the_state_store_do_not_grow_with_the_samples(monkeypatch):
+    """A stand-in for the state store counts the calls that one batch of a series takes."""
+    calls, timers = [], []
+
+    class Waiting:
+        rows: list = []
+
+        def __getattr__(self, name):  # a state variable of another kind would be called by other names
+            def call(*args):
+                calls.append(name)
+                if name == "appendValue":
+                    self.rows.append(args[0])
+                elif name == "get":
+                    return iter(list(self.rows))
+                elif name == "clear":
+                    self.rows.clear()
+            return call
+
+    class Handle:
+        def __getattr__(self, name):
+            return (lambda at: timers.append(at)) if name == "registerTimer" else lambda *_: Waiting()
+
+    class Run:
+        def get(self):
+            return None
+
+        def update(self, value):
+            calls.append("update")
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return (START + 1500) * 1000
+
+    times = pd.to_datetime([START + i for i in range(2000)][::-1], unit="s")
+    samples = pd.DataFrame({"ts": times.astype("datetime64[ns]"), "bad": True})
+    processor = stream.SustainedAlerts(60 * 1_000_000, None)
+    processor.init(Handle())
+    processor.run = Run()
+    monkeypatch.setattr(stream, "PACKED", 10_000)
+    assert list(processor.handleInputRows(("s",), iter([samples]), None)) == []
+    assert len(calls) == 1 and timers == [START * 1000]
+    (found,) = processor.handleExpiredTimer(("s",), Times(), None)
+    assert found["fired"].astype("int64").tolist() == [(START + 60) * 1_000_000]
+    assert len(calls) <= 5 and timers[-1] == (START + 1501) * 1000
+
+
 def test_summed_series(spark, tmp_path):
     name, metric, _, limit, hold, summed = next(r for r in fv.ALERT_RULES if r[5])
     assert summed
