@@ -3,8 +3,9 @@
 The texts are brought once into a plain form (lower-cased terms with a space between, documents of a
 source in a task run together), so that no regular expression is left to the passes that follow.
 Per language a CountVectorizer with a minimum document frequency and the largest integer as
-vocabulary size is fitted on the documents and turns the joined texts into exact sparse count
-vectors. Each task adds the vectors up by source, as Summarizer does for one group, and the sums of
+vocabulary size is fitted and turns the joined texts into exact sparse count vectors. Only whether a
+term reaches the minimum matters to the fit, so documents run together stand there as that many rows
+at most: the first has their terms, the next those of two documents or more, and so on. Each task adds the vectors up by source, as Summarizer does for one group, and the sums of
 the tasks are added by Spark. Sources are
 compared from the sparse sums: a term that one of two sources lacks needs only the count of the
 other and a constant, so histograms of the counts do; terms that both have are paired within blocks
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from typing import Any
@@ -78,26 +80,40 @@ def terms_of(text: Column) -> Column:
     return F.split(lowered, BETWEEN)
 
 
-def joined(documents: DataFrame) -> DataFrame:
-    """(lang, source, text) with the terms of every text, a space between them.
+def _layers(spread: Counter, least: int) -> list[bytes]:
+    """Distinct terms of documents, as rows of which min(documents, least) hold a term."""
+    layers, left = [], list(spread)
+    while left and len(layers) < least:
+        layers.append(b" ".join(left))
+        left = [term for term in left if spread[term] > len(layers)]
+    return layers
+
+
+def joined(documents: DataFrame, least: int = 3) -> DataFrame:
+    """(lang, source, text, spread) with the terms of every text, a space between them.
 
     Documents of one group that a task meets are run together with a line feed between them, as
-    long as they have at most ``JOINED`` bytes; those without terms are left out.
+    long as they have at most ``JOINED`` bytes; those without terms are left out. ``spread`` has
+    their distinct terms: a term that is in d of the documents is in min(d, least) of its rows, so
+    over any number of them it reaches ``least`` rows where it reaches ``least`` documents.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[tuple, list[bytes]] = {}
         sizes: dict[tuple, int] = {}
+        spread: dict[tuple, Counter] = {}
         held = 0
 
         def out(keys: list[tuple]) -> pa.RecordBatch:
             langs, sources = zip(*keys, strict=True)
             texts = [_END.join(waiting.pop(key)) for key in keys]
+            layers = [_layers(spread.pop(key), least) for key in keys]
             for key in keys:
                 del sizes[key]
             return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(texts, pa.binary())],
-                ["lang", "source", "text"],
+                [pa.array(langs, pa.string()), pa.array(sources, pa.string()),
+                 pa.array(texts, pa.binary()), pa.array(layers, pa.list_(pa.binary()))],
+                ["lang", "source", "text", "spread"],
             )
 
         for batch in batches:
@@ -107,6 +123,7 @@ def joined(documents: DataFrame) -> DataFrame:
                     continue
                 key, plain = (lang, source), b" ".join(words)
                 waiting.setdefault(key, []).append(plain)
+                spread.setdefault(key, Counter()).update(set(words))
                 sizes[key] = sizes.get(key, 0) + len(plain)
                 held += len(plain)
                 if sizes[key] >= JOINED:
@@ -119,12 +136,14 @@ def joined(documents: DataFrame) -> DataFrame:
             yield out(list(waiting))
 
     rows = documents.select("lang", "source", F.col("text").cast("binary").alias("text"))
-    plain = rows.mapInArrow(run, "lang string, source string, text binary")
-    return plain.withColumn("text", F.col("text").cast("string"))
+    plain = rows.mapInArrow(run, "lang string, source string, text binary, spread array<binary>")
+    return plain.withColumns(
+        {"text": F.col("text").cast("string"), "spread": F.col("spread").cast("array<string>")}
+    )
 
 
 def dealt(rows: DataFrame, units: int) -> DataFrame:
-    """(source, tokens, unit): one row per document and unit that has tokens of it."""
+    """(source, tokens, unit): one row per row and unit that has tokens of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,17 +253,16 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows(sums.out())
 
 
-def group_sums(rows: DataFrame, documents: DataFrame, least: int) -> tuple[DataFrame, int]:
+def group_sums(rows: DataFrame, spread: DataFrame, least: int) -> tuple[DataFrame, int]:
     """(source, term, count) of the kept terms of (source, tokens), counts above 0; how many terms.
 
-    ``documents`` has the tokens of one document in a row, ``rows`` those of any number of them.
+    A term is kept that is in the tokens of ``least`` rows of ``spread``.
     """
     spark = rows.sparkSession
     vectorizer = CountVectorizer(
         inputCol="tokens", outputCol="counts", minDF=float(least), vocabSize=MOST_TERMS
     )
-    # which terms are kept depends on the documents that hold them, not on how often
-    model = vectorizer.fit(documents.select(F.array_distinct("tokens").alias("tokens")))
+    model = vectorizer.fit(spread.select("tokens"))
     folder = new_folder(spark, "vocabulary")
     model.write().save(folder)
     stored = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "term"))
@@ -263,24 +281,25 @@ def all_sums(
 ) -> tuple[DataFrame, dict[str, int]]:
     """(lang, source, term, count) of (lang, source, text), and the kept terms of each language."""
     spark, parts, kept = documents.sparkSession, [], dict.fromkeys(sizes, 0)
-    plain = joined(documents).withColumn("code", F.sha2("lang", 256))
+    plain = joined(documents, least).withColumn("code", F.sha2("lang", 256))
     # each language is read twice; a reader may hold a row group at once
     plain = written(plain, "by-language", ["code"], {"parquet.block.size": 16 << 20})
     for lang, size in sorted(sizes.items()):
         mine = F.col("code") == hashlib.sha256(lang.encode()).hexdigest()
         rows = plain.where(mine & (F.col("lang") == lang))
-        single = rows.select("source", F.explode(F.split("text", _END.decode())).alias("text"))
+        spread = rows.select("source", F.explode("spread").alias("text"))
         # the pattern of one character is no regular expression to Java
-        rows, single = (r.select("source", F.split("text", " ").alias("tokens")) for r in (rows, single))
+        rows, spread = (r.select("source", F.split("text", " ").alias("tokens")) for r in (rows, spread))
         units = -(-size // unit_bytes)
         if units > 1:
-            rows = written(dealt(single, units), "terms-by-unit", ["unit"])
+            rows = written(dealt(rows, units), "terms-by-unit", ["unit"])
+            spread = written(dealt(spread, units), "spread-by-unit", ["unit"])
         for unit in range(max(units, 1)):
             if units > 1:
-                one = rows.where(F.col("unit") == unit)
-                found, n = group_sums(one, one, least)
+                mine = F.col("unit") == unit
+                found, n = group_sums(rows.where(mine), spread.where(mine), least)
             else:
-                found, n = group_sums(rows, single, least)
+                found, n = group_sums(rows, spread, least)
             parts.append(found.select(F.lit(lang).alias("lang"), "*"))
             kept[lang] += n
     empty = spark.createDataFrame([], "lang string, source string, term string, count long")

@@ -104,6 +104,25 @@ def test_documents_are_run_together_by_group(spark, monkeypatch, most):
     assert got == sorted((a, b, " ".join(words)) for a, b, words in texts if words)
 
 
+@pytest.mark.parametrize("least", [1, 2, 3, 50])
+def test_spread_counts_documents_up_to_the_least(spark, least):
+    rng = random.Random(7)
+    rows = [("en", rng.choice("ab"), " ".join(rng.choice("uvwxyz") * rng.randrange(1, 3) for _ in range(5))) for _ in range(90)]
+    rows += [("en", "a", "u u u u"), ("en", "b", "1 2")]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    found = divergence.joined(docs, least).collect()
+    documents, in_rows, tokens = Counter(), Counter(), 0
+    for _, source, text in rows:
+        documents.update({(source, t) for t in re.findall("[a-z]+", text)})
+    for r in found:
+        for layer in r["spread"]:
+            tokens += len(layer.split(" "))
+            in_rows.update({(r["source"], t) for t in layer.split(" ")})
+    assert len(found) == 2
+    assert in_rows == {key: min(n, least) for key, n in documents.items()}
+    assert tokens == sum(in_rows.values())
+
+
 def test_large_counts_stay_exact(spark):
     rows = spark.createDataFrame([(c, 10**12, 7) for c in (0, 9 * 10**9, 10**10, 10**12)], "count long, total long, kept long")
     for r in rows.select("count", divergence._share("count").alias("p")).collect():
