@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaykit.session import durable
+from assaykit.session import durable, few_parts, small_if, small_side
 
 
 def attach(rows: DataFrame, labels: DataFrame | None, column: str) -> DataFrame:
-    """Add ``component``: the label of the id in ``column``, or that id itself."""
+    """Add ``component``: the label of the id in ``column``, or that id itself.
+
+    With labels marked for broadcast the rows stay where they are.
+    """
     if labels is None:
         return rows.withColumn("component", F.col(column))
     labels = labels.select(F.col("id").alias(column), F.col("component").alias("known"))
@@ -22,28 +25,33 @@ def connect(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
     Links are first lifted to components. Then every node takes the smallest label around it and
     follows labels to their label, until nothing changes; the number of turns grows with the
-    logarithm of the longest path. Tables of every turn are checkpointed.
+    logarithm of the longest path. Tables of every turn are checkpointed, in few files if they are
+    small, and labels are broadcast as long as they are counted to be few.
     """
     if labels is not None:
+        labels = small_side(labels)
         one = attach(links, labels, "a").select(F.col("component").alias("a"), "b")
         links = attach(one, labels, "b").select("a", F.col("component").alias("b"))
-    links = links.where("a <> b").select("a", "b").distinct()
-    both = durable(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    state = both.groupBy("a").agg(F.min("b").alias("low"))
-    state = durable(state.select(F.col("a").alias("id"), F.least("a", "low").alias("component")))
+    links = links.where("a <> b")
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # every node is its own neighbour too
+    itself = links.select(F.explode(F.array("a", "b")).alias("a")).select("a", F.col("a").alias("b"))
+    nodes = 2 * links.count()  # at most
+    both = durable(few_parts(both.union(itself).distinct(), 2 * nodes))
+    state = both.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id")
+    state = durable(few_parts(state, nodes))
     while True:
-        around = both.join(state.withColumnRenamed("id", "b"), "b").groupBy("a")
-        around = around.agg(F.min("component").alias("low"))
-        lower = state.join(around.withColumnRenamed("a", "id"), "id").select(
-            "id", F.least("component", "low").alias("component"), F.col("component").alias("before")
+        known = small_if(state, nodes)
+        own = F.when(F.col("a") == F.col("b"), F.col("component"))
+        around = both.join(known.withColumnRenamed("id", "b"), "b").groupBy("a").agg(
+            F.min("component").alias("low"), F.max(own).alias("before")
         )
-        jump = state.select(F.col("id").alias("component"), F.col("component").alias("next"))
-        lower = lower.join(jump, "component", "left")
-        new = durable(
-            lower.select(
-                "id", F.least("component", F.coalesce("next", "component")).alias("component"), "before"
-            )
+        jump = known.select(F.col("id").alias("low"), F.col("component").alias("next"))
+        lower = around.join(jump, "low", "left")
+        new = lower.select(
+            F.col("a").alias("id"), F.coalesce("next", "low").alias("component"), "before"
         )
+        new = durable(few_parts(new, nodes))
         changed = not new.where("component <> before").isEmpty()
         state = new.select("id", "component")
         if not changed:
@@ -51,6 +59,7 @@ def connect(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     if labels is None:
         return state
     # old members follow their component; nodes that were no member come as they are
-    old = attach(labels.select("id", F.col("component").alias("c")), state, "c")
+    known = small_if(state, nodes)
+    old = attach(labels.select("id", F.col("component").alias("c")), known, "c")
     old = old.select("id", "component")
     return durable(old.union(state.join(labels.select("id"), "id", "left_anti")))

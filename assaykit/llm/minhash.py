@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaykit.llm.components import attach, connect
-from assaykit.session import durable, small_batches, small_side
+from assaykit.session import durable, few_parts, small_batches, small_if, small_side
 
 BANDS, ROWS, LOW_BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
@@ -164,14 +164,18 @@ def _estimated(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
 
 
 def _confirmed(
-    pairs: DataFrame, documents: DataFrame, words: int, percent: int, id_col: str, text_col: str
+    pairs: DataFrame, rows: int, documents: DataFrame, words: int, percent: int,
+    id_col: str, text_col: str,
 ) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union, on the full sets of both texts."""
+    """Pairs with 100 * intersection >= percent * union, on the full sets of both texts.
+
+    Of at most ``rows`` pairs. Where these are few, texts meet their pairs without a shuffle of
+    the texts for the one side.
+    """
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    needed = durable(
-        pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    )
-    texts = texts.join(small_side(needed), "id", "left_semi")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    needed = small_side(durable(few_parts(needed, 2 * rows)))
+    texts = texts.join(needed, "id", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, last = Shingler(words), (None, None)
@@ -186,9 +190,9 @@ def _confirmed(
                     kept.append((a, b))
             yield pd.DataFrame(kept, columns=["a", "b"], dtype="int64")
 
-    both = pairs.join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
+    both = small_if(pairs, rows).join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
     both = both.join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a")
-    return durable(both.mapInPandas(run, "a long, b long").distinct())
+    return durable(few_parts(both.mapInPandas(run, "a long, b long").distinct(), rows))
 
 
 def _rest_small(live: DataFrame) -> DataFrame:
@@ -210,7 +214,8 @@ def _rest_large(
     the members of the others are held against all.
     """
     large = live.where(F.col("members") > SMALL_BUCKET).select("band", "class_id", "component")
-    needed = durable(large.select(F.col("class_id").alias("id")).distinct())
+    rows = large.count()
+    needed = durable(few_parts(large.select(F.col("class_id").alias("id")).distinct(), rows))
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(small_side(needed), "id", "left_semi")
 
@@ -222,9 +227,10 @@ def _rest_large(
 
     found = durable(texts.mapInPandas(sets, "class_id long, shingles binary"))
     sized = found.select("class_id", F.octet_length("shingles").alias("bytes"))
-    weights = large.join(sized, "class_id").groupBy("band").agg(F.sum("bytes").alias("bytes"))
+    weights = small_if(large, rows).join(sized, "class_id").groupBy("band").agg(F.sum("bytes").alias("bytes"))
     blocks = F.ceil(F.col("bytes") / (8 * BLOCK)).cast("int")
-    large = large.join(weights.select("band", F.greatest(blocks, F.lit(1)).alias("blocks")), "band")
+    weights = durable(few_parts(weights.select("band", F.greatest(blocks, F.lit(1)).alias("blocks")), rows))
+    large = large.join(small_if(weights, rows), "band")
     own = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
     large = large.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -298,6 +304,7 @@ def near_duplicates(
     reps = durable(
         rows.join(classes.withColumnRenamed("class_id", "doc_id"), ["digest", "doc_id"], "left_semi")
         .select(F.col("doc_id").alias("class_id"), "bands", "signature")
+        .repartition("class_id")  # the way all joins on it need them
         .dropDuplicates(["class_id", "signature"])
     )
     least = percent / 100 - MARGIN
@@ -305,24 +312,31 @@ def near_duplicates(
     sizes = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     shared = durable(bands.join(sizes, "band").distinct())
     labels = None  # class_id, component: only of classes that have a link
-    tested = None
+    tested, known = None, 0
 
     def confirm(pairs: DataFrame) -> bool:
         """Test pairs not tested before; extend the components by those confirmed."""
-        nonlocal labels, tested
+        nonlocal labels, tested, known
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.join(small_if(tested, known), ["a", "b"], "left_anti")
         pairs = durable(_estimated(pairs, reps, least))
-        if pairs.isEmpty():
+        rows = pairs.count()
+        if not rows:
             return False
-        links = _confirmed(pairs, documents, words, percent, id_col, text_col)
-        tested = pairs if tested is None else durable(tested.union(pairs))
+        pairs = few_parts(pairs, rows)
+        links = _confirmed(pairs, rows, documents, words, percent, id_col, text_col)
+        tested = pairs if tested is None else tested.union(pairs)
+        known += rows
         if not links.isEmpty():
             labels = connect(links, labels)
         return True
 
+    def labelled(rows: DataFrame) -> DataFrame:
+        """With component; few labels go to the rows, which stay dealt out by band."""
+        return attach(rows, labels if labels is None else small_side(labels), "class_id")
+
     for turn in range(ROUNDS):
-        live = attach(shared, labels, "class_id")
+        live = labelled(shared)
         if turn:  # buckets of two were decided by their pivot
             live = live.where("members > 2")
         place = F.xxhash64("class_id", F.lit(turn)) if turn else F.col("class_id")
@@ -339,16 +353,18 @@ def near_duplicates(
         )
         if not confirm(pairs.distinct()):
             break
-    live = attach(shared, labels, "class_id").where("members > 2")
+    live = labelled(shared).where("members > 2")
     mixed = live.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     live = durable(live.join(mixed.where("low <> high").select("band"), "band", "left_semi"))
-    if not live.isEmpty():
+    rows = live.count()
+    if rows:
+        live = few_parts(live, rows)
         links = durable(_rest_large(live, documents, words, percent, least, id_col, text_col))
         confirm(_rest_small(live))
         if not links.isEmpty():
             labels = connect(links, labels)
 
     result = every.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    result = attach(result, labels, "class_id")
+    result = labelled(result)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"))

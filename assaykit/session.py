@@ -68,3 +68,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Write a compact intermediate table once, so that later passes do not redo its input."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def few_parts(df: DataFrame, rows: int, part_rows: int = 100_000) -> DataFrame:
+    """In no more partitions than a narrow table of at most so many rows needs."""
+    return df.coalesce(1 + rows // part_rows)
+
+
+def small_if(df: DataFrame, rows: int, most_rows: int = 1_000_000) -> DataFrame:
+    """``small_side`` of a table known to have at most so many rows."""
+    return F.broadcast(df) if rows <= most_rows else df

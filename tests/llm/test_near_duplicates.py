@@ -142,3 +142,27 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs, folder).count() == 2
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def tasks_of(spark, group):
+    """Tasks of the stages that ran under a job group."""
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+
+
+def test_few_links_take_few_tasks(spark):
+    """Tables of a few rows are not dealt out over all partitions in every turn."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    links = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long").coalesce(1)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 60)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.sparkContext.setJobGroup("few-links", "few links")
+        labels = connect(links)
+        assert {r["component"] for r in labels.collect()} == {0}
+        assert 0 < tasks_of(spark, "few-links") < 180
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
