@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaykit import fixed_values as fv
+from assaykit.functions.stages import with_computed
 from assaykit.tables import read_table
 
 SYSTEM_TEXT = "Sort the ticket. Answer with one JSON object."
@@ -93,7 +94,9 @@ def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:
             12, F.array(F.lit("[DOC_ID]"), F.lit("[SPARE_ID]")), F.array(F.lit("[DOC_ID]"))
         ).alias("pii_placeholders"),
     )
-    good = F.to_json(record)
+    # made once, as every branch below would hold all of its code
+    t = with_computed(t, {"good": F.to_json(record)})
+    good = F.col("good")
     rest = F.substr(good, F.lit(2))
     line = (
         F.when(fault == 1, F.lit("   "))

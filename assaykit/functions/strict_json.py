@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from assaykit import fixed_values as fv
 from assaykit.functions.stages import with_computed
-from assaykit.functions.text import strip_field, strip_text
+from assaykit.functions.text import strip_field, strip_long, strip_text
 
 _FOUND = T.StructType(
     [
@@ -32,24 +32,23 @@ _FENCE = re.compile(r"```(?:json)?\s*(.*?)```", re.IGNORECASE | re.DOTALL)
 def parse_object(text: Column) -> Column:
     """VARIANT of a strict JSON object, else null.
 
-    ``try_parse_json`` ignores what follows the first value. Wrapping the text once in an array
-    and once in an object shows whether the value reached the end: only then do both parse and
-    the array holds one element.
+    ``try_parse_json`` ignores what follows the first value. The text is therefore put into an
+    array with its own SHA-256 behind it, which no text can hold: only where one value reached the
+    end of the text is the digest the second element.
     """
     body = strip_text(text)
-    return _decided(body, _in_array(body))
+    end = F.sha2(body, 256)
+    return _decided(body, end, _in_array(body, end))
 
 
-def _in_array(body: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+def _in_array(body: Column, end: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(',"'), end, F.lit('"]')))
 
 
-def _decided(body: Column, in_array: Column) -> Column:
-    in_object = F.try_parse_json(F.concat(F.lit('{"k":'), body, F.lit("}")))
-    alone = F.try_variant_get(in_array, "$[1]", "variant").isNull()
+def _decided(body: Column, end: Column, in_array: Column) -> Column:
+    alone = F.try_variant_get(in_array, "$[1]", "string") == end
     return F.when(
-        F.startswith(body, F.lit("{")) & alone & in_object.isNotNull(),
-        F.try_variant_get(in_array, "$[0]", "variant"),
+        F.startswith(body, F.lit("{")) & alone, F.try_variant_get(in_array, "$[0]", "variant")
     )
 
 
@@ -115,14 +114,15 @@ def with_object(df: DataFrame, text: str, prefix: str = "json") -> DataFrame:
     object) and ``<prefix>_error`` (refusal reason: repeated key or non-finite constant).
     """
     jvm, rest = f"__{prefix}_jvm", f"__{prefix}_rest"
-    body, in_array = f"__{prefix}_body", f"__{prefix}_array"
+    body, end, in_array = f"__{prefix}_body", f"__{prefix}_end", f"__{prefix}_array"
     found = F.col(f"__{prefix}_found")
-    # each step is computed before the next reads it: one trim and two parses per text
-    staged = with_computed(df, {body: strip_text(F.col(text))})
-    staged = with_computed(staged, {in_array: _in_array(F.col(body))})
-    staged = with_computed(staged, {jvm: _decided(F.col(body), F.col(in_array))})
+    # each step is computed before the next reads it: one trim and one parse per text
+    staged = with_computed(df, {body: strip_long(F.col(text), strip_text)})
+    staged = with_computed(staged, {end: F.sha2(body, 256)})
+    staged = with_computed(staged, {in_array: _in_array(F.col(body), F.col(end))})
+    staged = with_computed(staged, {jvm: _decided(F.col(body), F.col(end), F.col(in_array))})
     return (
-        staged.drop(body, in_array)
+        staged.drop(body, end, in_array)
         .withColumn(rest, F.when(F.col(jvm).isNull(), F.col(text)))
         .withColumn(f"__{prefix}_found", _recover(F.col(rest)))
         .withColumn(f"{prefix}_strict", F.col(jvm).isNotNull() | F.coalesce(found["strict"], F.lit(False)))

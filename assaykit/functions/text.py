@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,17 @@ def strip_field(text: Column | str) -> Column:
     return F.btrim(F.col(text) if isinstance(text, str) else text, F.lit(fv.TRIMMED_FROM_FIELDS))
 
 
+def strip_long(text: Column, strip: Callable[[Column], Column] = strip_field) -> Column:
+    """``strip`` of a given column that may be long.
+
+    Trimming reads the whole text; where its first and last byte are visible ASCII characters
+    there is nothing to trim.
+    """
+    edges = [F.substring(text.cast("binary"), at, 1) for at in (1, -1)]
+    first, last = (edge.between(F.lit(bytearray(b"!")), F.lit(bytearray(b"~"))) for edge in edges)
+    return F.when(first & last, text).otherwise(strip(text))
+
+
 @F.pandas_udf(T.StringType())
 def _normalize_slow(texts: pd.Series) -> pd.Series:
     return texts.map(

@@ -52,13 +52,32 @@ _TOP_KEYS = ("expected", "id", "messages", "pii_placeholders", "provenance")
 _PROVENANCE_KEYS = ("contains_real_customer_data", "created_by", "license", "source")
 
 
+#: Kind of messages that have no members but the two known ones, both strings or null.
+_PLAIN_MESSAGES = "ARRAY<OBJECT<content: STRING, role: STRING>>"
+
+
 def read_records(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Parse lines once: strict flag, error text, VARIANT for key checks, typed record."""
+    """Parse lines once: strict flag, error text, VARIANT for key checks, typed record.
+
+    A line whose members have the expected JSON types is not parsed a second time: its typed record
+    is taken from the VARIANT. The rest goes through ``from_json``, which turns other types to text.
+    """
+    schema = schemas.struct(schemas.SOURCE)
     parsed = sj.with_object(lines, line, "json")
     variant = F.when(F.col("json_strict"), F.col("json_object"))
-    typed = F.from_json(F.when(F.col("json_strict"), F.col(line)), schemas.struct(schemas.SOURCE))
-    staged = with_computed(parsed, {"variant": variant, "record": typed}).drop("json_object")
-    return _trimmed(staged)
+    staged = with_computed(parsed, {"variant": variant}).drop("json_object")
+    kinds = {"kinds_hold": _kinds_hold(), "message_kind": _kind("$.messages")}
+    staged = with_computed(staged, kinds)
+    plain = (
+        F.col("kinds_hold")
+        & (F.col("message_kind") == _PLAIN_MESSAGES)
+        & F.startswith(line, F.lit("{"))
+        & F.endswith(line, F.lit("}"))
+    )
+    typed = F.when(
+        plain, F.try_variant_get(F.col("variant"), "$", schema.simpleString())
+    ).otherwise(F.from_json(F.when(F.col("json_strict"), F.col(line)), schema))
+    return _trimmed(with_computed(staged, {"record": typed}))
 
 
 def _trimmed(df: DataFrame) -> DataFrame:
@@ -72,7 +91,7 @@ def _trimmed(df: DataFrame) -> DataFrame:
                 F.transform(
                     record["messages"],
                     lambda m: F.struct(
-                        m["role"].alias("role"), tx.strip_field(m["content"]).alias("content")
+                        m["role"].alias("role"), tx.strip_long(m["content"]).alias("content")
                     ),
                 ).alias("messages"),
                 sj.trimmed_output(record["expected"]).alias("expected"),
@@ -104,39 +123,47 @@ def _unknown_keys() -> Column:
 
     messages = F.from_json(F.to_json(F.try_variant_get("variant", "$.messages", "variant")),
                            "array<string>")
+    in_messages = F.when(F.col("message_kind") == _PLAIN_MESSAGES, False).otherwise(
+        F.exists(messages, lambda m: extra(F.json_object_keys(m), ("role", "content")))
+    )
     return (
-        extra(_keys_at("$"), _TOP_KEYS)
+        extra(F.map_keys(sj.members_of(F.col("variant"))), _TOP_KEYS)
         | extra(_keys_at("$.expected"), fv.OUTPUT_FIELDS)
         | extra(_keys_at("$.provenance"), _PROVENANCE_KEYS)
-        | F.coalesce(
-            F.exists(messages, lambda m: extra(F.json_object_keys(m), ("role", "content"))),
-            F.lit(False),
-        )
+        | F.coalesce(in_messages, F.lit(False))
     )
 
 
-def _types_hold() -> Column:
-    """JSON types, without any coercion. Provenance members other than the author have defaults."""
-    def kind(path: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get("variant", path, "variant"))
+def _kind(path: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get("variant", path, "variant"))
 
+
+def _kinds_hold() -> Column:
+    """JSON types of all members but the messages."""
     strings = ["$.id", "$.provenance.created_by"]
     strings += [f"$.expected.{name}" for name in fv.OUTPUT_FIELDS]
     holds = F.lit(True)
     for path in strings:
-        holds = holds & F.coalesce(kind(path) == "STRING", F.lit(False))
+        holds = holds & F.coalesce(_kind(path) == "STRING", F.lit(False))
     for path in ("$.provenance.source", "$.provenance.license"):
-        holds = holds & (kind(path).isNull() | (kind(path) == "STRING"))
-    flag = kind("$.provenance.contains_real_customer_data")
+        holds = holds & (_kind(path).isNull() | (_kind(path) == "STRING"))
+    flag = _kind("$.provenance.contains_real_customer_data")
     holds = holds & (flag.isNull() | (flag == "BOOLEAN"))
+    placeholders = _kind("$.pii_placeholders").isin("ARRAY<STRING>", "ARRAY<VOID>")
+    return holds & F.coalesce(placeholders, F.lit(False))
+
+
+def _types_hold() -> Column:
+    """JSON types, without any coercion. Provenance members other than the author have defaults."""
     no_gap = F.forall(
         F.col("record.messages"), lambda m: m["role"].isNotNull() & m["content"].isNotNull()
     )
-    message_kind = kind("$.messages").rlike(r"^ARRAY<OBJECT<.*content: STRING.*role: STRING.*>>$")
+    message_kind = F.col("message_kind").rlike(
+        r"^ARRAY<OBJECT<.*content: STRING.*role: STRING.*>>$"
+    )
     return (
-        holds
+        F.col("kinds_hold")
         & F.coalesce(message_kind & no_gap, F.lit(False))
-        & F.coalesce(kind("$.pii_placeholders").isin("ARRAY<STRING>", "ARRAY<VOID>"), F.lit(False))
         & F.coalesce(
             F.forall(F.col("record.pii_placeholders"), lambda p: p.isNotNull()), F.lit(False)
         )
@@ -177,12 +204,13 @@ def field_rules() -> dict[str, Column]:
 
 
 def record_rules(system_text: str) -> dict[str, Column]:
-    """Rules on the record as a whole. ``assistant`` holds the members of the last message."""
+    """Rules on the record as a whole.
+
+    ``assistant`` holds the members of the last message, ``placeholders`` those of all texts.
+    """
     record = F.col("record")
     content = F.transform(record["messages"], lambda m: m["content"])
-    everything = F.concat_ws("\n", content, record["expected"]["response"])
-    declared = record["pii_placeholders"]
-    found = F.array_distinct(tx.placeholders(everything))
+    declared, found = record["pii_placeholders"], F.col("placeholders")
     members = sj.output_members(F.col("assistant"))
     answer = sj.trimmed_output(members)
     equal = F.lit(True)
@@ -215,7 +243,7 @@ def _broken(rules: dict[str, Column]) -> Column:
 
 def checked_records(lines: DataFrame, system_text: str, line: str = "line") -> DataFrame:
     """Lines with the list of rules each breaks on its own (``broken``) and the typed record."""
-    blank = F.length(tx.strip_text(F.col(line))) == 0
+    blank = ~F.col("json_strict") & (F.length(tx.strip_text(F.col(line))) == 0)
     read = read_records(lines, line)
     first = (
         F.when(~F.is_valid_utf8(line), F.array(F.lit("not_utf8")))
@@ -224,21 +252,24 @@ def checked_records(lines: DataFrame, system_text: str, line: str = "line") -> D
         .otherwise(_broken(field_rules()))
     )
     fields_checked = with_computed(read, {"__fields": first})
+    record, holds = F.col("record"), F.size("__fields") == 0
+    content = F.transform(record["messages"], lambda m: m["content"])
+    everything = F.concat_ws("\n", content, record["expected"]["response"])
     answered = with_computed(
         fields_checked,
         {
             "assistant": F.when(
-                F.size("__fields") == 0,
-                sj.members_of(
-                    sj.parse_object(F.get(F.col("record.messages"), F.lit(2))["content"])
-                ),
-            )
+                holds, sj.members_of(sj.parse_object(F.get(record["messages"], F.lit(2))["content"]))
+            ),
+            "placeholders": F.when(holds, F.array_distinct(tx.placeholders(everything))),
         },
     )
     broken = F.when(F.size("__fields") > 0, F.col("__fields")).otherwise(
         _broken(record_rules(system_text))
     )
-    return with_computed(answered, {"broken": broken}).drop("__fields", "assistant", "variant")
+    return with_computed(answered, {"broken": broken}).drop(
+        "__fields", "assistant", "placeholders", "variant", "kinds_hold", "message_kind"
+    )
 
 
 def conversation_text(record: Column) -> Column:

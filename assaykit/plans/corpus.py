@@ -30,7 +30,7 @@ def validate(lines: DataFrame, system_text: str, line: str = "line") -> Validati
 
     Lines are parsed and checked once. ``clean`` holds the records without any violation.
     """
-    checked = durable(rules.checked_records(lines, system_text, line))
+    checked = durable(rules.checked_records(lines, system_text, line).drop(line))
     found = durable(rules.violations_of(checked))
     place = rules.place_of(lines)
     bad = small_side(durable(found.select(*place).distinct()))

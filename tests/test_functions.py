@@ -146,3 +146,26 @@ def test_small_text_checks(spark):
 def test_extended_pii(spark, value, ok):
     row = column(spark, [value]).select("i", F.size(tx.extended_pii_hits(F.col("t"))).alias("n")).first()
     assert (row["n"] > 0) == ok
+
+
+@pytest.mark.parametrize("tail, strict", [
+    ("", True), (" \n", True), ("]", False), ("}", False), ('] {"a":1}', False), (",1", False),
+    (',"x"]', False), (" x", False),
+])
+def test_a_text_is_parsed_once_and_to_its_end(spark, tail, strict):
+    """A tail that closes the array around the text, or adds to it, is seen with one parse."""
+    text = '{"a":{"b":"ü"},"c":[1]}' + tail
+    rows = sj.with_object(spark.createDataFrame([(text,)], "t string"), "t")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count('concat({"k":') == 0
+    got = rows.select("json_strict", F.to_json("json_object").alias("o")).first()
+    # a text with something behind the object is recovered, but not strict
+    assert tuple(got) == (strict, '{"a":{"b":"ü"},"c":[1]}')
+
+
+def test_long_text_is_trimmed_as_a_field(spark):
+    texts = ["", " ", "a", " a", "a ", " a", "a　", "é", "aé ", "~!", "\x1ca\x1c", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for strip in (tx.strip_field, tx.strip_text):
+        got = rows.select(tx.strip_long(F.col("t"), strip).alias("a"), strip("t").alias("b")).collect()
+        assert [r["a"] for r in got] == [r["b"] for r in got]
