@@ -1,12 +1,14 @@
 """How far the sources of a language differ in their use of words, in whole numbers.
 
-The texts are brought once into a plain form (lower-cased terms with a space between, documents of a
-source in a task run together), so that no regular expression is left to the passes that follow.
+The texts are brought once into a plain form (lower-cased terms, documents of a source in a task run
+together), so that no regular expression is left to the passes that follow.
 Per language a CountVectorizer with a minimum document frequency and the largest integer as
 vocabulary size is fitted and turns the joined texts into exact sparse count vectors. Only whether a
 term reaches the minimum matters to the fit, so documents run together stand there as that many rows
-at most: the first has their terms, the next those of two documents or more, and so on. Each task adds the vectors up by source, as Summarizer does for one group, and the sums of
-the tasks are added by Spark. Sources are
+at most: the first has their terms, the next those of two documents or more, and so on. For the
+counts they stand as rows that weigh 1, 2, 4 and so on: a term is in those whose weights add up to
+its occurrences. Each task adds the weighted vectors up by source, as Summarizer does for one group,
+and the sums of the tasks are added by Spark. Sources are
 compared from the sparse sums: a term that one of two sources lacks needs only the count of the
 other and a constant, so histograms of the counts do; terms that both have are paired within blocks
 of terms.
@@ -58,7 +60,9 @@ CHUNK = 1 << 14
 #: Entries (term, source) compared in one block.
 BLOCK = 100_000
 #: Bytes of documents that are run together; a longer document stays as it is.
-JOINED = 1 << 16
+JOINED = 1 << 18
+#: Bytes of documents, and terms of groups, that a task holds before it passes all of them on.
+HELD_BYTES, HELD_TERMS = 1 << 24, 1 << 19
 #: Fixed value: characters between terms.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -89,31 +93,46 @@ def _layers(spread: Counter, least: int) -> list[bytes]:
     return layers
 
 
-def joined(documents: DataFrame, least: int = 3) -> DataFrame:
-    """(lang, source, text, spread) with the terms of every text, a space between them.
+def _bits(counts: Counter) -> list[bytes]:
+    """Terms and their counts, as rows of which the k-th holds those whose count has the bit k."""
+    rows = [[] for _ in range(max(counts.values()).bit_length())]
+    for term, count in counts.items():
+        for bit, row in enumerate(rows):
+            if count >> bit & 1:
+                row.append(term)
+    return [b" ".join(row) for row in rows]
+
+
+def joined(documents: DataFrame, least: int = 3, texts: bool = True) -> DataFrame:
+    """(lang, source, text, spread, counts) with the terms of every text, a space between them.
 
     Documents of one group that a task meets are run together with a line feed between them, as
     long as they have at most ``JOINED`` bytes; those without terms are left out. ``spread`` has
     their distinct terms: a term that is in d of the documents is in min(d, least) of its rows, so
     over any number of them it reaches ``least`` rows where it reaches ``least`` documents.
+    ``counts`` has all their terms: those in its rows k occur as often as the sum of 2**k says.
+    Without ``texts``, text is null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[tuple, list[bytes]] = {}
         sizes: dict[tuple, int] = {}
         spread: dict[tuple, Counter] = {}
-        held = 0
+        counts: dict[tuple, Counter] = {}
+        held = terms = 0
 
         def out(keys: list[tuple]) -> pa.RecordBatch:
             langs, sources = zip(*keys, strict=True)
-            texts = [_END.join(waiting.pop(key)) for key in keys]
+            plain = [_END.join(waiting.pop(key)) if texts else None for key in keys]
             layers = [_layers(spread.pop(key), least) for key in keys]
+            bits = [_bits(counts.pop(key)) for key in keys]
             for key in keys:
                 del sizes[key]
+            lists = pa.list_(pa.binary())
             return pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(sources, pa.string()),
-                 pa.array(texts, pa.binary()), pa.array(layers, pa.list_(pa.binary()))],
-                ["lang", "source", "text", "spread"],
+                 pa.array(plain, pa.binary()), pa.array(layers, lists), pa.array(bits, lists)],
+                ["lang", "source", "text", "spread", "counts"],
             )
 
         for batch in batches:
@@ -121,29 +140,35 @@ def joined(documents: DataFrame, least: int = 3) -> DataFrame:
                 words = text.translate(_PLAIN).split()
                 if not words:
                     continue
-                key, plain = (lang, source), b" ".join(words)
-                waiting.setdefault(key, []).append(plain)
-                spread.setdefault(key, Counter()).update(set(words))
-                sizes[key] = sizes.get(key, 0) + len(plain)
-                held += len(plain)
+                key, size = (lang, source), sum(map(len, words)) + len(words) - 1
+                if key not in sizes:
+                    sizes[key], spread[key], counts[key] = 0, Counter(), Counter()
+                if texts:
+                    waiting.setdefault(key, []).append(b" ".join(words))
+                before = len(counts[key])
+                spread[key].update(set(words))
+                counts[key].update(words)
+                sizes[key] += size
+                held, terms = held + size, terms + len(counts[key]) - before
                 if sizes[key] >= JOINED:
-                    held -= sizes[key]
+                    held, terms = held - sizes[key], terms - len(counts[key])
                     yield out([key])
-            if held >= 64 * JOINED:  # many groups with little text each
-                held = 0
-                yield out(list(waiting))
-        if waiting:
-            yield out(list(waiting))
+            if held >= HELD_BYTES or terms >= HELD_TERMS:  # many groups with little text each
+                held = terms = 0
+                yield out(list(sizes))
+        if sizes:
+            yield out(list(sizes))
 
     rows = documents.select("lang", "source", F.col("text").cast("binary").alias("text"))
-    plain = rows.mapInArrow(run, "lang string, source string, text binary, spread array<binary>")
-    return plain.withColumns(
-        {"text": F.col("text").cast("string"), "spread": F.col("spread").cast("array<string>")}
+    plain = rows.mapInArrow(
+        run, "lang string, source string, text binary, spread array<binary>, counts array<binary>"
     )
+    kinds = {"text": "string", "spread": "array<string>", "counts": "array<string>"}
+    return plain.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})
 
 
 def dealt(rows: DataFrame, units: int) -> DataFrame:
-    """(source, tokens, unit): one row per row and unit that has tokens of it."""
+    """(source, weight, tokens, unit): one row per row and unit that has tokens of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,13 +189,14 @@ def dealt(rows: DataFrame, units: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("source").take(pa.array(owner[first])),
+                    batch.column("weight").take(pa.array(owner[first])),
                     pa.ListArray.from_arrays(ends, flat.take(pa.array(order))),
                     pa.array(unit[first].astype(np.int32)),
                 ],
-                ["source", "tokens", "unit"],
+                ["source", "weight", "tokens", "unit"],
             )
 
-    return rows.mapInArrow(run, "source string, tokens array<string>, unit int")
+    return rows.mapInArrow(run, "source string, weight long, tokens array<string>, unit int")
 
 
 class _Sums:
@@ -213,16 +239,17 @@ SUMMED = "source string, chunk long, places binary, values binary"
 
 
 def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of a task's document vectors by source."""
+    """The sums of a task's weighted vectors by source."""
     sums = _Sums()
     for batch in batches:
         coded = batch.column("source").dictionary_encode()
         kind = coded.indices.to_numpy()
         indices, values = batch.column("indices"), batch.column("values")
-        owner = kind[pc.list_parent_indices(indices).to_numpy()].astype(np.int64)
+        row = pc.list_parent_indices(indices).to_numpy()
+        owner, weight = kind[row].astype(np.int64), batch.column("weight").to_numpy()[row]
         places = indices.flatten().to_numpy().astype(np.int64)
         order = np.argsort(owner << 32 | places)
-        places, n = places[order], values.flatten().to_numpy().astype(np.int64)[order]
+        places, n = places[order], (values.flatten().to_numpy().astype(np.int64) * weight)[order]
         ends = np.searchsorted(owner[order], np.arange(len(coded.dictionary) + 1))
         for at, source in enumerate(coded.dictionary.to_pylist()):
             mine = slice(ends[at], ends[at + 1])
@@ -254,7 +281,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def group_sums(rows: DataFrame, spread: DataFrame, least: int) -> tuple[DataFrame, int]:
-    """(source, term, count) of the kept terms of (source, tokens), counts above 0; how many terms.
+    """(source, term, count) of the kept terms of (source, weight, tokens), counts above 0; how many.
 
     A term is kept that is in the tokens of ``least`` rows of ``spread``.
     """
@@ -267,8 +294,9 @@ def group_sums(rows: DataFrame, spread: DataFrame, least: int) -> tuple[DataFram
     model.write().save(folder)
     stored = spark.read.parquet(f"{folder}/data").select(F.posexplode("vocabulary").alias("at", "term"))
     stored = stored.where("term <> ''")
-    vectors = model.transform(rows).select("source", F.unwrap_udt("counts").alias("v"))
-    parts = vectors.select("source", "v.indices", "v.values").mapInArrow(_added_up, SUMMED)
+    vectors = model.transform(rows).select("source", "weight", F.unwrap_udt("counts").alias("v"))
+    vectors = vectors.select("source", "weight", "v.indices", "v.values")
+    parts = vectors.mapInArrow(_added_up, SUMMED)
     parts = parts.repartition("source", "chunk").mapInArrow(
         _merged, "source string, chunk long, at long, n long"
     )
@@ -281,15 +309,19 @@ def all_sums(
 ) -> tuple[DataFrame, dict[str, int]]:
     """(lang, source, term, count) of (lang, source, text), and the kept terms of each language."""
     spark, parts, kept = documents.sparkSession, [], dict.fromkeys(sizes, 0)
-    plain = joined(documents, least).withColumn("code", F.sha2("lang", 256))
+    plain = joined(documents, least, texts=False).drop("text").withColumn("code", F.sha2("lang", 256))
     # each language is read twice; a reader may hold a row group at once
     plain = written(plain, "by-language", ["code"], {"parquet.block.size": 16 << 20})
     for lang, size in sorted(sizes.items()):
         mine = F.col("code") == hashlib.sha256(lang.encode()).hexdigest()
         rows = plain.where(mine & (F.col("lang") == lang))
-        spread = rows.select("source", F.explode("spread").alias("text"))
         # the pattern of one character is no regular expression to Java
-        rows, spread = (r.select("source", F.split("text", " ").alias("tokens")) for r in (rows, spread))
+        weight, tokens = F.expr("shiftleft(1L, pos)"), F.split("col", " ")
+        rows, spread = (
+            rows.select("source", F.posexplode(name)).where("col <> ''")
+            .select("source", weight.alias("weight"), tokens.alias("tokens"))
+            for name in ("counts", "spread")
+        )
         units = -(-size // unit_bytes)
         if units > 1:
             rows = written(dealt(rows, units), "terms-by-unit", ["unit"])

@@ -143,3 +143,28 @@ def test_empty_table_and_nothing_kept(spark):
     assert {tuple(r) for r in divergence.audit(docs).collect()} == {
         ("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1),
     }
+
+
+@pytest.mark.parametrize("most", [(1, 1 << 24, 1 << 19), (1 << 18, 1 << 24, 1), (1 << 18, 1 << 24, 1 << 19)])
+def test_counts_are_rows_of_weights(spark, monkeypatch, most):
+    for name, value in zip(("JOINED", "HELD_BYTES", "HELD_TERMS"), most, strict=True):
+        monkeypatch.setattr(divergence, name, value)
+    rng = random.Random(11)
+    rows = [("en", rng.choice("ab"), " ".join(rng.choice("uvwxyz") for _ in range(rng.randrange(1, 200)))) for _ in range(60)]
+    rows += [("en", "a", "u " * 5000), ("en", "b", "1 2")]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    found = divergence.joined(docs, texts=False).collect()
+    want, got, tokens = Counter(), Counter(), 0
+    for _, source, text in rows:
+        want.update((source, t) for t in re.findall("[a-z]+", text))
+    for r in found:
+        assert r["text"] is None
+        for bit, row in enumerate(r["counts"]):
+            words = row.split(" ") if row else []
+            tokens += len(words)
+            assert len(set(words)) == len(words)
+            for t in words:
+                got[r["source"], t] += 1 << bit
+    assert got == want
+    if most[2] > 1 and most[0] > 1:
+        assert len(found) == 2 and tokens < sum(want.values()) / 50
