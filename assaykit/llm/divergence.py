@@ -95,12 +95,11 @@ def _layers(spread: Counter, least: int) -> list[bytes]:
 
 def _bits(counts: Counter) -> list[bytes]:
     """Terms and their counts, as rows of which the k-th holds those whose count has the bit k."""
-    rows = [[] for _ in range(max(counts.values()).bit_length())]
-    for term, count in counts.items():
-        for bit, row in enumerate(rows):
-            if count >> bit & 1:
-                row.append(term)
-    return [b" ".join(row) for row in rows]
+    rows, left = [], list(counts.items())
+    while left:  # most terms are rare, so what is left shrinks fast
+        rows.append(b" ".join([term for term, count in left if count & 1]))
+        left = [(term, count >> 1) for term, count in left if count > 1]
+    return rows
 
 
 def joined(documents: DataFrame, least: int = 3, texts: bool = True) -> DataFrame:
@@ -140,7 +139,7 @@ def joined(documents: DataFrame, least: int = 3, texts: bool = True) -> DataFram
                 words = text.translate(_PLAIN).split()
                 if not words:
                     continue
-                key, size = (lang, source), sum(map(len, words)) + len(words) - 1
+                key, size = (lang, source), len(text)
                 if key not in sizes:
                     sizes[key], spread[key], counts[key] = 0, Counter(), Counter()
                 if texts:
