@@ -15,8 +15,9 @@ of terms.
 
 The vocabulary of a CountVectorizer passes the driver and lies in every executor. A language with
 more than ``UNIT_BYTES`` of text is therefore cut by a hash of the term into units with a vectorizer
-of their own, to which the terms of every document are dealt once. No result depends on the number
-of units.
+of their own, to which the terms of every document are dealt once. The sums of a vectorizer are
+written before the next is fitted, so that the driver needs one vocabulary at a time. No result
+depends on the number of units.
 
 For a term with ``count`` in a group whose kept terms occur ``N`` times, of a language with ``V``
 kept terms: p = 1 + floor(scale * (count + 1) / (N + V)). The divergence of p from q is
@@ -47,12 +48,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaykit.llm.tables import new_folder, written
-from assaykit.session import durable, small_batches
+from assaykit.session import durable, small_batches, small_side
 
 SCALE = 10**9
 MOST_TERMS = 2**31 - 1
-#: Text of one vectorizer. Its vocabulary grows more slowly; 8 GB of prose keep about a million terms.
-UNIT_BYTES = 8 << 30
+#: Text of one vectorizer. Its vocabulary, which passes the driver, grows more slowly.
+UNIT_BYTES = 2 << 30
 #: Numbers that a task adds up before it passes them on (8 bytes each).
 SUMS = 1 << 24
 #: Vocabulary places of one chunk of a vector of sums.
@@ -60,9 +61,13 @@ CHUNK = 1 << 14
 #: Entries (term, source) compared in one block.
 BLOCK = 100_000
 #: Bytes of documents that are run together; a longer document stays as it is.
-JOINED = 1 << 18
-#: Bytes of documents, and terms of groups, that a task holds before it passes all of them on.
-HELD_BYTES, HELD_TERMS = 1 << 24, 1 << 19
+JOINED = 1 << 20
+#: Bytes of texts, and terms of groups, that a task holds before it passes all of them on.
+HELD_BYTES, HELD_TERMS = 1 << 24, 3 << 18
+#: Groups that leave a task in one batch.
+TOGETHER = 32
+#: Groups up to which a table with a row for each is broadcast.
+FEW_GROUPS = 100_000
 #: Fixed value: characters between terms.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,21 +89,25 @@ def terms_of(text: Column) -> Column:
     return F.split(lowered, BETWEEN)
 
 
-def _layers(spread: Counter, least: int) -> list[bytes]:
-    """Distinct terms of documents, as rows of which min(documents, least) hold a term."""
-    layers, left = [], list(spread)
-    while left and len(layers) < least:
-        layers.append(b" ".join(left))
-        left = [term for term in left if spread[term] > len(layers)]
-    return layers
+def _spread(distinct: set[bytes], counts: Counter, more: list[set[bytes]]) -> None:
+    """Note a document's terms, before they are counted, in the set of those met so often or more."""
+    again = distinct & counts.keys()
+    for layer in more:
+        if not again:
+            break
+        known = again & layer
+        layer |= again
+        again = known
 
 
 def _bits(counts: Counter) -> list[bytes]:
     """Terms and their counts, as rows of which the k-th holds those whose count has the bit k."""
-    rows, left = [], list(counts.items())
-    while left:  # most terms are rare, so what is left shrinks fast
-        rows.append(b" ".join([term for term, count in left if count & 1]))
-        left = [(term, count >> 1) for term, count in left if count > 1]
+    terms = np.array(list(counts), dtype=object)
+    left = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+    rows = []
+    while len(left):  # most terms are rare, so what is left shrinks fast
+        rows.append(b" ".join(terms[left & 1 == 1].tolist()))
+        terms, left = terms[left > 1], left[left > 1] >> 1
     return rows
 
 
@@ -116,14 +125,14 @@ def joined(documents: DataFrame, least: int = 3, texts: bool = True) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[tuple, list[bytes]] = {}
         sizes: dict[tuple, int] = {}
-        spread: dict[tuple, Counter] = {}
+        more: dict[tuple, list[set[bytes]]] = {}  # terms of 2 documents or more, of 3, and so on
         counts: dict[tuple, Counter] = {}
         held = terms = 0
 
         def out(keys: list[tuple]) -> pa.RecordBatch:
             langs, sources = zip(*keys, strict=True)
             plain = [_END.join(waiting.pop(key)) if texts else None for key in keys]
-            layers = [_layers(spread.pop(key), least) for key in keys]
+            layers = [[b" ".join(layer) for layer in (counts[key], *more.pop(key)) if layer] for key in keys]
             bits = [_bits(counts.pop(key)) for key in keys]
             for key in keys:
                 del sizes[key]
@@ -134,6 +143,11 @@ def joined(documents: DataFrame, least: int = 3, texts: bool = True) -> DataFram
                 ["lang", "source", "text", "spread", "counts"],
             )
 
+        def all_out() -> Iterator[pa.RecordBatch]:
+            keys = list(sizes)
+            for at in range(0, len(keys), TOGETHER):
+                yield out(keys[at : at + TOGETHER])
+
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = text.translate(_PLAIN).split()
@@ -141,22 +155,22 @@ def joined(documents: DataFrame, least: int = 3, texts: bool = True) -> DataFram
                     continue
                 key, size = (lang, source), len(text)
                 if key not in sizes:
-                    sizes[key], spread[key], counts[key] = 0, Counter(), Counter()
+                    sizes[key], counts[key] = 0, Counter()
+                    more[key] = [set() for _ in range(least - 1)]
                 if texts:
                     waiting.setdefault(key, []).append(b" ".join(words))
                 before = len(counts[key])
-                spread[key].update(set(words))
+                _spread(set(words), counts[key], more[key])
                 counts[key].update(words)
                 sizes[key] += size
                 held, terms = held + size, terms + len(counts[key]) - before
                 if sizes[key] >= JOINED:
                     held, terms = held - sizes[key], terms - len(counts[key])
                     yield out([key])
-            if held >= HELD_BYTES or terms >= HELD_TERMS:  # many groups with little text each
+            if texts and held >= HELD_BYTES or terms >= HELD_TERMS:  # many groups with little text each
                 held = terms = 0
-                yield out(list(sizes))
-        if sizes:
-            yield out(list(sizes))
+                yield from all_out()
+        yield from all_out()
 
     rows = documents.select("lang", "source", F.col("text").cast("binary").alias("text"))
     plain = rows.mapInArrow(
@@ -331,7 +345,8 @@ def all_sums(
                 found, n = group_sums(rows.where(mine), spread.where(mine), least)
             else:
                 found, n = group_sums(rows, spread, least)
-            parts.append(found.select(F.lit(lang).alias("lang"), "*"))
+            # written here, so that this vocabulary can go before the next passes the driver
+            parts.append(written(found.select(F.lit(lang).alias("lang"), "*"), "sums"))
             kept[lang] += n
     empty = spark.createDataFrame([], "lang string, source string, term string, count long")
     return reduce(DataFrame.union, parts, empty), kept
@@ -356,7 +371,7 @@ def _by_blocks(entries: DataFrame, sizes: DataFrame, most_ranks: int) -> DataFra
     terms of a source in the block and those that tie with the last.
     """
     blocks = sizes.groupBy("lang").agg(F.ceil(F.sum("nonzero") / BLOCK).alias("blocks"))
-    rows = entries.join(blocks, "lang").select(
+    rows = entries.join(F.broadcast(blocks), "lang").select(  # one row per language
         "lang", "source", "term", "count", "p", "p0", "lang_total", "kept",
         F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block"),
     )
@@ -457,8 +472,7 @@ def audit(
     groups = durable(rows.groupBy("lang", "source").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")))
     # one row per language
     text_sizes = {r["lang"]: r["bytes"] for r in groups.groupBy("lang").agg(F.sum("bytes").alias("bytes")).collect()}
-    sums, kept = all_sums(rows, text_sizes, least, unit_bytes)
-    entries = written(sums, "sums")
+    entries, kept = all_sums(rows, text_sizes, least, unit_bytes)
 
     totals = entries.groupBy("lang", "source").agg(
         F.sum("count").alias("total"), F.count("*").alias("nonzero")
@@ -469,7 +483,7 @@ def audit(
     in_lang = sizes.groupBy("lang").agg(F.sum("total").alias("lang_total"))
     sizes = durable(sizes.join(in_lang, "lang").withColumn("p0", F.when(F.col("kept") > 0, _share("0"))))
 
-    entries = entries.join(sizes.drop("nonzero"), ["lang", "source"])
+    entries = entries.join(small_side(sizes.drop("nonzero"), FEW_GROUPS), ["lang", "source"])
     entries = entries.withColumn("p", _share("count")).drop("total")
     found = written(_by_blocks(entries, sizes, most_ranks), "blocks")
     pairs = _pairs(entries, sizes, found.where("part = 'pair'"))

@@ -168,3 +168,23 @@ def test_counts_are_rows_of_weights(spark, monkeypatch, most):
     assert got == want
     if most[2] > 1 and most[0] > 1:
         assert len(found) == 2 and tokens < sum(want.values()) / 50
+
+
+@pytest.mark.parametrize("unit_bytes", [10**9, 2000])
+def test_one_vocabulary_at_a_time(spark, monkeypatch, unit_bytes):
+    """The sums of a vectorizer are written before the next one's vocabulary comes to the driver."""
+    rows, steps = corpus(5, 200), []
+
+    def noted(name, f):
+        def call(*args, **kwargs):
+            steps.append(name(*args))
+            return f(*args, **kwargs)
+
+        return call
+
+    monkeypatch.setattr(divergence.CountVectorizer, "fit", noted(lambda *_: "fit", divergence.CountVectorizer.fit))
+    monkeypatch.setattr(divergence, "written", noted(lambda _, name, *__: name, divergence.written))
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").repartition(3)
+    assert {tuple(r) for r in divergence.audit(docs, unit_bytes=unit_bytes).collect()} == plain(rows)
+    steps = [s for s in steps if s in ("fit", "sums")]
+    assert len(steps) >= 8 and steps == ["fit", "sums"] * (len(steps) // 2)
